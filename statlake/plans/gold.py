@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     FloatType,
@@ -116,5 +115,3 @@ def run_gold(spark: SparkSession, layout: Layout) -> None:
     ed = read_table(spark, layout.silver("fact_wb_edstats"))
     write_table(gold_edstats(ed), layout.gold("fact_edstats"), partition_by="period", sanitize=False)
 
-
-__all__ = ["F", "gem_all_periods", "gold_dim_country", "gold_edstats", "gold_non_gem", "gold_unodc", "run_gold"]

@@ -38,7 +38,13 @@ def local_session(
     driver_memory: str = "16g",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A local session with the job settings; the UI stays off."""
+    """A local session with the job settings; the UI stays off.
+
+    The package's parent folder is put on PYTHONPATH before the JVM starts,
+    so Python workers (the workbook source) can import ``statlake``. On a
+    cluster, ship the package with ``--py-files`` instead.
+    """
+    _export_package_path()
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
@@ -54,6 +60,13 @@ def local_session(
     return spark
 
 
+def _export_package_path() -> None:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *parts])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
