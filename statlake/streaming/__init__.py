@@ -1,0 +1,5 @@
+"""Incremental landing of raw files (S7 re-expressed with Structured Streaming)."""
+
+from statlake.streaming.landing import land_new_files
+
+__all__ = ["land_new_files"]

@@ -1,0 +1,62 @@
+"""Land new raw files into a bronze table exactly once.
+
+The source pipeline accumulated sources by "first overwrites, the rest
+append", one job per file. When files keep arriving, Structured Streaming
+does this with exactly-once bookkeeping: the file source remembers which
+files it has read (in the checkpoint), the parquet sink commits each batch
+atomically, and ``trigger(availableNow=True)`` processes whatever is new
+and stops, so the job can be scheduled like a batch job. A lost executor
+only re-runs its tasks; a lost driver resumes from the checkpoint.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from statlake.functions.names import sanitize_columns
+from statlake.session import scratch_dir
+from statlake.sources.tables import with_audit
+
+
+def land_new_files(
+    spark: SparkSession,
+    source_dir: str,
+    schema: StructType,
+    target: str,
+    checkpoint: str | None = None,
+    fmt: str = "csv",
+    options: Mapping[str, str] | None = None,
+    sanitize: bool = True,
+    partition_by: Sequence[str] | None = None,
+    wait: bool = True,
+) -> StreamingQuery:
+    """Append every file in ``source_dir`` not landed before to ``target``.
+
+    ``schema`` is required (a streaming file source does not infer it);
+    for CSV it is the header names as text. ``checkpoint`` must be on shared
+    storage; by default a folder under ``spark.checkpoint.dir`` is used,
+    which is only stable across runs if you pass it explicitly.
+    """
+    opts = {"header": "true", "quote": '"', "escape": '"'} if fmt == "csv" else {}
+    opts.update(options or {})
+    stream = spark.readStream.format(fmt).schema(schema).options(**opts).load(source_dir)
+    if sanitize:
+        stream = sanitize_columns(stream)
+    stream = with_audit(stream)
+    writer = (
+        stream.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint or scratch_dir(spark, "landing-checkpoint"))
+        .outputMode("append")
+        .trigger(availableNow=True)
+    )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    query = writer.start()
+    if wait:
+        query.awaitTermination()
+    return query

@@ -1,0 +1,24 @@
+import os
+
+from pyspark.sql.types import StringType, StructField, StructType
+
+from statlake.streaming import land_new_files
+
+
+def test_new_files_land_once(spark, workdir):
+    src, target, ckpt = (os.path.join(workdir, p) for p in ("in", "bronze", "ckpt"))
+    os.makedirs(src)
+    schema = StructType([StructField("Country Code", StringType()), StructField("Value (x)", StringType())])
+
+    def drop(name, rows):
+        with open(os.path.join(src, name), "w") as fh:
+            fh.write("Country Code,Value (x)\n" + "".join(f"{a},{b}\n" for a, b in rows))
+
+    drop("a.csv", [("AFG", "1"), ("BEL", "2")])
+    land_new_files(spark, src, schema, target, ckpt)
+    drop("b.csv", [("XKX", "3")])
+    land_new_files(spark, src, schema, target, ckpt)
+    land_new_files(spark, src, schema, target, ckpt)  # nothing new: no duplicates
+    out = spark.read.parquet(target)
+    assert out.columns == ["country_code", "value_x", "insert_timestamp"]
+    assert sorted(map(tuple, out.select("country_code", "value_x").collect())) == [("AFG", "1"), ("BEL", "2"), ("XKX", "3")]
