@@ -8,7 +8,7 @@ NULLS`` or an explicit join. Column names and types match the Spark output.
 
 from __future__ import annotations
 
-from statlake.plans.queries import PLAIN_YEARS, PREFIXED_YEARS, REGION_NAMES, SEGMENT_HEADERS
+from statlake.plans.queries import PLAIN_YEARS, PREFIXED_YEARS, REGION_NAMES, SEGMENT_HEADERS, STATS_YEARS
 
 NUMERIC = r"^-?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?$"
 
@@ -151,6 +151,74 @@ _KEY_B = "SELECT CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_nationkey + 5 END
 
 _CODED = "SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_nationkey END AS code FROM customer"
 
+def _job_non_gem_gold() -> str:
+    years = ", ".join(f"({y})" for y in STATS_YEARS if 1960 <= y <= 2029)
+    return f"""
+    WITH base AS (
+      SELECT n_nationkey, n_name, p_brand, CASE WHEN l_returnflag = 'R' THEN 'A' ELSE 'B' END AS src,
+             year(l_shipdate) AS y
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+      JOIN part ON l_partkey = p_partkey),
+    grp AS (SELECT DISTINCT src, n_nationkey, n_name, p_brand FROM base),
+    years(y) AS (VALUES {years}),
+    cnt AS (SELECT src, n_nationkey, p_brand, y, COUNT(*) AS c FROM base GROUP BY ALL),
+    fact AS (
+      SELECT g.n_nationkey, g.p_brand, yr.y, CAST(cnt.c AS FLOAT) AS value
+      FROM grp g CROSS JOIN years yr
+      LEFT JOIN cnt ON cnt.src = g.src AND cnt.n_nationkey = g.n_nationkey AND cnt.p_brand = g.p_brand AND cnt.y = yr.y),
+    dimc AS (SELECT n_nationkey, MIN(CASE WHEN src = 'A' THEN n_name ELSE n_name || ' (IDS)' END) AS country_name
+             FROM grp GROUP BY n_nationkey),
+    dimi AS (SELECT p_brand, MIN(CASE WHEN src = 'A' THEN 'Lines ' ELSE 'Lines of ' END || p_brand) AS indicator_name
+             FROM grp GROUP BY p_brand)
+    SELECT dimc.country_name, dimi.indicator_name, fact.y AS year, fact.value
+    FROM fact JOIN dimc ON fact.n_nationkey = dimc.n_nationkey JOIN dimi ON fact.p_brand = dimi.p_brand
+    """
+
+
+_JOB_EDSTATS = f"""
+    WITH e AS (
+      SELECT 'User ' || CAST(user_id AS VARCHAR) AS country_name, event_type AS indicator_name,
+             CASE user_id % 3 WHEN 0 THEN '_T' WHEN 1 THEN 'F' ELSE 'M' END AS sex,
+             CASE WHEN event_type IN ('view', 'click') THEN '_T' ELSE 'U' END AS urbanization,
+             CASE WHEN user_id % 4 = 0 THEN NULL ELSE '_T' END AS age,
+             'NUM' AS unit_type, 'EV' AS unit_measure, day(ts) AS d
+      FROM events),
+    cnt AS (SELECT country_name, indicator_name, sex, urbanization, age, unit_type, unit_measure, d, COUNT(*) AS c
+            FROM e GROUP BY ALL),
+    cells AS (
+      SELECT *, CASE c % 4 WHEN 1 THEN 'NA' WHEN 2 THEN CAST(c AS VARCHAR) || '.'
+                           WHEN 3 THEN 'x' || CAST(c AS VARCHAR) ELSE '-' || CAST(c AS VARCHAR) || 'e1' END AS raw
+      FROM cnt)
+    SELECT country_name, indicator_name,
+           CASE WHEN sex = '_T' THEN 'T' ELSE sex END AS sex,
+           CASE WHEN urbanization = '_T' THEN 'T' ELSE urbanization END AS urbanization,
+           CASE WHEN age = '_T' THEN 'T' ELSE age END AS age,
+           unit_type, unit_measure,
+           CASE WHEN raw = 'NA' THEN NULL ELSE TRY_CAST(raw AS DOUBLE) END AS value,
+           make_date(1990 + d, 1, 1) AS period
+    FROM cells
+    WHERE age IS NOT NULL AND (raw = 'NA' OR regexp_full_match(raw, '{NUMERIC}'))
+"""
+
+_JOB_UNODC = """
+    WITH o AS (
+      SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderdate, c_nationkey, c_mktsegment
+      FROM orders JOIN customer ON o_custkey = c_custkey),
+    sheet AS (
+      SELECT CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS country_code,
+             o_orderpriority AS indicator, o_orderstatus AS dimension, c_mktsegment AS category,
+             year(o_orderdate) AS year,
+             TRY_CAST(CASE WHEN o_orderkey % 11 = 0 THEN 'n/a'
+                           ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS FLOAT) AS value
+      FROM o),
+    prim AS (SELECT CAST(n_nationkey AS VARCHAR) AS country_code, n_name AS country_name FROM nation WHERE n_nationkey < 15),
+    sec AS (SELECT DISTINCT country_code, 'Country ' || country_code AS country_name FROM sheet WHERE country_code IS NOT NULL),
+    dim AS (SELECT * FROM prim
+            UNION ALL SELECT * FROM sec WHERE NOT EXISTS (SELECT 1 FROM prim WHERE prim.country_code = sec.country_code))
+    SELECT dim.country_name, indicator, dimension, category, 'Total' AS sex, 'Total' AS age, year, value, 'CTS' AS source
+    FROM sheet JOIN dim ON sheet.country_code = dim.country_code
+"""
+
 ORACLE: dict[str, str] = {
     "unpivot_years_prefixed": _unpivot_years_prefixed(),
     "unpivot_years_plain": _unpivot_years_plain(),
@@ -266,4 +334,7 @@ ORACLE: dict[str, str] = {
     "key_intersect": f"{_KEY_A} INTERSECT {_KEY_B}",
     "key_except": f"{_KEY_A} EXCEPT {_KEY_B}",
     "sort_desc": "SELECT * FROM orders ORDER BY o_totalprice DESC",
+    "job_non_gem_gold": _job_non_gem_gold(),
+    "job_edstats_gold": _JOB_EDSTATS,
+    "job_unodc_gold": _JOB_UNODC,
 }

@@ -521,6 +521,123 @@ def q_sort_desc(spark, d):
     return table(spark, d, "orders").orderBy(F.desc("o_totalprice"))
 
 
+# ------------------------------------------------ whole jobs on driver data
+# The silver and gold job functions themselves, fed with publisher-shaped
+# wide tables that Spark derives from the driver's tables.
+
+STATS_YEARS = [1959, *range(1992, 2003), 2030]
+
+
+def _stats_wide(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Two wide statistics sources (the second with IDS-style headers)."""
+    li = table(spark, d, "lineitem")
+    su = table(spark, d, "supplier")
+    na = table(spark, d, "nation")
+    pa = table(spark, d, "part")
+    base = (
+        li.join(su, li.l_suppkey == su.s_suppkey)
+        .join(na, F.col("s_nationkey") == na.n_nationkey)
+        .join(pa, li.l_partkey == pa.p_partkey)
+        .select("n_nationkey", "n_name", "p_brand", "l_returnflag", F.year("l_shipdate").alias("y"))
+    )
+    cells = [_str(count_if(F.col("y") == y)).alias(str(y)) for y in STATS_YEARS]
+    code = _str(F.col("n_nationkey")).alias("country_code")
+    first = base.filter(F.col("l_returnflag") == "R").groupBy(
+        F.col("n_name").alias("country_name"), code,
+        F.concat(F.lit("Lines "), "p_brand").alias("indicator_name"), F.col("p_brand").alias("indicator_code"),
+    ).agg(*cells, F.lit("x").alias("extra"))
+    second = base.filter(~(F.col("l_returnflag") == "R") | F.col("l_returnflag").isNull()).groupBy(
+        F.concat("n_name", F.lit(" (IDS)")).alias("country_name"), code,
+        F.concat(F.lit("Lines of "), "p_brand").alias("series_name"), F.col("p_brand").alias("series_code"),
+    ).agg(*cells)
+    return first, second
+
+
+def q_job_non_gem_gold(spark, d):
+    """G8 + G12: wide statistics -> long fact + code lists -> named gold fact."""
+    from statlake.plans.gold import gold_non_gem
+    from statlake.plans.silver import stats_dims, stats_to_long
+
+    first, second = _stats_wide(spark, d)
+    sources = [(first, ()), (second, (("series_name", "indicator_name"), ("series_code", "indicator_code")))]
+    countries, indicators = stats_dims(sources)
+    dim_country = keep_first(countries, ["country_code"], ["country_name"])
+    return gold_non_gem(stats_to_long(sources), dim_country, indicators)
+
+
+def edstats_cell(c: Column) -> Column:
+    k = F.pmod(c, F.lit(4))
+    return (
+        F.when(c.isNull(), F.lit(None).cast("string"))
+        .when(k == 1, F.lit("NA"))
+        .when(k == 2, F.concat(_str(c), F.lit(".")))
+        .when(k == 3, F.concat(F.lit("x"), _str(c)))
+        .otherwise(F.concat(F.lit("-"), _str(c), F.lit("e1")))
+    )
+
+
+def q_job_edstats_gold(spark, d):
+    """G7 + G13: a yrNNNN-wide table (one column per day, read as years)."""
+    from statlake.plans.gold import gold_edstats
+    from statlake.plans.silver import edstats_to_long
+
+    e = table(spark, d, "events")
+    uid = F.col("user_id")
+    meta = [
+        F.concat(F.lit("User "), _str(uid)).alias("country_name"),
+        F.col("event_type").alias("indicator_name"),
+        F.when(F.pmod(uid, F.lit(3)) == 0, "_T").when(F.pmod(uid, F.lit(3)) == 1, "F").otherwise("M").alias("sex"),
+        F.when(F.col("event_type").isin("view", "click"), "_T").otherwise("U").alias("urbanization"),
+        F.when(F.pmod(uid, F.lit(4)) == 0, F.lit(None)).otherwise(F.lit("_T")).alias("age"),
+        F.lit("NUM").alias("unit_type"),
+        F.lit("EV").alias("unit_measure"),
+    ]
+    day = F.dayofmonth("ts")
+    cells = [edstats_cell(count_if(day == k)).alias(f"{'YR' if k <= 15 else 'yr'}{1990 + k}") for k in range(1, 32)]
+    wide = e.groupBy(*meta).agg(*cells)
+    return gold_edstats(edstats_to_long(wide))
+
+
+def _unodc_sheets(spark, d) -> list[DataFrame]:
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    nk = F.col("c_nationkey")
+    cols = {
+        "iso3_code": F.when(F.pmod("o_orderkey", F.lit(13)) == 0, F.lit(None)).otherwise(_str(nk)),
+        "country": F.concat(F.lit("Country "), _str(nk)),
+        "region": F.concat(F.lit("R"), _str(F.pmod(nk, F.lit(5)))),
+        "subregion": F.concat(F.lit("S"), _str(F.pmod(nk, F.lit(3)))),
+        "indicator": F.col("o_orderpriority"),
+        "dimension": F.col("o_orderstatus"),
+        "category": F.col("c_mktsegment"),
+        "sex": F.lit("Total"),
+        "age": F.lit("Total"),
+        "year": _str(F.year("o_orderdate")),
+        "value": F.when(F.pmod("o_orderkey", F.lit(11)) == 0, F.lit("n/a")).otherwise(
+            _str(F.col("o_totalprice").cast("decimal(12,2)"))
+        ),
+        "source": F.lit("CTS"),
+    }
+    status = F.col("o_orderstatus")
+    first = j.filter(status == "F").select(*[v.alias(k) for k, v in cols.items()])
+    second = j.filter(~(status == "F") | status.isNull()).select(*[v.alias(k) for k, v in reversed(cols.items())])
+    return [first, second]
+
+
+def q_job_unodc_gold(spark, d):
+    """G5 + G9 + G10: crime-style sheets -> silver dim + fact -> conformed dim -> gold."""
+    from statlake.plans.gold import gold_dim_country, gold_unodc
+    from statlake.plans.silver import unodc_to_silver
+
+    dim_unodc, fact = unodc_to_silver(_unodc_sheets(spark, d))
+    n = table(spark, d, "nation")
+    dim_wb = n.filter(F.col("n_nationkey") < 15).select(
+        _str(F.col("n_nationkey")).alias("country_code"), F.col("n_name").alias("country_name")
+    )
+    return gold_unodc(fact, gold_dim_country(dim_wb, dim_unodc))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
