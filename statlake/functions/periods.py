@@ -5,11 +5,14 @@ Statistical publishers label rows ``1987M01`` (monthly), ``1987Q3``
 text into a DATE on the first day of the period and yields NULL, never an
 error, for anything it cannot read (Spark 4 runs with ANSI on).
 
-The parts are read as integers (digit groups, cast only when present) and
-the date is built by ``make_date`` only when the parts are in range, so
-unreadable labels cost no more than good ones: no date-pattern parsing and
-no exception thrown and caught per bad row. The result is what the text route
-``to_date(concat_ws('-', y, lpad(m, 2, '0'), '01'), 'yyyy-MM-dd')`` gives.
+How, and why this way: the year, month and quarter are read as integer
+parts and the date is built from them with ``try_make_timestamp_ntz``.
+Each part is referenced exactly once in the expression tree, so its regex
+runs once per row (a part used both in a CASE condition and in its value
+may be evaluated twice), and no label is turned into text and re-parsed
+with a date pattern. Good labels never raise internally; only an
+out-of-range month does. The result equals the text route
+``to_date(concat_ws('-', y, lpad(m, 2, '0'), '01'), 'yyyy-MM-dd')``.
 """
 
 from __future__ import annotations
@@ -27,27 +30,30 @@ QUARTER_PART = r"Q([1-4])"
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def _first_day(year: Column, month: Column) -> Column:
-    # an out-of-range month reaches make_date as NULL (-> NULL, no error)
-    month = F.when(month.between(1, 12), month)
-    return F.when(year.between(1, 9999), F.make_date(year, month, F.lit(1)))
+def _digits(label: Column, pattern: str) -> Column:
+    """The regex group as INT; NULL when absent (the group is 1-4 digits)."""
+    return F.nullif(F.regexp_extract(label, pattern, 1), F.lit("")).cast("int")
+
 
+def _year_in_range(year: Column) -> Column:
+    """NULL unless 1 <= year <= 9999 (one reference to ``year``)."""
+    clamped = F.least(F.greatest(year, F.lit(0)), F.lit(10000))
+    return F.nullif(F.nullif(clamped, F.lit(0)), F.lit(10000))
 
-def _int_group(label: Column, pattern: str) -> Column:
-    # the groups are 1-4 digits, so a non-empty match always casts; the
-    # guard keeps the empty no-match text away from the cast
-    digits = F.regexp_extract(label, pattern, 1)
-    return F.when(F.length(digits) > 0, digits.cast("int"))
+
+def _first_day(year: Column, month: Column) -> Column:
+    ts = F.try_make_timestamp_ntz(_year_in_range(year), month, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return ts.cast("date")
 
 
 def monthly(label: Column) -> Column:
     """``'1987M01'`` / ``'1987M1'`` -> 1987-01-01; month 0 or 13 -> NULL."""
-    return _first_day(_int_group(label, YEAR_PREFIX), _int_group(label, MONTH_PART))
+    return _first_day(_digits(label, YEAR_PREFIX), _digits(label, MONTH_PART))
 
 
 def quarterly(label: Column) -> Column:
     """``'1987Q3'`` -> 1987-07-01 (quarter q starts in month 3q-2)."""
-    return _first_day(_int_group(label, YEAR_PREFIX), _int_group(label, QUARTER_PART) * 3 - 2)
+    return _first_day(_digits(label, YEAR_PREFIX), _digits(label, QUARTER_PART) * 3 - 2)
 
 
 def annual(label: Column) -> Column:
@@ -55,12 +61,12 @@ def annual(label: Column) -> Column:
 
     The label is read as a number and truncated to an integer year, so
     ``'1987.0'`` works (a direct text->int cast would reject it). Text is
-    checked against ``NUMBER_TEXT`` before the numeric cast.
+    checked against ``NUMBER_TEXT`` before the numeric cast, so bad text
+    is not parsed at all.
     """
     text = label.cast("string")
     number = F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
-    year = F.when(number.between(1, 9999), number.cast("int"))
-    return _first_day(year, F.lit(1))
+    return _first_day(number.try_cast("int"), F.lit(1))
 
 
 _PARSERS = {"annual": annual, "quarterly": quarterly, "monthly": monthly}

@@ -92,3 +92,17 @@ def key_intersect(a: DataFrame, b: DataFrame) -> DataFrame:
 def key_except(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct keys of ``a`` absent from ``b`` (EXCEPT DISTINCT, NULL-safe)."""
     return a.distinct().subtract(b.distinct())
+
+
+def sort_desc(df: DataFrame, columns: Sequence[str] | str) -> DataFrame:
+    """O1: global sort, descending on ``columns``.
+
+    The remaining columns follow as ascending tie-breakers: a global sort
+    range-partitions on the sort key, and rows sharing one value can never
+    be split across ranges, so a value held by a third of all rows would
+    land in one task. With the tie-breakers the range boundaries can fall
+    inside such a value.
+    """
+    cols = _cols(columns)
+    rest = [qcol(c).asc_nulls_last() for c in df.columns if c not in cols]
+    return df.orderBy(*[qcol(c).desc() for c in cols], *rest)

@@ -32,6 +32,7 @@ from statlake.operators.keys import (
     key_union,
     row_count,
     semi_members,
+    sort_desc,
 )
 from statlake.operators.shape import (
     align_union,
@@ -518,7 +519,7 @@ def q_key_except(spark, d):
 
 
 def q_sort_desc(spark, d):
-    return table(spark, d, "orders").orderBy(F.desc("o_totalprice"))
+    return sort_desc(table(spark, d, "orders"), "o_totalprice")
 
 
 # ------------------------------------------------ whole jobs on driver data

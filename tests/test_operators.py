@@ -6,6 +6,7 @@ from statlake.operators.dims import conform_dim, extract_dim
 from statlake.operators.joins import denormalize, join_dim
 from statlake.operators.keys import (
     anti_members, count_by, duplicate_keys, keep_first, key_except, key_intersect, key_union, row_count, semi_members,
+    sort_desc,
 )
 from statlake.operators.shape import (
     align_union, common_columns, normalize_period, unpivot_entities, unpivot_matching, with_literals,
@@ -135,3 +136,17 @@ def test_conform_dim(spark):
         ("BEL", "Belgium", None, None),
         ("XKX", "Kosovo", "Europe", "East"),
     ]
+
+
+def test_sort_desc_splits_a_hot_value(spark):
+    rows = [(7, i) for i in range(3000)] + [(i, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "price int, id int").repartition(4)
+    out = sort_desc(df, "price")
+    got = [tuple(r) for r in out.collect()]
+    assert got == sorted(rows, key=lambda t: (-t[0], t[1]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = out.rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < 3000  # the 3000 rows of price 7 are not all in one task
