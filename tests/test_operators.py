@@ -146,7 +146,7 @@ def test_sort_desc_splits_a_hot_value(spark):
     assert got == sorted(rows, key=lambda t: (-t[0], t[1]))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sizes = out.rdd.glom().map(len).collect()
+        sizes = sort_desc(df, "price").rdd.glom().map(len).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(sizes) < 3000  # the 3000 rows of price 7 are not all in one task
