@@ -529,6 +529,19 @@ def q_sort_desc(spark, d):
 STATS_YEARS = [1959, *range(1992, 2003), 2030]
 
 
+def land_bronze(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a derived wide table as a bronze table and read it back.
+
+    The jobs read stored bronze tables; each one feeds several outputs
+    (fact and code lists), which then re-read a parquet table (with column
+    pruning) instead of re-deriving it. The table goes to the shared
+    scratch folder under ``spark.checkpoint.dir``.
+    """
+    path = scratch_dir(spark, name)
+    write_table(df, path, sanitize=True)
+    return drop_audit(read_table(spark, path))
+
+
 def _stats_wide(spark, d) -> tuple[DataFrame, DataFrame]:
     """Two wide statistics sources (the second with IDS-style headers)."""
     li = table(spark, d, "lineitem")
@@ -559,7 +572,7 @@ def q_job_non_gem_gold(spark, d):
     from statlake.plans.gold import gold_non_gem
     from statlake.plans.silver import stats_dims, stats_to_long
 
-    first, second = _stats_wide(spark, d)
+    first, second = (land_bronze(spark, w, "bronze_stats") for w in _stats_wide(spark, d))
     sources = [(first, ()), (second, (("series_name", "indicator_name"), ("series_code", "indicator_code")))]
     countries, indicators = stats_dims(sources)
     dim_country = keep_first(countries, ["country_code"], ["country_name"])
@@ -631,7 +644,8 @@ def q_job_unodc_gold(spark, d):
     from statlake.plans.gold import gold_dim_country, gold_unodc
     from statlake.plans.silver import unodc_to_silver
 
-    dim_unodc, fact = unodc_to_silver(_unodc_sheets(spark, d))
+    sheets = [land_bronze(spark, sheet, "bronze_unodc") for sheet in _unodc_sheets(spark, d)]
+    dim_unodc, fact = unodc_to_silver(sheets)
     n = table(spark, d, "nation")
     dim_wb = n.filter(F.col("n_nationkey") < 15).select(
         _str(F.col("n_nationkey")).alias("country_code"), F.col("n_name").alias("country_name")
