@@ -299,6 +299,7 @@ ORACLE: dict[str, str] = {
     "parquet_roundtrip": "SELECT * FROM orders",
     "partitioned_roundtrip": "SELECT * FROM orders",
     "append_accumulate": "SELECT * FROM orders",
+    "audit_column": "SELECT c_custkey, c_name, TRUE AS stamped, TRUE AS stamped_before_read FROM customer",
     "csv_roundtrip": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
                CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal,

@@ -365,6 +365,26 @@ def q_partitioned_roundtrip(spark, d):
     return read_table(spark, path, o.schema).select(*ORDERS_COLUMNS)
 
 
+def q_audit_column(spark, d):
+    """Every written row carries the write's ``insert_timestamp``.
+
+    The timestamp itself differs per run, so the check exposes whether each
+    row got one and whether it lies in the write's time window.
+    """
+    c = table(spark, d, "customer").select("c_custkey", "c_name")
+    path = scratch_dir(spark, "audit_column")
+    before = F.current_timestamp()
+    write_table(c, path)
+    back = read_table(spark, path)
+    stamp = F.col("insert_timestamp")
+    return back.select(
+        "c_custkey",
+        "c_name",
+        stamp.isNotNull().alias("stamped"),
+        (stamp <= before).alias("stamped_before_read"),
+    )
+
+
 def q_append_accumulate(spark, d):
     o = table(spark, d, "orders")
     status = F.col("o_orderstatus")
