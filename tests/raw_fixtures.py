@@ -45,7 +45,8 @@ def build(root: str) -> Layout:
         "monthly": [header, units, ["1987M01", 1.25, None, None], ["1987M13", 5.0, 5.0, 5.0]],
     })
     write_xlsx(raw(GEM[1].file), {
-        "annual": [[None, "St. Lucia"], [Inline("%")], [2001, 7.5]],
+        # an all-text column and a row whose period label is missing
+        "annual": [[None, "St. Lucia", "Notes"], [Inline("%")], [2001, 7.5, "prelim"], [None, 8.5, "x"]],
         "monthly": [[None, "St. Lucia"], ["%"], ["2001M02", 6.5]],
     })
 

@@ -20,6 +20,16 @@ def test_all_jobs_end_to_end_and_idempotent(spark, workdir):
     for _ in range(2):  # a rerun overwrites, giving the same tables
         run_all(spark, layout)
 
+        countries = read_table(spark, layout.bronze("wb_non_gem_countries"))
+        assert countries.columns == ["country_code", "short_name", "ppp_survey_year", "insert_timestamp"]
+        assert rows(spark, layout.bronze("wb_non_gem_countries"), ["country_code", "short_name"]) == [
+            ("AFG", "Afghan\nistan"),  # the same row in two files: kept once
+            ("BEL", 'Bel "gium"'),
+        ]
+        series = read_table(spark, layout.bronze("wb_non_gem_indicators"))
+        assert series.columns == ["series_code", "topic", "indicator_name", "insert_timestamp"]  # common columns
+        assert series.count() == 2
+
         dim = rows(spark, layout.gold("dim_country"), ["country_code", "country_name", "region", "subregion"])
         assert dim == [
             ("AFG", "Afghanistan", "Asia", "Southern Asia"),
@@ -59,6 +69,9 @@ def test_all_jobs_end_to_end_and_idempotent(spark, workdir):
             ("wb_gdp_current", "monthly", "Cote d'Ivoire", None, 5.0),
             ("wb_gdp_current", "monthly", "Korea, Rep.", None, 5.0),
             ("wb_unemployment", "annual", "St. Lucia", d(2001, 1, 1), 7.5),
+            ("wb_unemployment", "annual", "Notes", d(2001, 1, 1), None),
+            ("wb_unemployment", "annual", "St. Lucia", None, 8.5),
+            ("wb_unemployment", "annual", "Notes", None, None),
             ("wb_unemployment", "monthly", "St. Lucia", d(2001, 2, 1), 6.5),
         ], key=_key)
 
