@@ -25,7 +25,9 @@ from statlake.operators.keys import (
     key_except,
     key_intersect,
     key_union,
+    row_count,
     semi_members,
+    sort_desc,
 )
 from statlake.operators.shape import (
     align_union,
@@ -58,9 +60,11 @@ __all__ = [
     "normalize_period",
     "parse_period",
     "recode",
+    "row_count",
     "sanitize_columns",
     "sanitize_name",
     "semi_members",
+    "sort_desc",
     "unpivot_entities",
     "unpivot_matching",
     "with_literals",

@@ -91,7 +91,7 @@ def q_unpivot_years_prefixed(spark, d):
 
 
 def q_unpivot_years_plain(spark, d):
-    """Only in-range ``nnnn`` headers, four... here two ids kept, rest dropped."""
+    """Only in-range ``nnnn`` headers are unpivoted; the listed ids are kept, other columns dropped."""
     li = table(spark, d, "lineitem")
     yr = F.year("l_shipdate")
     wide = li.groupBy("l_returnflag", "l_linestatus").agg(
