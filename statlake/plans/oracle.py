@@ -207,7 +207,7 @@ _JOB_UNODC = """
     sheet AS (
       SELECT CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS country_code,
              o_orderpriority AS indicator, o_orderstatus AS dimension, c_mktsegment AS category,
-             year(o_orderdate) AS year,
+             CAST(year(o_orderdate) AS INTEGER) AS year,
              TRY_CAST(CASE WHEN o_orderkey % 11 = 0 THEN 'n/a'
                            ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS FLOAT) AS value
       FROM o),

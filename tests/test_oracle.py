@@ -12,6 +12,10 @@ import __spark_entry__ as entry_module
 from .conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
 
 
 def _norm(v):
@@ -50,6 +54,8 @@ def test_query_matches_oracle(spark, duck, name):
     srows = Counter(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
     rel = duck.sql(entry_module.oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema}
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
     idx = [rel.columns.index(c) for c in cols]
     drows = Counter(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
     assert srows == drows
