@@ -11,8 +11,6 @@ whatever the size; without one, Spark checks the size itself:
 
 Beyond both thresholds the join stays a sort-merge join, and AQE's skew
 handling splits a fact partition whose key holds a large share of the rows.
-``broadcast_bounded`` is for the rare side whose size is bounded by
-definition (e.g. a five-row code list).
 """
 
 from __future__ import annotations
@@ -25,10 +23,6 @@ from pyspark.sql import functions as F
 from statlake.functions.names import qcol
 
 
-def broadcast_bounded(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded by definition."""
-    return F.broadcast(df)
-
 
 def join_dim(
     fact: DataFrame,

@@ -36,7 +36,6 @@ from statlake.operators.keys import (
 )
 from statlake.operators.shape import (
     align_union,
-    normalize_period,
     unpivot_entities,
     unpivot_matching,
     with_literals,

@@ -78,7 +78,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="statlake-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to storage shared by all executors; "
+                "statlake writes scratch and round-trip tables there"
+            )
+        current = tempfile.mkdtemp(prefix="statlake-ckpt-")  # local mode only
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
     return current
@@ -89,6 +94,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def cpus_from_env(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))

@@ -34,7 +34,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 # XML namespaces of the Office Open XML spreadsheet format.
 NS_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 NS_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-NS_PKG = "http://schemas.openxmlformats.org/package/2006/relationships"
 
 
 def _tag(local: str) -> str:
