@@ -63,11 +63,6 @@ def column_index(ref: str) -> int:
     return n - 1
 
 
-def _row_number(ref: str) -> int:
-    digits = "".join(ch for ch in ref if ch.isdigit())
-    return int(digits) if digits else 0
-
-
 def _sheet_path(zf: zipfile.ZipFile, sheet: str | None) -> str:
     """Archive member holding the named (or first) sheet."""
     from xml.etree.ElementTree import fromstring
@@ -186,10 +181,13 @@ def read_header(path: str, opts: _Options) -> list[str]:
         header_cells: dict[int, str] = {}
         # first pass without strings: find the header row and its string ids
         raw_cells = {}
+        last = 0
         with zf.open(member) as fh:
             for _event, el in iterparse(fh, events=("end",)):
                 if el.tag == _tag("row"):
-                    if _row_number(el.get("r") or "0") == target:
+                    ref = el.get("r")
+                    last = int(ref) if ref else last + 1
+                    if last == target:
                         for pos, c in enumerate(el.iter(_tag("c"))):
                             ref = c.get("r")
                             raw_cells[column_index(ref) if ref else pos] = c

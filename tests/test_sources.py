@@ -93,3 +93,25 @@ def test_accumulate_and_append(spark, workdir):
 def test_namespaces(spark, workdir):
     create_namespaces(spark, {"bronze_t": os.path.join(workdir, "bronze")})
     assert "bronze_t" in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_xlsx_without_row_and_cell_references(spark, workdir):
+    import zipfile
+
+    path = os.path.join(workdir, "plain.xlsx")
+    write_xlsx(path, {"s": [["a"]]})  # valid package; replace the sheet with one without refs
+    sheet = (
+        '<?xml version="1.0" encoding="UTF-8"?>'
+        '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
+        '<row><c t="inlineStr"><is><t>k</t></is></c><c t="inlineStr"><is><t>v</t></is></c></row>'
+        '<row><c t="inlineStr"><is><t>x</t></is></c><c><v>1.5</v></c></row>'
+        "</sheetData></worksheet>"
+    )
+    rebuilt = os.path.join(workdir, "plain2.xlsx")
+    with zipfile.ZipFile(path) as src, zipfile.ZipFile(rebuilt, "w") as dst:
+        for item in src.namelist():
+            data = sheet if item == "xl/worksheets/sheet1.xml" else src.read(item)
+            dst.writestr(item, data)
+    df = read_xlsx(spark, rebuilt)
+    assert df.columns == ["k", "v"]
+    assert [tuple(r) for r in df.collect()] == [("x", "1.5")]
