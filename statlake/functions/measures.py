@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.names import qcol
+from statlake.functions.sql import ident, string
 
 # What counts as numeric text in a measure column, the marker
 # for "no value" kept as NULL, and the total marker of dimension codes.
@@ -25,14 +26,15 @@ def is_numeric_text(col: Column | str) -> Column:
 
 def recode(df: DataFrame, columns: Sequence[str], mapping: Mapping[str, str] = TOTAL_RECODE) -> DataFrame:
     """Replace exact values in the given columns (D5), one projection."""
-    replaced = {}
-    for name in columns:
-        expr = None
-        for old, new in mapping.items():
-            cond = qcol(name) == F.lit(old)
-            expr = F.when(cond, F.lit(new)) if expr is None else expr.when(cond, F.lit(new))
-        replaced[name] = expr.otherwise(qcol(name)) if expr is not None else qcol(name)
-    return df.withColumns(replaced)
+    targets = set(columns)
+    exprs = []
+    for name in df.columns:
+        if name in targets and mapping:
+            arms = " ".join(f"WHEN {ident(name)} = {string(o)} THEN {string(n)}" for o, n in mapping.items())
+            exprs.append(f"CASE {arms} ELSE {ident(name)} END AS {ident(name)}")
+        else:
+            exprs.append(ident(name))
+    return df.selectExpr(*exprs)
 
 
 def clean_measure(
@@ -72,8 +74,9 @@ def cast_by_name(
     text becomes NULL instead of failing the job.
     """
     rules = {"value": "float", "year": "int"} if rules is None else dict(rules)
-    out = []
+    exprs = []
     for name in df.columns:
         target = rules.get(name, default)
-        out.append(qcol(name) if target is None else qcol(name).try_cast(target).alias(name))
-    return df.select(*out)
+        col = ident(name)
+        exprs.append(col if target is None else f"TRY_CAST({col} AS {target}) AS {col}")
+    return df.selectExpr(*exprs)

@@ -13,6 +13,7 @@ may be evaluated twice), and no label is turned into text and re-parsed
 with a date pattern. Good labels never raise internally; only an
 out-of-range month does. The result equals the text route
 ``to_date(concat_ws('-', y, lpad(m, 2, '0'), '01'), 'yyyy-MM-dd')``.
+The expression is built as SQL text (one parse on the JVM).
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from statlake.functions.sql import ident, string
+
 FREQUENCIES = ("annual", "quarterly", "monthly")
 
 # The patterns that read period labels.
@@ -30,52 +33,52 @@ QUARTER_PART = r"Q([1-4])"
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def _digits(label: Column, pattern: str) -> Column:
+def _digits(label: str, pattern: str) -> str:
     """The regex group as INT; NULL when absent (the group is 1-4 digits)."""
-    return F.nullif(F.regexp_extract(label, pattern, 1), F.lit("")).cast("int")
+    return f"CAST(NULLIF(regexp_extract({label}, {string(pattern)}, 1), '') AS INT)"
 
 
-def _year_in_range(year: Column) -> Column:
+def _year_in_range(year: str) -> str:
     """NULL unless 1 <= year <= 9999 (one reference to ``year``)."""
-    clamped = F.least(F.greatest(year, F.lit(0)), F.lit(10000))
-    return F.nullif(F.nullif(clamped, F.lit(0)), F.lit(10000))
+    return f"NULLIF(NULLIF(LEAST(GREATEST({year}, 0), 10000), 0), 10000)"
 
 
-def _first_day(year: Column, month: Column) -> Column:
-    ts = F.try_make_timestamp_ntz(_year_in_range(year), month, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    return ts.cast("date")
+def _first_day(year: str, month: str) -> str:
+    return f"CAST(try_make_timestamp_ntz({_year_in_range(year)}, {month}, 1, 0, 0, 0) AS DATE)"
 
 
-def monthly(label: Column) -> Column:
+def monthly_sql(label: str) -> str:
     """``'1987M01'`` / ``'1987M1'`` -> 1987-01-01; month 0 or 13 -> NULL."""
     return _first_day(_digits(label, YEAR_PREFIX), _digits(label, MONTH_PART))
 
 
-def quarterly(label: Column) -> Column:
+def quarterly_sql(label: str) -> str:
     """``'1987Q3'`` -> 1987-07-01 (quarter q starts in month 3q-2)."""
-    return _first_day(_digits(label, YEAR_PREFIX), _digits(label, QUARTER_PART) * 3 - 2)
+    return _first_day(_digits(label, YEAR_PREFIX), f"({_digits(label, QUARTER_PART)} * 3 - 2)")
 
 
-def annual(label: Column) -> Column:
+def annual_sql(label: str) -> str:
     """``'1987'``, ``'1987.0'`` or a numeric 1987.0 -> 1987-01-01.
 
     The label is read as a number and truncated to an integer year, so
     ``'1987.0'`` works (a direct text->int cast would reject it). Text is
-    checked against ``NUMBER_TEXT`` before the numeric cast, so bad text
-    is not parsed at all.
+    checked against ``NUMBER_TEXT`` first, so bad text is not parsed at all.
     """
-    text = label.cast("string")
-    number = F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
-    return _first_day(number.try_cast("int"), F.lit(1))
+    text = f"CAST({label} AS STRING)"
+    number = f"CASE WHEN {text} RLIKE {string(NUMBER_TEXT)} THEN TRY_CAST({text} AS DOUBLE) END"
+    return _first_day(f"TRY_CAST({number} AS INT)", "1")
 
 
-_PARSERS = {"annual": annual, "quarterly": quarterly, "monthly": monthly}
+_PARSERS = {"annual": annual_sql, "quarterly": quarterly_sql, "monthly": monthly_sql}
 
 
-def parse_period(label: Column | str, frequency: str) -> Column:
-    """First day of the period named by ``label`` at ``frequency``."""
+def period_sql(label: str, frequency: str) -> str:
+    """SQL text of the period expression for the column named ``label``."""
     if frequency not in _PARSERS:
         raise ValueError(f"frequency must be one of {FREQUENCIES}, got {frequency!r}")
-    if isinstance(label, str):
-        label = F.col(label)
-    return _PARSERS[frequency](label)
+    return _PARSERS[frequency](ident(label))
+
+
+def parse_period(label: str, frequency: str) -> Column:
+    """First day of the period named by the column ``label`` at ``frequency``."""
+    return F.expr(period_sql(label, frequency))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.names import qcol
+from statlake.functions.sql import ident
 
 
 
@@ -45,9 +46,9 @@ def join_dim(
     f, d = fact.alias("f"), dim.alias("d")
     cond = F.col(f"f.`{fact_key}`") == F.col(f"d.`{dim_key}`")
     kept = list(keep_fact) if keep_fact is not None else list(fact.columns)
-    out = [F.col(f"f.`{c}`").alias(c) for c in kept]
-    out += [F.col(f"d.`{src}`").alias(name) for name, src in columns.items()]
-    return f.join(d, cond, how).select(*out)
+    out = [f"f.{ident(c)} AS {ident(c)}" for c in kept]
+    out += [f"d.{ident(src)} AS {ident(name)}" for name, src in columns.items()]
+    return f.join(d, cond, how).selectExpr(*out)
 
 
 def denormalize(

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.names import qcol
+from statlake.functions.sql import ident
 
 _RANK = "__statlake_rank"
 
@@ -27,21 +28,22 @@ def _cols(names: Sequence[str] | str) -> list[str]:
 def keep_first(
     df: DataFrame,
     keys: Sequence[str] | str,
-    order: Sequence[Column | str] = (),
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key, the first by ``order``.
+    """One row per key, the first by the ``order`` columns (ascending).
 
-    Remaining columns (ascending) break ties, so the survivor is
-    deterministic whatever the partitioning. Catalyst plans
+    Remaining columns (ascending, NULLs last) break ties, so the survivor
+    is deterministic whatever the partitioning. Catalyst plans
     ``row_number() = 1`` with a partial WindowGroupLimit before the
     shuffle, so skewed keys are reduced map-side.
     """
     keys = _cols(keys)
-    order_cols = [qcol(o) if isinstance(o, str) else o for o in order]
-    named = {o for o in order if isinstance(o, str)}
-    tie = [qcol(c).asc_nulls_last() for c in df.columns if c not in keys and c not in named]
-    window = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(*order_cols, *tie)
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    order = list(order)
+    tie = [c for c in df.columns if c not in keys and c not in order]
+    by = ", ".join([f"{ident(o)} ASC NULLS FIRST" for o in order] + [f"{ident(c)} ASC NULLS LAST" for c in tie])
+    over = f"PARTITION BY {', '.join(ident(k) for k in keys)}" + (f" ORDER BY {by}" if by else "")
+    ranked = df.withColumn(_RANK, F.expr(f"row_number() OVER ({over})"))
+    return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def count_by(df: DataFrame, keys: Sequence[str] | str, name: str = "n") -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.names import qcol
-from statlake.functions.periods import parse_period
+from statlake.functions.periods import period_sql
+from statlake.functions.sql import ident, string
 
 
 def _unpivot(
@@ -26,22 +27,23 @@ def _unpivot(
     value: str,
     value_type: str | None,
 ) -> DataFrame:
-    """``values`` are (column, label) pairs; NULL cells are kept."""
+    """``values`` are (column, label) pairs; NULL cells are kept.
+
+    One projection (SQL text, parsed once) renames the value columns to
+    their labels and, if asked, casts them to one type (unpivot needs a
+    single value type; text that does not read as the type becomes NULL).
+    """
     if not values:
         raise ValueError("nothing to unpivot: no value column selected")
-    cols = []
+    types = dict(df.dtypes)
+    exprs = [ident(i) for i in ids]
     for name, label in values:
-        c = qcol(name)
+        src = ident(name)
         if value_type is not None:
-            # unpivot needs one value type; text cells that do not read as
-            # the type become NULL rather than failing the job.
-            c = c.try_cast(value_type) if _is_text(df, name) else c.cast(value_type)
-        cols.append(c.alias(label))
-    return df.unpivot([qcol(i) for i in ids], cols, variable, value)
-
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return df.schema[name].dataType.typeName() == "string"
+            src = f"{'TRY_CAST' if types[name] == 'string' else 'CAST'}({src} AS {value_type})"
+        exprs.append(f"{src} AS {ident(label)}")
+    staged = df.selectExpr(*exprs)
+    return staged.unpivot([ident(i) for i in ids], [ident(label) for _, label in values], variable, value)
 
 
 def unpivot_entities(
@@ -130,11 +132,11 @@ def normalize_period(
 
     The label column and any ``insert_timestamp`` are removed; the other
     columns keep their order, then ``frequency`` (unless dropped) and
-    ``period``.
+    ``period``. One projection.
     """
     others = [c for c in df.columns if c not in (label, "insert_timestamp", "frequency", "period")]
-    cols = [qcol(c) for c in others]
+    exprs = [ident(c) for c in others]
     if keep_frequency:
-        cols.append(F.lit(frequency).alias("frequency"))
-    cols.append(parse_period(qcol(label), frequency).alias("period"))
-    return df.select(*cols)
+        exprs.append(f"{string(frequency)} AS frequency")
+    exprs.append(f"{period_sql(label, frequency)} AS period")
+    return df.selectExpr(*exprs)
