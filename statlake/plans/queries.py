@@ -40,6 +40,7 @@ from statlake.operators.shape import (
     unpivot_matching,
     with_literals,
 )
+from statlake.functions.sql import string as sql_string
 from statlake.session import scratch_dir
 from statlake.sources.csv import read_csv, write_csv
 from statlake.sources.tables import accumulate, drop_audit, read_table, write_table
@@ -88,13 +89,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def money_sum(col: Column) -> Column:
-    return F.sum(col.cast("decimal(18,2)")).cast("double")
+# Wide test tables have one aggregate per column; they are written as SQL
+# text so each column costs one parse on the JVM, not a gateway call per
+# operation.
 
+def money_sum(expr: str) -> Column:
+    return F.expr(f"CAST(SUM(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)")
 
-def count_if(cond: Column) -> Column:
+
+def count_if_sql(cond: str) -> str:
     """Matching rows, NULL (not 0) when none: an empty cell of a wide table."""
-    return F.sum(F.when(cond, F.lit(1))).cast("bigint")
+    return f"CAST(SUM(CASE WHEN {cond} THEN 1 END) AS BIGINT)"
+
+
+def count_if(cond: str) -> Column:
+    return F.expr(count_if_sql(cond))
 
 
 def _str(c: Column) -> Column:
@@ -106,18 +115,16 @@ def _str(c: Column) -> Column:
 def q_unpivot_years_prefixed(spark, d):
     """R2 on a ``YRnnnn``-wide table: orders per priority and year."""
     o = table(spark, d, "orders")
-    yr = F.year("o_orderdate")
-    wide = o.groupBy("o_orderpriority").agg(*[count_if(yr == y).alias(f"YR{y}") for y in PREFIXED_YEARS])
+    wide = o.groupBy("o_orderpriority").agg(*[count_if(f"year(o_orderdate) = {y}").alias(f"YR{y}") for y in PREFIXED_YEARS])
     return unpivot_matching(wide, r"yr\d{4}", variable="year", value="value", strip_prefix=2)
 
 
 def q_unpivot_years_plain(spark, d):
     """Only in-range ``nnnn`` headers are unpivoted; the listed ids are kept, other columns dropped."""
     li = table(spark, d, "lineitem")
-    yr = F.year("l_shipdate")
     wide = li.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).cast("string").alias("Rows In Group"),
-        *[_str(count_if(yr == y)).alias(str(y)) for y in PLAIN_YEARS],
+        *[F.expr(f"CAST({count_if_sql(f'year(l_shipdate) = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS],
     )
     long = unpivot_matching(
         wide, YEAR_HEADER, variable="year", value="value", ids=["l_returnflag", "l_linestatus"], full_match=True
@@ -131,7 +138,8 @@ def _segment_wide(spark, d) -> DataFrame:
     j = o.join(c, o.o_custkey == c.c_custkey)
     label = F.date_format("o_orderdate", "yyyy'M'MM").alias("year")
     return j.groupBy(label).agg(
-        *[money_sum(F.when(F.col("c_mktsegment") == seg, F.col("o_totalprice"))).alias(h) for seg, h in SEGMENT_HEADERS.items()]
+        *[money_sum(f"CASE WHEN c_mktsegment = {sql_string(seg)} THEN o_totalprice END").alias(h)
+          for seg, h in SEGMENT_HEADERS.items()]
     )
 
 
@@ -217,7 +225,8 @@ def gem_like_wide(cells: DataFrame, frequency: str) -> DataFrame:
     """A publisher-style wide sheet: period label | one column per region."""
     label = _LABELS[frequency](F.col("month")).alias("year")
     return cells.groupBy(label).agg(
-        *[F.sum(F.when(F.col("r_name") == name, F.col("v"))).cast("double").alias(name) for name in REGION_NAMES]
+        *[F.expr(f"CAST(SUM(CASE WHEN r_name = {sql_string(name)} THEN v END) AS DOUBLE)").alias(name)
+          for name in REGION_NAMES]
     )
 
 
@@ -596,7 +605,7 @@ def _stats_wide(spark, d) -> tuple[DataFrame, DataFrame]:
         .join(pa, li.l_partkey == pa.p_partkey)
         .select("n_nationkey", "n_name", "p_brand", "l_returnflag", F.year("l_shipdate").alias("y"))
     )
-    cells = [_str(count_if(F.col("y") == y)).alias(str(y)) for y in STATS_YEARS]
+    cells = [F.expr(f"CAST({count_if_sql(f'y = {y}')} AS STRING)").alias(str(y)) for y in STATS_YEARS]
     code = _str(F.col("n_nationkey")).alias("country_code")
     first = base.filter(F.col("l_returnflag") == "R").groupBy(
         F.col("n_name").alias("country_name"), code,
@@ -621,14 +630,14 @@ def q_job_non_gem_gold(spark, d):
     return gold_non_gem(stats_to_long(sources), dim_country, indicators)
 
 
-def edstats_cell(c: Column) -> Column:
-    k = F.pmod(c, F.lit(4))
-    return (
-        F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(k == 1, F.lit("NA"))
-        .when(k == 2, F.concat(_str(c), F.lit(".")))
-        .when(k == 3, F.concat(F.lit("x"), _str(c)))
-        .otherwise(F.concat(F.lit("-"), _str(c), F.lit("e1")))
+def edstats_cell(count: str) -> Column:
+    """Text cell from a count: NULL, 'NA', '3.', 'x3' or '-3e1'."""
+    c = f"({count})"
+    return F.expr(
+        f"CASE WHEN {c} IS NULL THEN NULL WHEN pmod({c}, 4) = 1 THEN 'NA' "
+        f"WHEN pmod({c}, 4) = 2 THEN concat(CAST({c} AS STRING), '.') "
+        f"WHEN pmod({c}, 4) = 3 THEN concat('x', CAST({c} AS STRING)) "
+        f"ELSE concat('-', CAST({c} AS STRING), 'e1') END"
     )
 
 
@@ -648,8 +657,10 @@ def q_job_edstats_gold(spark, d):
         F.lit("NUM").alias("unit_type"),
         F.lit("EV").alias("unit_measure"),
     ]
-    day = F.dayofmonth("ts")
-    cells = [edstats_cell(count_if(day == k)).alias(f"{'YR' if k <= 15 else 'yr'}{1990 + k}") for k in range(1, 32)]
+    cells = [
+        edstats_cell(count_if_sql(f"dayofmonth(ts) = {k}")).alias(f"{'YR' if k <= 15 else 'yr'}{1990 + k}")
+        for k in range(1, 32)
+    ]
     wide = e.groupBy(*meta).agg(*cells)
     return gold_edstats(edstats_to_long(wide))
 
