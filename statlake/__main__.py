@@ -17,7 +17,9 @@ from statlake.plans.silver import run_silver
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="statlake")
-    parser.add_argument("--root", required=True, help="lake root holding raw/ (and receiving bronze/ silver/ gold/)")
+    where = parser.add_mutually_exclusive_group(required=True)
+    where.add_argument("--root", help="lake root holding raw/ (and receiving bronze/ silver/ gold/)")
+    where.add_argument("--config", help="YAML file with the layout (root, edstats_file)")
     parser.add_argument("--layer", default="all", choices=["all", "bronze", "silver", "gold"])
     args = parser.parse_args(argv)
 
@@ -26,7 +28,7 @@ def main(argv: list[str] | None = None) -> None:
         from statlake.session import local_session
 
         spark = local_session()
-    layout = Layout(args.root)
+    layout = Layout.from_yaml(args.config) if args.config else Layout(args.root)
     steps = {"bronze": [run_bronze], "silver": [run_silver], "gold": [run_gold]}
     for step in steps.get(args.layer, [run_bronze, run_silver, run_gold]):
         step(spark, layout)

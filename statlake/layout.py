@@ -8,7 +8,7 @@ substrings of their names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 FREQUENCIES = ("annual", "quarterly", "monthly")
 
@@ -137,7 +137,6 @@ class Layout:
     stats: tuple[StatsSource, ...] = STATS_SOURCES
     unodc: tuple[tuple[str, str], ...] = UNODC_SOURCES
     edstats_file: str = EDSTATS_FILE
-    extra: dict = field(default_factory=dict, compare=False)
 
     def _join(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -159,5 +158,22 @@ class Layout:
 
     @classmethod
     def from_mapping(cls, mapping: dict) -> "Layout":
-        """Build from a parsed config (e.g. YAML): ``{"root": ...}``."""
-        return cls(root=mapping["root"])
+        """Build from a parsed config: ``{"root": ..., "edstats_file": ...}``.
+
+        Only the lake root is required; ``edstats_file`` may point at a
+        differently named EdStats download.
+        """
+        kwargs = {"root": mapping["root"]}
+        if "edstats_file" in mapping:
+            kwargs["edstats_file"] = mapping["edstats_file"]
+        return cls(**kwargs)
+
+    @classmethod
+    def from_yaml(cls, path: str) -> "Layout":
+        """Build from a YAML file with the keys of ``from_mapping``."""
+        try:
+            import yaml
+        except ImportError as exc:  # pragma: no cover - yaml is optional
+            raise RuntimeError("PyYAML is needed to read a YAML layout; use from_mapping") from exc
+        with open(path, encoding="utf-8") as fh:
+            return cls.from_mapping(yaml.safe_load(fh))

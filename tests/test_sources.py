@@ -115,3 +115,15 @@ def test_xlsx_without_row_and_cell_references(spark, workdir):
     df = read_xlsx(spark, rebuilt)
     assert df.columns == ["k", "v"]
     assert [tuple(r) for r in df.collect()] == [("x", "1.5")]
+
+
+def test_layout_from_yaml(workdir):
+    from statlake.layout import Layout
+
+    path = os.path.join(workdir, "lake.yaml")
+    with open(path, "w") as fh:
+        fh.write("root: /shared/lake\nedstats_file: ed/Ed.csv\n")
+    layout = Layout.from_yaml(path)
+    assert layout.bronze("wb_edstats") == "/shared/lake/bronze/wb_edstats"
+    assert layout.raw(layout.edstats_file) == "/shared/lake/raw/ed/Ed.csv"
+    assert set(layout.namespaces()) == {"bronze", "silver", "gold"}
