@@ -77,3 +77,12 @@ def test_partitioned_write_rebalances(spark, workdir):
     write_table(o, workdir + "/t", partition_by="o_orderpriority")
     back = spark.read.parquet(workdir + "/t")
     assert back.filter(F.col("o_orderpriority") == "1-URGENT").count() == o.filter(F.col("o_orderpriority") == "1-URGENT").count()
+
+
+def test_no_cross_joins_generators_or_python_in_any_query(spark):
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "Generate ", "BatchEvalPython", "ArrowEvalPython",
+              "MapInPandas", "FlatMapGroupsInPandas")
+    for name, build in QUERIES.items():
+        p = plan(build(spark, SF_SMALL))
+        found = [b.strip() for b in banned if b in p]
+        assert not found, (name, found)
