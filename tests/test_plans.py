@@ -86,3 +86,58 @@ def test_no_cross_joins_generators_or_python_in_any_query(spark):
         p = plan(build(spark, SF_SMALL))
         found = [b.strip() for b in banned if b in p]
         assert not found, (name, found)
+
+
+def _with_conf(spark, conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def _restore(spark, old):
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    # one key holds a third of the fact; broadcast is off so the join must shuffle
+    old = _with_conf(spark, {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    })
+    try:
+        fact = spark.range(300_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("k"), F.col("id").alias("v"))
+        dim = spark.range(1001).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+        out = join_dim(fact, dim, "k", columns={"name": "name"})
+        assert out.count() == 300_000
+        out.collect()
+        final = plan(out).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        _restore(spark, old)
+
+
+def test_hot_partition_value_is_written_by_several_tasks(spark, workdir):
+    import glob
+
+    from statlake.sources.tables import write_table
+
+    old = _with_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"})
+    try:
+        df = spark.range(400_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string")).alias("code"),
+            (F.col("id") * 7).alias("v"))
+        write_table(df, workdir + "/p", partition_by="code", sanitize=False)
+        hot_files = glob.glob(workdir + "/p/code=HOT/*.parquet")
+        assert len(hot_files) > 1  # the hot value was split over tasks, not written by one
+        assert spark.read.parquet(workdir + "/p").count() == 400_000
+    finally:
+        _restore(spark, old)
