@@ -41,6 +41,7 @@ from statlake.operators.shape import (
     with_literals,
 )
 from statlake.functions.sql import string as sql_string
+from statlake.layout import EDSTATS_YEAR_HEADER, STATS_YEAR_HEADER
 from statlake.session import scratch_dir
 from statlake.sources.csv import read_csv, write_csv
 from statlake.sources.tables import accumulate, drop_audit, read_table, write_table
@@ -57,8 +58,6 @@ SEGMENT_HEADERS = {
     "HOUSEHOLD": "House hold (all)",
     "MACHINERY": "MACHINERY",
 }
-# Year headers accepted by the plain-year unpivot (1960-2029).
-YEAR_HEADER = r"^(19[6-9]\d|20[0-2]\d|2023)$"
 PREFIXED_YEARS = list(range(1992, 2000))
 PLAIN_YEARS = [1959, *range(1993, 2004), 2030]
 
@@ -116,7 +115,7 @@ def q_unpivot_years_prefixed(spark, d):
     """R2 on a ``YRnnnn``-wide table: orders per priority and year."""
     o = table(spark, d, "orders")
     wide = o.groupBy("o_orderpriority").agg(*[count_if(f"year(o_orderdate) = {y}").alias(f"YR{y}") for y in PREFIXED_YEARS])
-    return unpivot_matching(wide, r"yr\d{4}", variable="year", value="value", strip_prefix=2)
+    return unpivot_matching(wide, EDSTATS_YEAR_HEADER, variable="year", value="value", strip_prefix=2)
 
 
 def q_unpivot_years_plain(spark, d):
@@ -127,7 +126,7 @@ def q_unpivot_years_plain(spark, d):
         *[F.expr(f"CAST({count_if_sql(f'year(l_shipdate) = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS],
     )
     long = unpivot_matching(
-        wide, YEAR_HEADER, variable="year", value="value", ids=["l_returnflag", "l_linestatus"], full_match=True
+        wide, STATS_YEAR_HEADER, variable="year", value="value", ids=["l_returnflag", "l_linestatus"], full_match=True
     )
     return cast_by_name(long, {"year": "int", "value": "float"}, default=None)
 
