@@ -141,3 +141,27 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, workdir):
         assert spark.read.parquet(workdir + "/p").count() == 400_000
     finally:
         _restore(spark, old)
+
+
+def test_hot_key_semi_join_is_split_by_aqe(spark):
+    from statlake.operators.keys import semi_members
+
+    old = _with_conf(spark, {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    })
+    try:
+        fact = spark.range(300_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("code"), F.col("id").alias("v"))
+        members = spark.range(0, 1001, 2).select(F.col("id").alias("code"))  # the hot code 0 is a member
+        out = semi_members(fact, members, "code")
+        expected = fact.filter(F.col("code") % 2 == 0).count()
+        assert out.count() == expected
+        out.collect()
+        final = plan(out).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final and "LeftSemi" in final
+    finally:
+        _restore(spark, old)
