@@ -36,14 +36,24 @@ def _unpivot(
     if not values:
         raise ValueError("nothing to unpivot: no value column selected")
     types = dict(df.dtypes)
+    labels = [label for _, label in values]
+    # labels double as staged column names unless two collide (e.g. yr1999
+    # and zz1999 with the prefix stripped) or one equals an id; then stage
+    # under internal names
+    distinct = len(set(labels)) == len(labels) and not set(labels) & set(ids)
+    staged_names = labels if distinct else [f"__statlake_v{k}" for k in range(len(values))]
     exprs = [ident(i) for i in ids]
-    for name, label in values:
+    for (name, _), staged_name in zip(values, staged_names):
         src = ident(name)
         if value_type is not None:
             src = f"{'TRY_CAST' if types[name] == 'string' else 'CAST'}({src} AS {value_type})"
-        exprs.append(f"{src} AS {ident(label)}")
+        exprs.append(f"{src} AS {ident(staged_name)}")
     staged = df.selectExpr(*exprs)
-    return staged.unpivot([ident(i) for i in ids], [ident(label) for _, label in values], variable, value)
+    if distinct:
+        cols = [ident(label) for label in labels]
+    else:
+        cols = [F.col(ident(n)).alias(label) for n, label in zip(staged_names, labels)]
+    return staged.unpivot([ident(i) for i in ids], cols, variable, value)
 
 
 def unpivot_entities(

@@ -150,3 +150,11 @@ def test_sort_desc_splits_a_hot_value(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(sizes) < 3000  # the 3000 rows of price 7 are not all in one task
+
+
+def test_unpivot_labels_that_collide(spark):
+    # two headers whose labels collide once the prefix is stripped
+    df = spark.createDataFrame([("x", "1", "2")], "name string, yr1999 string, zz1999 string")
+    out = unpivot_matching(df, r"[a-z]{2}\d{4}", strip_prefix=2)
+    assert out.columns == ["name", "year", "value"]
+    assert [(r.year, r.value) for r in out.collect()] == [("1999", "1"), ("1999", "2")]
