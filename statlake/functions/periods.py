@@ -35,7 +35,7 @@ NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 def _digits(label: str, pattern: str) -> str:
     """The regex group as INT; NULL when absent (the group is 1-4 digits)."""
-    return f"CAST(NULLIF(regexp_extract({label}, {string(pattern)}, 1), '') AS INT)"
+    return f"CAST(NULLIF(regexp_extract(CAST({label} AS STRING), {string(pattern)}, 1), '') AS INT)"
 
 
 def _year_in_range(year: str) -> str:

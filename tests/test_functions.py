@@ -91,3 +91,9 @@ def test_drop_incomplete(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "a int, b string")
     assert drop_incomplete(df).count() == 1
     assert drop_incomplete(df, ["a"]).count() == 2
+
+
+def test_numeric_labels_at_every_frequency(spark):
+    df = spark.createDataFrame([(1987.0,), (None,)], "y double")
+    got = df.select(*[parse_period("y", f).alias(f) for f in ("annual", "quarterly", "monthly")]).collect()
+    assert [tuple(r) for r in got] == [(dt.date(1987, 1, 1), None, None), (None, None, None)]
