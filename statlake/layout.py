@@ -158,14 +158,36 @@ class Layout:
 
     @classmethod
     def from_mapping(cls, mapping: dict) -> "Layout":
-        """Build from a parsed config: ``{"root": ..., "edstats_file": ...}``.
-
-        Only the lake root is required; ``edstats_file`` may point at a
-        differently named EdStats download.
+        """Build from a parsed config.
+
+        ``root`` is required. Optional: ``edstats_file``; ``gem`` (list of
+        ``{indicator, file, frequencies}``); ``stats`` (list of ``{name,
+        data_file, country_file, series_file}`` plus optional ``renames``,
+        ``country_renames``, ``series_renames`` as ``[old, new]`` pairs and
+        ``country_drop``); ``unodc`` (list of ``{name, file}``). Lists that
+        are given replace the defaults.
         """
-        kwargs = {"root": mapping["root"]}
+        kwargs: dict = {"root": mapping["root"]}
         if "edstats_file" in mapping:
             kwargs["edstats_file"] = mapping["edstats_file"]
+        if "gem" in mapping:
+            kwargs["gem"] = tuple(
+                GemSource(g["indicator"], g["file"], tuple(g["frequencies"])) for g in mapping["gem"]
+            )
+        if "stats" in mapping:
+            pairs = lambda items: tuple(tuple(p) for p in items or ())
+            kwargs["stats"] = tuple(
+                StatsSource(
+                    s["name"], s["data_file"], s["country_file"], s["series_file"],
+                    renames=pairs(s.get("renames")),
+                    country_renames=pairs(s.get("country_renames")),
+                    series_renames=pairs(s.get("series_renames")),
+                    country_drop=tuple(s.get("country_drop", ("Alternative conversion factor",))),
+                )
+                for s in mapping["stats"]
+            )
+        if "unodc" in mapping:
+            kwargs["unodc"] = tuple((u["name"], u["file"]) for u in mapping["unodc"])
         return cls(**kwargs)
 
     @classmethod

@@ -107,3 +107,38 @@ def test_gold_edstats_partitions_prune(spark, workdir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(period" in plan
     assert df.count() == 2
+
+
+def test_command_line_runs_all_layers_from_yaml(workdir):
+    import os
+    import subprocess
+    import sys
+
+    import yaml
+
+    from .conftest import ROOT
+    from .raw_fixtures import GEM, STATS, UNODC
+
+    layout = build(workdir + "/lake")
+    config = {
+        "root": layout.root,
+        "edstats_file": layout.edstats_file,
+        "gem": [{"indicator": g.indicator, "file": g.file, "frequencies": list(g.frequencies)} for g in GEM],
+        "stats": [
+            {"name": s.name, "data_file": s.data_file, "country_file": s.country_file, "series_file": s.series_file,
+             "renames": [list(p) for p in s.renames], "country_renames": [list(p) for p in s.country_renames],
+             "series_renames": [list(p) for p in s.series_renames], "country_drop": list(s.country_drop)}
+            for s in STATS
+        ],
+        "unodc": [{"name": n, "file": f} for n, f in UNODC],
+    }
+    path = workdir + "/lake.yaml"
+    with open(path, "w") as fh:
+        yaml.safe_dump(config, fh)
+    env = dict(os.environ, PYTHONPATH=ROOT + os.pathsep + os.environ.get("PYTHONPATH", ""))
+    proc = subprocess.run([sys.executable, "-m", "statlake", "--config", path], cwd=ROOT, env=env,
+                          capture_output=True, text=True, timeout=900)
+    assert proc.returncode == 0, proc.stderr[-3000:]
+    for table in ("dim_country", "fact_unodc_crime_global", "fact_wb_gem_all_data", "fact_wb_non_gem_all_data",
+                  "fact_edstats"):
+        assert os.path.isdir(layout.gold(table)), table
