@@ -2,7 +2,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from statlake.functions.measures import cast_by_name, clean_measure, drop_incomplete, is_numeric_text, recode
 from statlake.functions.names import sanitize_columns, sanitize_name
