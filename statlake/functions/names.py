@@ -21,24 +21,29 @@ def sanitize_name(name: str) -> str:
     return name.lower().replace(" ", "_").translate(_DELETE)
 
 
-def sanitize_columns(df: DataFrame) -> DataFrame:
-    """Rename every column by ``sanitize_name``, positionally.
+def sanitized_names(names: list[str]) -> list[str]:
+    """``sanitize_name`` of each header, made unique.
 
     Two headers that sanitise to the same name would make the parquet write
     fail, so later ones get a ``_2``, ``_3`` ... suffix (first free one).
-    Running it twice gives the same names (idempotent).
+    Applying it twice gives the same names (idempotent).
     """
     taken: set[str] = set()
-    names = []
-    for raw in df.columns:
+    out = []
+    for raw in names:
         base = sanitize_name(raw)
         name, k = base, 1
         while name in taken:
             k += 1
             name = f"{base}_{k}"
         taken.add(name)
-        names.append(name)
-    return df.toDF(*names)
+        out.append(name)
+    return out
+
+
+def sanitize_columns(df: DataFrame) -> DataFrame:
+    """Rename every column by ``sanitized_names``, positionally (one call)."""
+    return df.toDF(*sanitized_names(df.columns))
 
 
 def qcol(name: str) -> Column:

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from statlake.functions.measures import cast_by_name, clean_measure, drop_incomplete, is_numeric_text, recode
-from statlake.functions.names import sanitize_columns, sanitize_name
+from statlake.functions.names import sanitize_columns, sanitize_name, sanitized_names
 from statlake.functions.periods import parse_period
 
 
@@ -21,10 +21,12 @@ def test_sanitize_collisions_and_idempotence(spark):
     assert sanitize_columns(out).columns == out.columns
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(min_size=1, max_size=8), min_size=1, max_size=6))
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aA b,;()\t=_{}1", min_size=1, max_size=8), min_size=1, max_size=8))
 def test_sanitize_property(names):
-    # pure-Python rule: idempotent
+    out = sanitized_names(names)
+    assert len(out) == len(set(out)) == len(names)  # collision-free
+    assert sanitized_names(out) == out  # idempotent
     for n in names:
         assert sanitize_name(sanitize_name(n)) == sanitize_name(n)
 
