@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from statlake.functions.measures import cast_by_name
 from statlake.layout import EDSTATS_YEAR_HEADER, STATS_ID_COLUMNS, STATS_YEAR_HEADER, Layout
 from statlake.operators.dims import extract_dim
-from statlake.operators.shape import align_union, unpivot_entities, unpivot_matching, with_literals
+from statlake.functions.sql import ident, string
+from statlake.operators.shape import align_union, unpivot_entities, unpivot_matching
 from statlake.sources.tables import drop_audit, read_table, write_table
 
 UNODC_COUNTRY_COLUMNS = ("country_code", "country", "region", "subregion")
@@ -52,9 +52,16 @@ def gem_to_long(sheets: Sequence[tuple[str, DataFrame]], frequency: str) -> Data
     for indicator, sheet in sheets:
         sheet = drop_audit(sheet)
         year = _year_column(sheet)
-        long = unpivot_entities(sheet, year, "country", "value", value_type="double").withColumnRenamed(year, "year")
-        long = long.withColumn("year", F.col("year").cast("string"))
-        longs.append(with_literals(long, {"indicator": indicator, "frequency": frequency}))
+        long = unpivot_entities(sheet, year, "country", "value", value_type="double")
+        longs.append(
+            long.selectExpr(
+                f"CAST({ident(year)} AS STRING) AS year",
+                "country",
+                "value",
+                f"{string(indicator)} AS indicator",
+                f"{string(frequency)} AS frequency",
+            )
+        )
     return align_union(longs)
 
 
