@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from statlake.llm.common import table
+from statlake.llm.mixing import mix_report
 from statlake.llm.packing import pack_documents
+from statlake.llm.rules import quality_rules
 from statlake.llm.token_files import read_token_files, write_token_files
 from statlake.session import scratch_dir
 
@@ -24,12 +26,22 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), policy="v2")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), capacity=1024, end_id=0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_mixing": op2_mixing,
+    "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
 }
 
