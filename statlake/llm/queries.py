@@ -11,6 +11,8 @@ from statlake.llm.mixing import mix_report
 from statlake.llm.packing import pack_documents
 from statlake.llm.rules import quality_rules
 from statlake.llm.token_files import read_token_files, write_token_files
+from statlake.llm.urls import ORACLE as URL_ORACLE
+from statlake.llm.urls import judge_urls, labels_by_number
 from statlake.session import scratch_dir
 
 
@@ -38,11 +40,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), capacity=1024, end_id=0)
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, labels_by_number(pages, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_packing": op7_packing,
+    "op8_url_filters": op8_url_filters,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_url_filters": URL_ORACLE}
