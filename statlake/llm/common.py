@@ -11,6 +11,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def slices(batch: pa.RecordBatch, text: str, max_rows: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into runs of at most ``max_rows`` rows and about
     ``max_bytes`` of text (one longer text makes a run of its own)."""
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), dtype=np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
     start, held = 0, 0
     for i, s in enumerate(size.tolist()):
         if i > start and (i - start >= max_rows or held + s > max_bytes):
@@ -81,7 +82,7 @@ def slices(batch: pa.RecordBatch, text: str, max_rows: int, max_bytes: int) -> I
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of an Arrow string column as one byte array, and the n+1 offsets in it."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
-    column = pa.compute.fill_null(column, "")
+    column = pc.fill_null(column, "")
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)

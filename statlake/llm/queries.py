@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from statlake.llm.common import table
 from statlake.llm.mixing import mix_report
 from statlake.llm.packing import pack_documents
+from statlake.llm.quality import score_quality, train_quality
 from statlake.llm.rules import quality_rules
 from statlake.llm.token_files import read_token_files, write_token_files
 from statlake.llm.urls import ORACLE as URL_ORACLE
@@ -36,6 +37,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), policy="v2")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), capacity=1024, end_id=0)
 
@@ -49,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_packing": op7_packing,
     "op8_url_filters": op8_url_filters,
 }
