@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from statlake.llm.common import table
 from statlake.llm.mixing import mix_report
+from statlake.llm.ngram_join import jaccard_groups
 from statlake.llm.packing import pack_documents
 from statlake.llm.quality import score_quality, train_quality
 from statlake.llm.rules import quality_rules
@@ -33,6 +34,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), policy="v2")
 
@@ -54,6 +59,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
+    "op3_ngram_join": op3_ngram_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_packing": op7_packing,
