@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.common import mix, pick, shuffle_partitions, slices, span_hashes, stored, utf8, word_spans
@@ -173,12 +173,12 @@ def _prefixes(docs: DataFrame, k: int, percent: int, classes: np.ndarray, parts:
     return sent.mapInArrow(group, "key bigint, node bigint, n bigint, pos bigint")
 
 
-def bitmap_of(keys: DataFrame, column: str, bits: int = 24) -> np.ndarray:
-    """Bits set for the values' hashes: 2^bits bits, whatever the number of rows.
+def bitmap_of(hashed: Column, keys: DataFrame, bits: int = 24) -> np.ndarray:
+    """Bits set for the keys' 64-bit hashes: 2^bits bits, whatever the number of rows.
 
     A filter with false positives only; what passes is joined exactly after.
     """
-    h = F.pmod(F.xxhash64(column), F.lit(1 << bits)) + 1  # the functions count from 1
+    h = F.pmod(hashed, F.lit(1 << bits)) + 1  # the functions count from 1
     per = keys.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("m"))
     out = np.zeros((1 << bits) // 8, np.uint8)
     for row in per.collect():  # at most 2^bits / 32768 rows of 4 KB
@@ -188,7 +188,7 @@ def bitmap_of(keys: DataFrame, column: str, bits: int = 24) -> np.ndarray:
 
 
 def bitmap_has(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-    """Which 64-bit ``xxhash64`` values are in the bitmap."""
+    """Which 64-bit hashes are in the bitmap."""
     i = np.mod(hashed, np.int64(len(bitmap) * 8))
     return (bitmap[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
 
@@ -237,7 +237,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, fragments: in
     in_blocks = blocks.select("node").distinct()
     # the document that stands for each candidate set; its text is cut again
     stands = stored(in_blocks.join(firsts, "node").select("node", F.col("first").alias("doc_id")), "ngram-candidates")
-    wanted = bitmap_of(stands, "doc_id")
+    wanted = bitmap_of(F.xxhash64("doc_id"), stands)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

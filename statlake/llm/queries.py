@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from statlake.llm.common import table
+from statlake.llm.line_dedup import without_duplicate_lines
 from statlake.llm.mixing import mix_report
 from statlake.llm.ngram_join import jaccard_groups
 from statlake.llm.packing import pack_documents
@@ -56,6 +57,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, labels_by_number(pages, table(spark, sf_dir, "labels")))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_duplicate_lines(docs, similarity=0.9, max_bits=3, min_words=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_packing": op7_packing,
     "op8_url_filters": op8_url_filters,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {"op8_url_filters": URL_ORACLE}
