@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from statlake.llm.common import table
+from statlake.llm.fingerprints import edit_probe
+from statlake.llm.language_id import language_report
 from statlake.llm.line_dedup import without_duplicate_lines
 from statlake.llm.mixing import mix_report
 from statlake.llm.ngram_join import jaccard_groups
@@ -39,6 +41,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), policy="v2")
 
@@ -57,6 +63,10 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, labels_by_number(pages, table(spark, sf_dir, "labels")))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_probe(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return without_duplicate_lines(docs, similarity=0.9, max_bits=3, min_words=5)
@@ -66,10 +76,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
     "op3_ngram_join": op3_ngram_join,
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_packing": op7_packing,
     "op8_url_filters": op8_url_filters,
+    "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
 }
 
