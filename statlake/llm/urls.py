@@ -106,11 +106,10 @@ def judge_urls(
     merged = [f"g{j + 1}" for j in range(len(levels))]
     per_template = sums(tree, ["host", *merged])
     per_host = sums(tree, ["host"]).select("host", F.col("lab").alias("h_lab"), F.col("bad").alias("h_bad"))
-    total = tree.agg(F.coalesce(F.sum("lab"), F.lit(0)).alias("t_lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("t_bad"))
-    t = (F.col("t_bad") + 1) / (F.col("t_lab") + 2)
+    total = tree.agg(F.sum("bad"), F.sum("lab")).first()  # two numbers
+    t = F.lit(((total[0] or 0) + 1) / ((total[1] or 0) + 2))
     smooth = lambda bad, lab, to: (F.col(bad) + F.lit(prior) * to) / (F.col(lab) + F.lit(prior))
-    # one row on the other side: the table's total
-    per_host = per_host.join(F.broadcast(total)).select("host", smooth("h_bad", "h_lab", t).alias("h_share"))
+    per_host = per_host.select("host", smooth("h_bad", "h_lab", t).alias("h_share"))
     purity = 1 - smooth("bad", "lab", F.col("h_share"))
     template = reduce(lambda a, b: F.concat(a, b), [F.col(c) for c in merged], F.col("host"))
     found = per_template.join(per_host, "host").select("host", *merged, purity.alias("purity"), template.alias("template"))
