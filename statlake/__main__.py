@@ -1,18 +1,17 @@
 """Run the jobs: ``python -m statlake --root /shared/lake [--layer all|bronze|silver|gold]``.
 
-Uses the active session if one exists (spark-submit), else a local one.
+Under spark-submit the submitted master stays; ``--local N`` runs on N local threads.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from statlake.layout import Layout
 from statlake.plans.bronze import run_bronze
 from statlake.plans.gold import run_gold
 from statlake.plans.silver import run_silver
+from statlake.session import job_session
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -21,13 +20,10 @@ def main(argv: list[str] | None = None) -> None:
     where.add_argument("--root", help="lake root holding raw/ (and receiving bronze/ silver/ gold/)")
     where.add_argument("--config", help="YAML file with the layout (root, edstats_file)")
     parser.add_argument("--layer", default="all", choices=["all", "bronze", "silver", "gold"])
+    parser.add_argument("--local", metavar="N", help="run on N local threads, whatever was submitted")
     args = parser.parse_args(argv)
 
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        from statlake.session import local_session
-
-        spark = local_session()
+    spark = job_session(local=args.local)
     layout = Layout.from_yaml(args.config) if args.config else Layout(args.root)
     steps = {"bronze": [run_bronze], "silver": [run_silver], "gold": [run_gold]}
     for step in steps.get(args.layer, [run_bronze, run_silver, run_gold]):

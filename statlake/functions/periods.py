@@ -39,8 +39,8 @@ def _digits(label: str, pattern: str) -> str:
 
 
 def _year_in_range(year: str) -> str:
-    """NULL unless 1 <= year <= 9999 (one reference to ``year``)."""
-    return f"NULLIF(NULLIF(LEAST(GREATEST({year}, 0), 10000), 0), 10000)"
+    """NULL unless 1000 <= year <= 9999 (one reference to ``year``)."""
+    return f"NULLIF(NULLIF(LEAST(GREATEST({year}, 999), 10000), 999), 10000)"
 
 
 def _first_day(year: str, month: str) -> str:
@@ -61,7 +61,8 @@ def annual_sql(label: str) -> str:
     """``'1987'``, ``'1987.0'`` or a numeric 1987.0 -> 1987-01-01.
 
     The label is read as a number and truncated to an integer year, so
-    ``'1987.0'`` works (a direct text->int cast would reject it). Text is
+    ``'1987.0'`` works (a direct text->int cast would reject it). A year of
+    fewer than four digits (``'87'``) has no date. Text is
     checked against ``NUMBER_TEXT`` first, so bad text is not parsed at all.
     """
     text = f"CAST({label} AS STRING)"

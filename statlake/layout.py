@@ -43,64 +43,64 @@ class StatsSource:
 # The published source files the jobs land, as named by their
 # publishers (World Bank GEM, EdStats, Gender/HNP/IDS/Jobs; UNODC CTS).
 GEM_SOURCES = (
-    GemSource("wb_gem_cpi_yoy_nominal", "GemDataEXTR/CPI Price, % y-o-y, nominal, seas. adj..xlsx", ("annual", "monthly")),
-    GemSource("wb_gem_core_cpi_seas_adj", "GemDataEXTR/Core CPI, seas. adj..xlsx", ("annual", "monthly")),
-    GemSource("wb_real_exchange_rate", "GemDataEXTR/Real Effective Exchange Rate.xlsx", ("annual", "monthly")),
+    GemSource("wb_gem_cpi_yoy_nominal", "GemDataEXTR/unzipped/CPI Price, % y-o-y, nominal, seas. adj..xlsx", ("annual", "monthly")),
+    GemSource("wb_gem_core_cpi_seas_adj", "GemDataEXTR/unzipped/Core CPI, seas. adj..xlsx", ("annual", "monthly")),
+    GemSource("wb_real_exchange_rate", "GemDataEXTR/unzipped/Real Effective Exchange Rate.xlsx", ("annual", "monthly")),
     GemSource(
         "wb_official_exchange_rate",
-        "GemDataEXTR/Official exchange rate, LCU per USD, period average.xlsx",
+        "GemDataEXTR/unzipped/Official exchange rate, LCU per USD, period average.xlsx",
         ("annual", "monthly"),
     ),
     GemSource(
-        "wb_gdp_current", "GemDataEXTR/GDP at market prices, current US$, millions, seas. adj..xlsx", ("annual", "quarterly")
+        "wb_gdp_current", "GemDataEXTR/unzipped/GDP at market prices, current US$, millions, seas. adj..xlsx", ("annual", "quarterly")
     ),
     GemSource(
         "wb_gdp_constant",
-        "GemDataEXTR/GDP at market prices, constant 2010 US$, millions, seas. adj..xlsx",
+        "GemDataEXTR/unzipped/GDP at market prices, constant 2010 US$, millions, seas. adj..xlsx",
         ("annual", "quarterly"),
     ),
     GemSource(
         "wb_export_merch",
-        "GemDataEXTR/Exports Merchandise, Customs, current US$, millions, seas. adj..xlsx",
+        "GemDataEXTR/unzipped/Exports Merchandise, Customs, current US$, millions, seas. adj..xlsx",
         ("annual", "quarterly", "monthly"),
     ),
     GemSource(
         "wb_import_merch",
-        "GemDataEXTR/Imports Merchandise, Customs, current US$, millions, seas. adj..xlsx",
+        "GemDataEXTR/unzipped/Imports Merchandise, Customs, current US$, millions, seas. adj..xlsx",
         ("annual", "quarterly", "monthly"),
     ),
-    GemSource("wb_unemployment", "GemDataEXTR/Unemployment Rate, seas. adj..xlsx", ("annual", "monthly")),
+    GemSource("wb_unemployment", "GemDataEXTR/unzipped/Unemployment Rate, seas. adj..xlsx", ("annual", "monthly")),
     GemSource(
         "wb_industrial_production",
-        "GemDataEXTR/Industrial Production, constant 2010 US$, seas. adj..xlsx",
+        "GemDataEXTR/unzipped/Industrial Production, constant 2010 US$, seas. adj..xlsx",
         ("annual", "monthly"),
     ),
-    GemSource("wb_total_reserves", "GemDataEXTR/Total Reserves.xlsx", ("annual", "monthly")),
-    GemSource("wb_stock_markets", "GemDataEXTR/Stock Markets, US$.xlsx", ("annual", "monthly")),
-    GemSource("wb_foreign_reserves", "GemDataEXTR/Foreign Reserves, Months Import Cover, Goods.xlsx", ("annual", "monthly")),
+    GemSource("wb_total_reserves", "GemDataEXTR/unzipped/Total Reserves.xlsx", ("annual", "monthly")),
+    GemSource("wb_stock_markets", "GemDataEXTR/unzipped/Stock Markets, US$.xlsx", ("annual", "monthly")),
+    GemSource("wb_foreign_reserves", "GemDataEXTR/unzipped/Foreign Reserves, Months Import Cover, Goods.xlsx", ("annual", "monthly")),
     GemSource(
-        "wb_retail_sales_volume_index", "GemDataEXTR/Retail Sales Volume Index, seas. adj..xlsx", ("annual", "monthly")
+        "wb_retail_sales_volume_index", "GemDataEXTR/unzipped/Retail Sales Volume Index, seas. adj..xlsx", ("annual", "monthly")
     ),
 )
 
 STATS_SOURCES = (
     StatsSource(
         "wb_gender_stats",
-        "Gender_Stats_CSV/Gender_StatsCSV.csv",
-        "Gender_Stats_CSV/Gender_StatsCountry.csv",
-        "Gender_Stats_CSV/Gender_StatsSeries.csv",
+        "Gender_Stats_CSV/unzipped/Gender_StatsCSV.csv",
+        "Gender_Stats_CSV/unzipped/Gender_StatsCountry.csv",
+        "Gender_Stats_CSV/unzipped/Gender_StatsSeries.csv",
     ),
     StatsSource(
         "wb_hnp_stats",
-        "HNP_Stats_CSV/HNP_StatsCSV.csv",
-        "HNP_Stats_CSV/HNP_StatsCountry.csv",
-        "HNP_Stats_CSV/HNP_StatsSeries.csv",
+        "HNP_Stats_CSV/unzipped/HNP_StatsCSV.csv",
+        "HNP_Stats_CSV/unzipped/HNP_StatsCountry.csv",
+        "HNP_Stats_CSV/unzipped/HNP_StatsSeries.csv",
     ),
     StatsSource(
         "wb_ids_stats",
-        "IDS_CSV/IDS_ALLCountries_Data.csv",
-        "IDS_CSV/IDS_CountryMetaData.csv",
-        "IDS_CSV/IDS_SeriesMetaData.csv",
+        "IDS_CSV/unzipped/IDS_ALLCountries_Data.csv",
+        "IDS_CSV/unzipped/IDS_CountryMetaData.csv",
+        "IDS_CSV/unzipped/IDS_SeriesMetaData.csv",
         renames=(("series_name", "indicator_name"), ("series_code", "indicator_code")),
         country_renames=(("Code", "Country Code"), ("PPP survey years", "PPP survey year")),
         series_renames=(("code", "series_code"),),
@@ -108,28 +108,33 @@ STATS_SOURCES = (
     ),
     StatsSource(
         "wb_jobs_stats",
-        "Jobs_CSV/JobsCSV.csv",
-        "Jobs_CSV/JobsCountry.csv",
-        "Jobs_CSV/JobsSeries.csv",
+        "Jobs_CSV/unzipped/JobsCSV.csv",
+        "Jobs_CSV/unzipped/JobsCountry.csv",
+        "Jobs_CSV/unzipped/JobsSeries.csv",
     ),
 )
 
 EDSTATS_FILE = "Edstats_Updated/Edstats_Updated.csv"
 
 UNODC_SOURCES = (
-    ("unodc_func_justice", "data_cts_access_and_functioning_of_justice.xlsx"),
-    ("unodc_econ_crime", "data_cts_corruption_and_economic_crime.xlsx"),
-    ("unodc_sexual_violent", "data_cts_violent_and_sexual_crime.xlsx"),
+    ("unodc_func_justice", "data_cts_access_and_functioning_of_justice/data_cts_access_and_functioning_of_justice.xlsx"),
+    ("unodc_econ_crime", "data_cts_corruption_and_economic_crime/data_cts_corruption_and_economic_crime.xlsx"),
+    ("unodc_sexual_violent", "data_cts_violent_and_sexual_crime/data_cts_violent_and_sexual_crime.xlsx"),
 )
 
-# The four identifier columns of a wide statistics table after sanitising.
+# The four identifier columns of a wide statistics table after
+# sanitising, and the year headers read from it (first and last, inclusive).
 STATS_ID_COLUMNS = ("country_name", "country_code", "indicator_name", "indicator_code")
-# Headers of year columns in wide statistics tables: 1960-2029.
-STATS_YEAR_HEADER = r"^(19[6-9]\d|20[0-2]\d|2023)$"
-# Headers of year columns in EdStats: 'yr' + four digits, any case.
+STATS_YEARS = (1960, 2029)
+# Fixed value: year headers in EdStats are 'yr' + four digits, any case.
 EDSTATS_YEAR_HEADER = r"yr\d{4}"
 
 
+def year_headers(first: int, last: int) -> str:
+    """Pattern of the headers that name a year from ``first`` to ``last``."""
+    return "|".join(str(y) for y in range(first, last + 1))
+
+
 @dataclass(frozen=True)
 class Layout:
     root: str

@@ -19,14 +19,15 @@ def extract_dim(
     """Distinct (key, attrs...) rows of a fact.
 
     With ``one_per_key`` a key that appears with several attribute values
-    keeps the first by those values, so joining the result never fans out.
-    Both forms reduce map-side before their single shuffle on the key.
+    keeps the first by those values (NULLs last, so a name wins over none), and
+    joining the result never fans out. Both forms reduce map-side first.
     """
     cols = [qcol(key)] + [qcol(a) for a in attrs]
-    pairs = df.select(*cols)
     if one_per_key:
-        return keep_first(pairs.filter(qcol(key).isNotNull()), [key], list(attrs))
-    return pairs.distinct()
+        # distinct first: a hash aggregate in the map tasks, so only distinct rows are ranked
+        pairs = df.select(*cols).filter(qcol(key).isNotNull()).distinct()
+        return keep_first(pairs, [key], list(attrs))
+    return df.select(*cols).distinct()
 
 
 def conform_dim(
@@ -45,12 +46,14 @@ def conform_dim(
     3. codes only in the secondary are appended with the secondary's name;
     4. every code is enriched from the secondary (left join).
 
-    Result: every non-NULL code of either input exactly once, columns
-    ``key, name, *enrich``. One lazy plan; nothing is collected.
+    Result: columns ``key, name, *enrich``, a code at most once. Left out are
+    NULL codes, and codes of the primary whose name is always NULL and that the
+    secondary lacks. Names of the secondary may be NULL only where a code has no
+    other. One lazy plan; nothing is collected.
     """
-    p = keep_first(primary.select(qcol(key), qcol(name)).dropna(how="any"), [key], [name])
+    p = keep_first(primary.select(qcol(key), qcol(name)).dropna(how="any").distinct(), [key], [name])
     s = keep_first(
-        secondary.select(qcol(key), qcol(secondary_name), *[qcol(c) for c in enrich]).filter(qcol(key).isNotNull()),
+        secondary.select(qcol(key), qcol(secondary_name), *[qcol(c) for c in enrich]).filter(qcol(key).isNotNull()).distinct(),
         [key],
         [secondary_name, *enrich],
     )

@@ -32,7 +32,7 @@ def keep_first(
 ) -> DataFrame:
     """One row per key, the first by the ``order`` columns (ascending).
 
-    Remaining columns (ascending, NULLs last) break ties, so the survivor
+    NULLs order last, so a NULL attribute never wins over a value. Remaining columns (ascending, NULLs last) break ties, so the survivor
     is deterministic whatever the partitioning. Catalyst plans
     ``row_number() = 1`` with a partial WindowGroupLimit before the
     shuffle, so skewed keys are reduced map-side.
@@ -40,7 +40,7 @@ def keep_first(
     keys = _cols(keys)
     order = list(order)
     tie = [c for c in df.columns if c not in keys and c not in order]
-    by = ", ".join([f"{ident(o)} ASC NULLS FIRST" for o in order] + [f"{ident(c)} ASC NULLS LAST" for c in tie])
+    by = ", ".join([f"{ident(o)} ASC NULLS LAST" for o in order] + [f"{ident(c)} ASC NULLS LAST" for c in tie])
     over = f"PARTITION BY {', '.join(ident(k) for k in keys)}" + (f" ORDER BY {by}" if by else "")
     ranked = df.withColumn(_RANK, F.expr(f"row_number() OVER ({over})"))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)

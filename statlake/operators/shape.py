@@ -62,15 +62,17 @@ def unpivot_entities(
     variable: str = "country",
     value: str = "value",
     value_type: str | None = "double",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Every column except ``id_column`` is an entity (e.g. a country).
+    """Every column except ``id_column`` (and ``keep``) is an entity (e.g. a country).
 
     ``year | St. Lucia | Korea, Rep.`` becomes ``year | country | value``
     with one row per (row, entity); empty cells stay as NULL values. Column
     names are used verbatim as labels (dots, commas, quotes are fine).
     """
-    entities = [(c, c) for c in df.columns if c != id_column]
-    return _unpivot(df, [id_column], entities, variable, value, value_type)
+    ids = [id_column, *keep]
+    entities = [(c, c) for c in df.columns if c not in ids]
+    return _unpivot(df, ids, entities, variable, value, value_type)
 
 
 def unpivot_matching(
@@ -142,11 +144,11 @@ def normalize_period(
 
     The label column and any ``insert_timestamp`` are removed; the other
     columns keep their order, then ``frequency`` (unless dropped) and
-    ``period``. One projection.
+    ``period``. A ``period`` column already there is kept as it is. One projection.
     """
     others = [c for c in df.columns if c not in (label, "insert_timestamp", "frequency", "period")]
     exprs = [ident(c) for c in others]
     if keep_frequency:
         exprs.append(f"{string(frequency)} AS frequency")
-    exprs.append(f"{period_sql(label, frequency)} AS period")
+    exprs.append("period" if "period" in df.columns else f"{period_sql(label, frequency)} AS period")
     return df.selectExpr(*exprs)

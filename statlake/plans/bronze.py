@@ -6,10 +6,15 @@ the macro-series sheets, whose headers are country names, i.e. data).
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from statlake.functions.names import sanitize_columns
-from statlake.layout import Layout, StatsSource
+from statlake.layout import GemSource, Layout, StatsSource
 from statlake.operators.shape import align_union, common_columns
 from statlake.sources.csv import read_csv
 from statlake.sources.tables import create_namespaces, write_table
@@ -45,12 +50,23 @@ def series_metadata(frames: list[tuple[DataFrame, StatsSource]]) -> DataFrame:
 
 # ------------------------------------------------------------------- runners
 
+def _at_once(jobs: Sequence[Callable[[], None]], threads: int = 8) -> None:
+    """Submit independent jobs together: a workbook is one task, so a cluster
+    would stand idle if they ran one after the other. The first failure is raised."""
+    with ThreadPoolExecutor(threads) as pool:
+        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+            done.result()
+
+
 def bronze_unodc(spark: SparkSession, layout: Layout) -> None:
     """G1: crime/justice workbooks (header on the third row)."""
-    for name, file in layout.unodc:
+
+    def land(name: str, file: str) -> None:
         sheet = read_xlsx(spark, layout.raw(file), header_row=UNODC_HEADER_ROW, first_blank_header="_c0")
         write_table(sheet, layout.bronze(name), sanitize=True)
 
+    _at_once([partial(land, name, file) for name, file in layout.unodc])
+
 
 def bronze_wb_metadata(spark: SparkSession, layout: Layout) -> None:
     """Country and series metadata (quoted newlines: multi-line CSV)."""
@@ -73,10 +89,12 @@ def bronze_gem(spark: SparkSession, layout: Layout) -> None:
     The first row under the header is dropped and the blank first header
     becomes ``Year``.
     """
-    for src in layout.gem:
-        for freq in src.frequencies:
-            sheet = read_xlsx(spark, layout.raw(src.file), sheet=freq, header_row=0, skip_rows_after_header=1)
-            write_table(sheet, layout.bronze(src.bronze_name(freq)), sanitize=False)
+
+    def land(src: GemSource, freq: str) -> None:
+        sheet = read_xlsx(spark, layout.raw(src.file), sheet=freq, header_row=0, skip_rows_after_header=1)
+        write_table(sheet, layout.bronze(src.bronze_name(freq)), sanitize=False)
+
+    _at_once([partial(land, src, freq) for src in layout.gem for freq in src.frequencies])
 
 
 def run_bronze(spark: SparkSession, layout: Layout) -> None:

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
+    DateType,
     DoubleType,
     FloatType,
     IntegerType,
@@ -21,6 +22,7 @@ from statlake.operators.shape import align_union, normalize_period
 from statlake.layout import Layout
 from statlake.sources.tables import drop_audit, read_table, write_table
 
+# The columns of the gold tables.
 EDSTATS_COLUMNS = (
     "country_name", "indicator_name", "sex", "urbanization", "age", "unit_type", "unit_measure", "year", "value",
 )
@@ -37,11 +39,18 @@ SILVER_NON_GEM_FACT = StructType(
      StructField("country_code", S)]
 )
 SILVER_GEM = StructType(
-    [StructField("year", S), StructField("country", S), StructField("value", DoubleType()),
+    [StructField("year", S), StructField("period", DateType()), StructField("country", S), StructField("value", DoubleType()),
      StructField("indicator", S), StructField("frequency", S)]
 )
 
 
+DIM_COUNTRY_WB = "country_code string, country_name string"
+DIM_COUNTRY_UNODC = "country_code string, country string, region string, subregion string"
+DIM_COUNTRY = "country_code string, country_name string, region string, subregion string"
+DIM_INDICATOR = "indicator_code string, indicator_name string"
+SILVER_EDSTATS = StructType([StructField(c, S) for c in EDSTATS_COLUMNS])
+
+
 def gold_dim_country(dim_wb: DataFrame, dim_unodc: DataFrame) -> DataFrame:
     """Every country code once, WB names first, UNODC region/subregion."""
     return conform_dim(drop_audit(dim_wb), drop_audit(dim_unodc), "country_code", "country_name", "country")
@@ -57,7 +66,7 @@ def gold_unodc(fact: DataFrame, dim_country: DataFrame) -> DataFrame:
 
 
 def gem_all_periods(silver: Mapping[str, DataFrame]) -> DataFrame:
-    """Each frequency's labels -> dates, then one union.
+    """The frequencies' facts as one union, dated (labels without a date yet are parsed).
 
     Output ``country, value, indicator, frequency, period``.
     """
@@ -94,10 +103,11 @@ def gold_edstats(df: DataFrame) -> DataFrame:
 
 def run_gold(spark: SparkSession, layout: Layout) -> None:
     dim_country = gold_dim_country(
-        read_table(spark, layout.silver("dim_country_wb")), read_table(spark, layout.silver("dim_country_unodc"))
+        read_table(spark, layout.silver("dim_country_wb"), DIM_COUNTRY_WB),
+        read_table(spark, layout.silver("dim_country_unodc"), DIM_COUNTRY_UNODC),
     )
     write_table(dim_country, layout.gold("dim_country"), sanitize=False)
-    dim_country = read_table(spark, layout.gold("dim_country"))
+    dim_country = read_table(spark, layout.gold("dim_country"), DIM_COUNTRY)
 
     fact = read_table(spark, layout.silver("fact_crime_and_justice_unodc"), SILVER_UNODC_FACT)
     write_table(gold_unodc(fact, dim_country), layout.gold("fact_unodc_crime_global"), sanitize=False)
@@ -109,9 +119,9 @@ def run_gold(spark: SparkSession, layout: Layout) -> None:
     write_table(gem_all_periods(silver), layout.gold("fact_wb_gem_all_data"), sanitize=False)
 
     non_gem = read_table(spark, layout.silver("fact_wb_stats_non_gem"), SILVER_NON_GEM_FACT)
-    dim_indicator = read_table(spark, layout.silver("dim_indicator_wb"))
+    dim_indicator = read_table(spark, layout.silver("dim_indicator_wb"), DIM_INDICATOR)
     write_table(gold_non_gem(non_gem, dim_country, dim_indicator), layout.gold("fact_wb_non_gem_all_data"), sanitize=False)
 
-    ed = read_table(spark, layout.silver("fact_wb_edstats"))
+    ed = read_table(spark, layout.silver("fact_wb_edstats"), SILVER_EDSTATS)
     write_table(gold_edstats(ed), layout.gold("fact_edstats"), partition_by="period", sanitize=False)
 

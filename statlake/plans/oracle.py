@@ -8,8 +8,7 @@ NULLS`` or an explicit join. Column names and types match the Spark output.
 
 from __future__ import annotations
 
-from statlake.plans.queries import PLAIN_YEARS, PREFIXED_YEARS, REGION_NAMES, SEGMENT_HEADERS, STATS_YEARS
-
+# Fixed value: what counts as numeric text in a measure column.
 NUMERIC = r"^-?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?$"
 
 
@@ -41,65 +40,64 @@ def quarterly_sql(t: str) -> str:
 
 
 def annual_sql(t: str) -> str:
-    return (
-        f"TRY_CAST(concat_ws('-', CAST(CAST(trunc(TRY_CAST({t} AS DOUBLE)) AS INTEGER) AS VARCHAR), '01', '01') AS DATE)"
-    )
-
-
-def _unpivot_years_prefixed() -> str:
-    cols = ", ".join(
-        f"CAST(SUM(CASE WHEN year(o_orderdate) = {y} THEN 1 END) AS BIGINT) AS YR{y}" for y in PREFIXED_YEARS
-    )
-    names = ", ".join(f"YR{y}" for y in PREFIXED_YEARS)
-    return f"""
-    WITH w AS (SELECT o_orderpriority, {cols} FROM orders GROUP BY o_orderpriority)
-    SELECT o_orderpriority, substr(yname, 3) AS year, value
-    FROM (FROM w UNPIVOT INCLUDE NULLS (value FOR yname IN ({names})))
-    """
-
-
-def _unpivot_years_plain() -> str:
-    years = [y for y in PLAIN_YEARS if 1960 <= y <= 2029]
-    cols = ", ".join(
-        f"CAST(CAST(SUM(CASE WHEN year(l_shipdate) = {y} THEN 1 END) AS BIGINT) AS VARCHAR) AS {_q(str(y))}" for y in years
-    )
-    names = ", ".join(_q(str(y)) for y in years)
-    return f"""
-    WITH w AS (SELECT l_returnflag, l_linestatus, {cols} FROM lineitem GROUP BY l_returnflag, l_linestatus)
-    SELECT l_returnflag, l_linestatus, CAST(yname AS INTEGER) AS year, CAST(v AS FLOAT) AS value
-    FROM (FROM w UNPIVOT INCLUDE NULLS (v FOR yname IN ({names})))
-    """
+    # strict: a year has four digits
+    y = f"CAST(trunc(TRY_CAST({t} AS DOUBLE)) AS INTEGER)"
+    return f"CASE WHEN {y} BETWEEN 1000 AND 9999 THEN make_date({y}, 1, 1) END"
+
+
+# A cell that no row falls in is NULL, so each group has a row for every header:
+# the documented years 1960 to 2029, plus "0000" for rows outside them.
+_UNPIVOT_YEARS_PREFIXED = """
+    WITH labels AS (SELECT CAST(y AS VARCHAR) AS year FROM generate_series(1960, 2029) t(y) UNION ALL SELECT '0000'),
+    cnt AS (SELECT o_orderpriority, COUNT(*) AS c,
+                   CASE WHEN year(o_orderdate) BETWEEN 1960 AND 2029 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE '0000' END AS year
+            FROM orders GROUP BY ALL)
+    SELECT g.o_orderpriority, l.year, cnt.c AS value
+    FROM (SELECT DISTINCT o_orderpriority FROM orders) g CROSS JOIN labels l
+    LEFT JOIN cnt ON cnt.o_orderpriority IS NOT DISTINCT FROM g.o_orderpriority AND cnt.year = l.year
+"""
 
+_UNPIVOT_YEARS_PLAIN = """
+    WITH cnt AS (SELECT l_returnflag, l_linestatus, year(l_shipdate) AS y, COUNT(*) AS c FROM lineitem GROUP BY ALL)
+    SELECT g.l_returnflag, g.l_linestatus, CAST(t.y AS INTEGER) AS year, CAST(cnt.c AS FLOAT) AS value
+    FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem) g CROSS JOIN generate_series(1960, 2029) t(y)
+    LEFT JOIN cnt ON cnt.l_returnflag IS NOT DISTINCT FROM g.l_returnflag
+     AND cnt.l_linestatus IS NOT DISTINCT FROM g.l_linestatus AND cnt.y = t.y
+"""
 
-def _unpivot_entities() -> str:
-    cols = ", ".join(
-        f"{_money(f'CASE WHEN c_mktsegment = {_s(seg)} THEN o_totalprice END')} AS {_q(h)}" for seg, h in SEGMENT_HEADERS.items()
-    )
-    names = ", ".join(_q(h) for h in SEGMENT_HEADERS.values())
-    return f"""
-    WITH w AS (
-      SELECT strftime(o_orderdate, '%Y') || 'M' || strftime(o_orderdate, '%m') AS year, {cols}
-      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
-    SELECT year, country, value FROM (FROM w UNPIVOT INCLUDE NULLS (value FOR country IN ({names})))
-    """
+_UNPIVOT_ENTITIES = """
+    WITH headers(country) AS (VALUES ('Auto. Mobile'), ('Build''ing'), ('Furniture, Rep.'), ('House hold (all)'),
+                                     ('MACHINERY'), ('Other (n.e.s.)')),
+    base AS (
+      SELECT strftime(o_orderdate, '%Y') || 'M' || strftime(o_orderdate, '%m') AS year,
+             CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Auto. Mobile' WHEN 'BUILDING' THEN 'Build''ing'
+                  WHEN 'FURNITURE' THEN 'Furniture, Rep.' WHEN 'HOUSEHOLD' THEN 'House hold (all)'
+                  WHEN 'MACHINERY' THEN 'MACHINERY' ELSE 'Other (n.e.s.)' END AS country,
+             CAST(o_totalprice AS DECIMAL(18,2)) AS p
+      FROM orders JOIN customer ON o_custkey = c_custkey),
+    cells AS (SELECT year, country, CAST(SUM(p) AS DOUBLE) AS value FROM base GROUP BY ALL)
+    SELECT y.year, h.country, cells.value
+    FROM (SELECT DISTINCT year FROM base) y CROSS JOIN headers h
+    LEFT JOIN cells ON cells.year IS NOT DISTINCT FROM y.year AND cells.country = h.country
+"""
 
 
 def _all_periods_union() -> str:
-    regions = ", ".join(f"({_s(r)})" for r in REGION_NAMES)
     parts = []
     for freq, unit in (("monthly", "month"), ("quarterly", "quarter"), ("annual", "year")):
         parts.append(f"""
         SELECT r.country, CAST(c.v AS DOUBLE) AS value, 'order_value' AS indicator, '{freq}' AS frequency, p.period
         FROM (SELECT DISTINCT CAST(date_trunc('{unit}', d) AS DATE) AS period FROM base) p
         CROSS JOIN regions r
-        LEFT JOIN (SELECT CAST(date_trunc('{unit}', d) AS DATE) AS period, r_name, SUM(p) AS v FROM base GROUP BY 1, 2) c
-          ON c.period = p.period AND c.r_name = r.country""")
+        LEFT JOIN (SELECT CAST(date_trunc('{unit}', d) AS DATE) AS period, country, SUM(p) AS v FROM base GROUP BY 1, 2) c
+          ON c.period = p.period AND c.country = r.country""")
     return f"""
-    WITH base AS (
-      SELECT o_orderdate AS d, r_name, CAST(o_totalprice AS DECIMAL(18,2)) AS p
+    WITH regions(country) AS (VALUES ('AFRICA'), ('AMERICA'), ('ASIA'), ('EUROPE'), ('MIDDLE EAST'), ('Other (n.e.s.)')),
+    base AS (
+      SELECT o_orderdate AS d, CAST(o_totalprice AS DECIMAL(18,2)) AS p,
+             CASE WHEN r_name IN (SELECT country FROM regions) THEN r_name ELSE 'Other (n.e.s.)' END AS country
       FROM orders JOIN customer ON o_custkey = c_custkey
-      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-    regions(country) AS (VALUES {regions})
+      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
     {' UNION ALL '.join(parts)}
     """
 
@@ -117,10 +115,10 @@ _MEASURE_TEXT = """
       ELSE NULL END"""
 
 _MALFORMED = """
-    CASE event_id % 7
+    CASE event_id % 10
       WHEN 0 THEN '2000M13' WHEN 1 THEN '2000M' WHEN 2 THEN 'x' WHEN 3 THEN '2000Q5'
       WHEN 4 THEN CAST(year(ts) AS VARCHAR) || 'M' || CAST(month(ts) AS VARCHAR)
-      WHEN 5 THEN '1999.5'
+      WHEN 5 THEN '1999.5' WHEN 6 THEN '87' WHEN 7 THEN '12.0' WHEN 8 THEN '0'
       ELSE CAST(year(ts) AS VARCHAR) || 'Q' || CAST(quarter(ts) AS VARCHAR) END"""
 
 _CONFORM = """
@@ -132,12 +130,12 @@ _CONFORM = """
           WHERE country_code IS NOT NULL AND country_name IS NOT NULL GROUP BY country_code),
     s_raw AS (
       SELECT CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE s_nationkey END AS country_code,
-             s_name AS country,
+             CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE s_name END AS country,
              'R' || CAST(s_nationkey % 5 AS VARCHAR) AS region,
              'S' || CAST(s_suppkey % 3 AS VARCHAR) AS subregion
       FROM supplier),
     s AS (SELECT * FROM s_raw WHERE country_code IS NOT NULL
-          QUALIFY row_number() OVER (PARTITION BY country_code ORDER BY country, region, subregion) = 1),
+          QUALIFY row_number() OVER (PARTITION BY country_code ORDER BY country NULLS LAST, region NULLS LAST, subregion NULLS LAST) = 1),
     every_code AS (
       SELECT country_code, country_name FROM p
       UNION ALL
@@ -152,21 +150,20 @@ _KEY_B = "SELECT CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_nationkey + 5 END
 _CODED = "SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_nationkey END AS code FROM customer"
 
 def _job_non_gem_gold() -> str:
-    years = ", ".join(f"({y})" for y in STATS_YEARS if 1960 <= y <= 2029)
-    return f"""
+    return """
     WITH base AS (
       SELECT n_nationkey, n_name, p_brand, CASE WHEN l_returnflag = 'R' THEN 'A' ELSE 'B' END AS src,
              year(l_shipdate) AS y
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
       JOIN part ON l_partkey = p_partkey),
     grp AS (SELECT DISTINCT src, n_nationkey, n_name, p_brand FROM base),
-    years(y) AS (VALUES {years}),
+    years(y) AS (SELECT y FROM generate_series(1960, 2029) t(y)),
     cnt AS (SELECT src, n_nationkey, p_brand, y, COUNT(*) AS c FROM base GROUP BY ALL),
     fact AS (
-      SELECT g.n_nationkey, g.p_brand, yr.y, CAST(cnt.c AS FLOAT) AS value
+      SELECT g.n_nationkey, g.p_brand, CAST(yr.y AS INTEGER) AS y, CAST(cnt.c AS FLOAT) AS value
       FROM grp g CROSS JOIN years yr
       LEFT JOIN cnt ON cnt.src = g.src AND cnt.n_nationkey = g.n_nationkey AND cnt.p_brand = g.p_brand AND cnt.y = yr.y),
-    dimc AS (SELECT n_nationkey, MIN(CASE WHEN src = 'A' THEN n_name ELSE n_name || ' (IDS)' END) AS country_name
+    dimc AS (SELECT n_nationkey, MIN(CASE WHEN src = 'B' THEN n_name || ' (IDS)' WHEN n_nationkey % 5 <> 0 THEN n_name END) AS country_name
              FROM grp GROUP BY n_nationkey),
     dimi AS (SELECT p_brand, MIN(CASE WHEN src = 'A' THEN 'Lines ' ELSE 'Lines of ' END || p_brand) AS indicator_name
              FROM grp GROUP BY p_brand)
@@ -220,9 +217,9 @@ _JOB_UNODC = """
 """
 
 ORACLE: dict[str, str] = {
-    "unpivot_years_prefixed": _unpivot_years_prefixed(),
-    "unpivot_years_plain": _unpivot_years_plain(),
-    "unpivot_entities": _unpivot_entities(),
+    "unpivot_years_prefixed": _UNPIVOT_YEARS_PREFIXED,
+    "unpivot_years_plain": _UNPIVOT_YEARS_PLAIN,
+    "unpivot_entities": _UNPIVOT_ENTITIES,
     "period_monthly": """
         SELECT l_orderkey, l_linenumber,
                CAST(year(l_shipdate) AS VARCHAR) || 'M' || CAST(month(l_shipdate) AS VARCHAR) AS period_text,
@@ -298,8 +295,13 @@ ORACLE: dict[str, str] = {
         SELECT s_suppkey, s_name, s_nationkey, s_acctbal, CAST(NULL AS VARCHAR), 'supplier' FROM supplier""",
     "parquet_roundtrip": "SELECT * FROM orders",
     "partitioned_roundtrip": "SELECT * FROM orders",
+    "partition_types": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 12 <> 11 THEN lpad(CAST(o_orderkey % 12 AS VARCHAR), 3, '0') END AS code,
+               CAST(date_trunc('year', o_orderdate) AS DATE) AS period
+        FROM orders""",
     "append_accumulate": "SELECT * FROM orders",
-    "audit_column": "SELECT c_custkey, c_name, TRUE AS stamped, TRUE AS stamped_before_read FROM customer",
+    "audit_column": """
+        SELECT c_custkey, c_name, TRUE AS stamped, TRUE AS stamped_after_start, TRUE AS stamped_before_end FROM customer""",
     "csv_roundtrip": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
                CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal,
@@ -326,15 +328,39 @@ ORACLE: dict[str, str] = {
     "row_count": "SELECT COUNT(*) AS n FROM orders",
     "distinct_rows": "SELECT DISTINCT l_returnflag, l_linestatus, l_discount, l_tax FROM lineitem",
     "extract_dim": "SELECT DISTINCT p_brand, p_type FROM part",
-    "extract_dim_first": "SELECT p_brand, MIN(p_type) AS p_type FROM part GROUP BY p_brand",
+    "extract_dim_first": """
+        SELECT p_brand, MIN(CASE WHEN p_partkey % 3 <> 0 AND p_brand <> 'Brand#11' THEN p_type END) AS p_type
+        FROM part GROUP BY p_brand""",
     "keep_first": """
-        SELECT * FROM customer
-        QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name, c_custkey, c_acctbal, c_mktsegment) = 1""",
+        SELECT * REPLACE (CASE WHEN c_custkey % 4 <> 0 AND c_nationkey <> 3 THEN c_name END AS c_name) FROM customer
+        QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY
+          CASE WHEN c_custkey % 4 <> 0 AND c_nationkey <> 3 THEN c_name END NULLS LAST, c_custkey, c_acctbal, c_mktsegment) = 1""",
     "conform_dimension": _CONFORM,
     "key_union": f"{_KEY_A} UNION {_KEY_B}",
     "key_intersect": f"{_KEY_A} INTERSECT {_KEY_B}",
     "key_except": f"{_KEY_A} EXCEPT {_KEY_B}",
     "sort_desc": "SELECT * FROM orders ORDER BY o_totalprice DESC",
+    "job_bronze_metadata": """
+        SELECT DISTINCT * FROM (
+          SELECT CAST(n_nationkey AS VARCHAR) AS country_code, n_name || chr(10) || '"note"' AS short_name,
+                 CAST(n_regionkey AS VARCHAR) AS ppp_survey_year
+          FROM nation
+          UNION ALL
+          SELECT CASE WHEN n_regionkey = 1 THEN 'X' ELSE '' END || CAST(n_nationkey AS VARCHAR),
+                 n_name || chr(10) || '"note"', CAST(n_regionkey AS VARCHAR)
+          FROM nation)""",
+    "job_bronze_series": """
+        SELECT DISTINCT p_brand AS series_code, p_type AS topic FROM part
+        UNION SELECT DISTINCT p_brand || 'b', p_type FROM part""",
+    "job_bronze_stats": """
+        WITH cnt AS (SELECT o_custkey, o_orderpriority, year(o_orderdate) AS y, COUNT(*) AS c FROM orders GROUP BY ALL),
+        grp AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)
+        SELECT 'Customer, no. ' || CAST(g.o_custkey AS VARCHAR) AS country_name, CAST(g.o_custkey AS VARCHAR) AS country_code,
+               g.o_orderpriority AS indicator_name, substr(g.o_orderpriority, 1, 1) AS indicator_code,
+               string_agg(coalesce(CAST(cnt.c AS VARCHAR), '-'), ' ' ORDER BY t.y) AS cells
+        FROM grp g CROSS JOIN generate_series(1959, 2030) t(y)
+        LEFT JOIN cnt ON cnt.o_custkey = g.o_custkey AND cnt.o_orderpriority = g.o_orderpriority AND cnt.y = t.y
+        GROUP BY ALL""",
     "job_non_gem_gold": _job_non_gem_gold(),
     "job_edstats_gold": _JOB_EDSTATS,
     "job_unodc_gold": _JOB_UNODC,

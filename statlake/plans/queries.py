@@ -12,6 +12,7 @@ result does not depend on summation order (exact on both engines).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +42,7 @@ from statlake.operators.shape import (
     with_literals,
 )
 from statlake.functions.sql import string as sql_string
-from statlake.layout import EDSTATS_YEAR_HEADER, STATS_YEAR_HEADER
+from statlake.layout import EDSTATS_YEAR_HEADER, STATS_YEARS, STATS_ID_COLUMNS, StatsSource, year_headers
 from statlake.session import scratch_dir
 from statlake.sources.csv import read_csv, write_csv
 from statlake.sources.tables import accumulate, drop_audit, read_table, write_table
@@ -58,8 +59,11 @@ SEGMENT_HEADERS = {
     "HOUSEHOLD": "House hold (all)",
     "MACHINERY": "MACHINERY",
 }
-PREFIXED_YEARS = list(range(1992, 2000))
-PLAIN_YEARS = [1959, *range(1993, 2004), 2030]
+# Wide year columns span the whole documented range, with one header on either
+# side of it (which R3 must leave out).
+RANGE = range(STATS_YEARS[0], STATS_YEARS[1] + 1)
+PLAIN_YEARS = [RANGE[0] - 1, *RANGE, RANGE[-1] + 1]
+OTHER = "Other (n.e.s.)"  # header of the cell for values outside a fixed list
 
 
 # Declared schemas of the driver's tables (as listed in FIXTURES.md). Reading
@@ -114,7 +118,10 @@ def _str(c: Column) -> Column:
 def q_unpivot_years_prefixed(spark, d):
     """R2 on a ``YRnnnn``-wide table: orders per priority and year."""
     o = table(spark, d, "orders")
-    wide = o.groupBy("o_orderpriority").agg(*[count_if(f"year(o_orderdate) = {y}").alias(f"YR{y}") for y in PREFIXED_YEARS])
+    # YR0000 counts what no other header does, so every row is in one cell
+    rest = f"o_orderdate IS NULL OR year(o_orderdate) NOT BETWEEN {RANGE[0]} AND {RANGE[-1]}"
+    cells = [count_if(f"year(o_orderdate) = {y}").alias(f"YR{y}") for y in RANGE]
+    wide = o.groupBy("o_orderpriority").agg(*cells, count_if(rest).alias("YR0000"))
     return unpivot_matching(wide, EDSTATS_YEAR_HEADER, variable="year", value="value", strip_prefix=2)
 
 
@@ -126,7 +133,7 @@ def q_unpivot_years_plain(spark, d):
         *[F.expr(f"CAST({count_if_sql(f'year(l_shipdate) = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS],
     )
     long = unpivot_matching(
-        wide, STATS_YEAR_HEADER, variable="year", value="value", ids=["l_returnflag", "l_linestatus"], full_match=True
+        wide, year_headers(*STATS_YEARS), variable="year", value="value", ids=["l_returnflag", "l_linestatus"], full_match=True
     )
     return cast_by_name(long, {"year": "int", "value": "float"}, default=None)
 
@@ -136,9 +143,11 @@ def _segment_wide(spark, d) -> DataFrame:
     c = table(spark, d, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
     label = F.date_format("o_orderdate", "yyyy'M'MM").alias("year")
+    known = ", ".join(sql_string(seg) for seg in SEGMENT_HEADERS)
     return j.groupBy(label).agg(
         *[money_sum(f"CASE WHEN c_mktsegment = {sql_string(seg)} THEN o_totalprice END").alias(h)
-          for seg, h in SEGMENT_HEADERS.items()]
+          for seg, h in SEGMENT_HEADERS.items()],
+        money_sum(f"CASE WHEN c_mktsegment IS NULL OR c_mktsegment NOT IN ({known}) THEN o_totalprice END").alias(OTHER),
     )
 
 
@@ -172,7 +181,7 @@ def q_period_annual(spark, d):
 
 
 def malformed_label(event_id: Column, ts: Column) -> Column:
-    k = F.pmod(event_id, F.lit(7))
+    k = F.pmod(event_id, F.lit(10))
     return (
         F.when(k == 0, "2000M13")
         .when(k == 1, "2000M")
@@ -180,6 +189,9 @@ def malformed_label(event_id: Column, ts: Column) -> Column:
         .when(k == 3, "2000Q5")
         .when(k == 4, F.concat(_str(F.year(ts)), F.lit("M"), _str(F.month(ts))))
         .when(k == 5, "1999.5")
+        .when(k == 6, "87")
+        .when(k == 7, "12.0")
+        .when(k == 8, "0")
         .otherwise(F.concat(_str(F.year(ts)), F.lit("Q"), _str(F.quarter(ts))))
     )
 
@@ -223,9 +235,11 @@ _LABELS = {
 def gem_like_wide(cells: DataFrame, frequency: str) -> DataFrame:
     """A publisher-style wide sheet: period label | one column per region."""
     label = _LABELS[frequency](F.col("month")).alias("year")
+    known = ", ".join(sql_string(name) for name in REGION_NAMES)
     return cells.groupBy(label).agg(
         *[F.expr(f"CAST(SUM(CASE WHEN r_name = {sql_string(name)} THEN v END) AS DOUBLE)").alias(name)
-          for name in REGION_NAMES]
+          for name in REGION_NAMES],
+        F.expr(f"CAST(SUM(CASE WHEN r_name IS NULL OR r_name NOT IN ({known}) THEN v END) AS DOUBLE)").alias(OTHER),
     )
 
 
@@ -394,23 +408,40 @@ def q_partitioned_roundtrip(spark, d):
     return read_table(spark, path, o.schema).select(*ORDERS_COLUMNS)
 
 
+def q_partition_types(spark, d):
+    """Codes like ``001``, a NULL code and a date, as partition values of declared types."""
+    o = table(spark, d, "orders")
+    k = F.pmod("o_orderkey", F.lit(12))
+    df = o.select(
+        "o_orderkey",
+        F.when(k == 11, F.lit(None)).otherwise(F.lpad(_str(k), 3, "0")).alias("code"),
+        F.trunc("o_orderdate", "year").alias("period"),
+    )
+    path = scratch_dir(spark, "partition_types")
+    write_table(df, path, partition_by=["code", "period"], audit=False)
+    return read_table(spark, path, "o_orderkey bigint, code string, period date")
+
+
 def q_audit_column(spark, d):
     """Every written row carries the write's ``insert_timestamp``.
 
     The timestamp itself differs per run, so the check exposes whether each
-    row got one and whether it lies in the write's time window.
+    row got one and whether it lies between the times before and after the write.
     """
     c = table(spark, d, "customer").select("c_custkey", "c_name")
     path = scratch_dir(spark, "audit_column")
-    before = F.current_timestamp()
+    now = lambda: F.timestamp_micros(F.lit(time.time_ns() // 1000))
+    before = now()
     write_table(c, path)
+    after = now()
     back = read_table(spark, path, "c_custkey bigint, c_name string, insert_timestamp timestamp")
     stamp = F.col("insert_timestamp")
     return back.select(
         "c_custkey",
         "c_name",
         stamp.isNotNull().alias("stamped"),
-        (stamp <= before).alias("stamped_before_read"),
+        (stamp >= before).alias("stamped_after_start"),
+        (stamp <= after).alias("stamped_before_end"),
     )
 
 
@@ -513,13 +544,20 @@ def q_extract_dim(spark, d):
 
 
 def q_extract_dim_first(spark, d):
-    return extract_dim(table(spark, d, "part"), "p_brand", ["p_type"], one_per_key=True)
+    """A third of the names is NULL; one brand has no name at all."""
+    p = table(spark, d, "part")
+    none = (F.pmod("p_partkey", F.lit(3)) == 0) | (F.col("p_brand") == "Brand#11")
+    named = p.select("p_brand", F.when(none, F.lit(None)).otherwise(F.col("p_type")).alias("p_type"))
+    return extract_dim(named, "p_brand", ["p_type"], one_per_key=True)
 
 
 # ------------------------------------------------------ window / sets (W, U2, O1)
 
 def q_keep_first(spark, d):
-    return keep_first(table(spark, d, "customer"), ["c_nationkey"], ["c_name"])
+    """Rows whose order column is NULL come last; nation 3 has no other."""
+    c = table(spark, d, "customer")
+    none = (F.pmod("c_custkey", F.lit(4)) == 0) | (F.col("c_nationkey") == 3)
+    return keep_first(c.withColumn("c_name", F.when(none, F.lit(None)).otherwise(F.col("c_name"))), ["c_nationkey"], ["c_name"])
 
 
 def q_conform_dimension(spark, d):
@@ -540,7 +578,7 @@ def q_conform_dimension(spark, d):
     s = table(spark, d, "supplier")
     secondary = s.select(
         F.when(F.pmod("s_suppkey", F.lit(13)) == 0, F.lit(None)).otherwise(F.col("s_nationkey")).alias("country_code"),
-        F.col("s_name").alias("country"),
+        F.when(F.pmod("s_suppkey", F.lit(2)) == 0, F.lit(None)).otherwise(F.col("s_name")).alias("country"),
         F.concat(F.lit("R"), _str(F.pmod("s_nationkey", F.lit(5)))).alias("region"),
         F.concat(F.lit("S"), _str(F.pmod("s_suppkey", F.lit(3)))).alias("subregion"),
     )
@@ -575,10 +613,7 @@ def q_sort_desc(spark, d):
 # The silver and gold job functions themselves, fed with publisher-shaped
 # wide tables that Spark derives from the driver's tables.
 
-STATS_YEARS = [1959, *range(1992, 2003), 2030]
-
-
-def land_bronze(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def land_bronze(spark: SparkSession, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a derived wide table as a bronze table and read it back.
 
     The jobs read stored bronze tables; each one feeds several outputs
@@ -588,7 +623,7 @@ def land_bronze(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_dir(spark, name)
     bronze = sanitize_columns(df)
-    write_table(bronze, path, sanitize=False)
+    write_table(bronze, path, partition_by=partition_by, sanitize=False)
     return read_table(spark, path, bronze.schema)  # declared: no footer read
 
 
@@ -602,15 +637,19 @@ def _stats_wide(spark, d) -> tuple[DataFrame, DataFrame]:
         li.join(su, li.l_suppkey == su.s_suppkey)
         .join(na, F.col("s_nationkey") == na.n_nationkey)
         .join(pa, li.l_partkey == pa.p_partkey)
-        .select("n_nationkey", "n_name", "p_brand", "l_returnflag", F.year("l_shipdate").alias("y"))
+        .select("n_nationkey", "n_name", "p_brand", F.col("l_returnflag").eqNullSafe("R").alias("first"), F.year("l_shipdate").alias("y"))
     )
-    cells = [F.expr(f"CAST({count_if_sql(f'y = {y}')} AS STRING)").alias(str(y)) for y in STATS_YEARS]
+    # the three-way join runs once: both sources read the landed rows
+    base = land_bronze(spark, base, "stats_lines", partition_by="first")
+    cells = [F.expr(f"CAST({count_if_sql(f'y = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS]
     code = _str(F.col("n_nationkey")).alias("country_code")
-    first = base.filter(F.col("l_returnflag") == "R").groupBy(
-        F.col("n_name").alias("country_name"), code,
+    # some countries have no name in the first source
+    name = F.when(F.pmod("n_nationkey", F.lit(5)) == 0, F.lit(None)).otherwise(F.col("n_name"))
+    first = base.filter("first").groupBy(
+        name.alias("country_name"), code,
         F.concat(F.lit("Lines "), "p_brand").alias("indicator_name"), F.col("p_brand").alias("indicator_code"),
     ).agg(*cells, F.lit("x").alias("extra"))
-    second = base.filter(~(F.col("l_returnflag") == "R") | F.col("l_returnflag").isNull()).groupBy(
+    second = base.filter("NOT first").groupBy(
         F.concat("n_name", F.lit(" (IDS)")).alias("country_name"), code,
         F.concat(F.lit("Lines of "), "p_brand").alias("series_name"), F.col("p_brand").alias("series_code"),
     ).agg(*cells)
@@ -622,7 +661,7 @@ def q_job_non_gem_gold(spark, d):
     from statlake.plans.gold import gold_non_gem
     from statlake.plans.silver import stats_dims, stats_to_long
 
-    first, second = (land_bronze(spark, w, "bronze_stats") for w in _stats_wide(spark, d))
+    first, second = _stats_wide(spark, d)
     sources = [(first, ()), (second, (("series_name", "indicator_name"), ("series_code", "indicator_code")))]
     countries, indicators = stats_dims(sources)
     dim_country = keep_first(countries, ["country_code"], ["country_name"])
@@ -685,10 +724,10 @@ def _unodc_sheets(spark, d) -> list[DataFrame]:
         ),
         "source": F.lit("CTS"),
     }
-    status = F.col("o_orderstatus")
-    first = j.filter(status == "F").select(*[v.alias(k) for k, v in cols.items()])
-    second = j.filter(~(status == "F") | status.isNull()).select(*[v.alias(k) for k, v in reversed(cols.items())])
-    return [first, second]
+    # the join runs once: both sheets read the landed rows, by a partition filter
+    rows = j.select(*[v.alias(k) for k, v in cols.items()], F.col("o_orderstatus").eqNullSafe("F").alias("sheet"))
+    landed = drop_audit(land_bronze(spark, rows, "bronze_unodc", partition_by="sheet"))
+    return [landed.filter("sheet").select(*cols), landed.filter("NOT sheet").select(*reversed(cols))]
 
 
 def q_job_unodc_gold(spark, d):
@@ -696,8 +735,7 @@ def q_job_unodc_gold(spark, d):
     from statlake.plans.gold import gold_dim_country, gold_unodc
     from statlake.plans.silver import unodc_to_silver
 
-    sheets = [land_bronze(spark, sheet, "bronze_unodc") for sheet in _unodc_sheets(spark, d)]
-    dim_unodc, fact = unodc_to_silver(sheets)
+    dim_unodc, fact = unodc_to_silver(_unodc_sheets(spark, d))
     n = table(spark, d, "nation")
     dim_wb = n.filter(F.col("n_nationkey") < 15).select(
         _str(F.col("n_nationkey")).alias("country_code"), F.col("n_name").alias("country_name")
@@ -705,6 +743,60 @@ def q_job_unodc_gold(spark, d):
     return gold_unodc(fact, gold_dim_country(dim_wb, dim_unodc))
 
 
+def _raw_csv(spark, name: str, df: DataFrame) -> str:
+    path = scratch_dir(spark, name)
+    write_csv(df, path)
+    return path
+
+
+def q_job_bronze_metadata(spark, d):
+    """Country metadata of two publishers (multi-line CSV) -> one table without repeats."""
+    from statlake.plans.bronze import country_metadata
+
+    n = table(spark, d, "nation")
+    code, note = _str(F.col("n_nationkey")), F.concat("n_name", F.lit('\n"note"'))
+    first = n.select(
+        code.alias("Country Code"), note.alias("Short Name"), _str(F.col("n_regionkey")).alias("PPP survey year"),
+        F.lit("x").alias("Alternative conversion factor"),
+    )
+    # the second publisher names its columns otherwise and repeats some countries
+    second = n.select(
+        F.concat(F.when(F.col("n_regionkey") == 1, "X").otherwise(""), code).alias("Code"), note.alias("Short Name"),
+        _str(F.col("n_regionkey")).alias("PPP survey years"), F.lit("2026").alias("Extra"),
+    ).drop("Extra")
+    plain = StatsSource("a", "", "", "")
+    renamed = StatsSource("b", "", "", "", country_renames=(("Code", "Country Code"), ("PPP survey years", "PPP survey year")), country_drop=())
+    frames = [(read_csv(spark, _raw_csv(spark, "raw_countries", f), multiline=True), s) for f, s in ((first, plain), (second, renamed))]
+    return country_metadata(frames)
+
+
+def q_job_bronze_series(spark, d):
+    """Series metadata of two publishers, narrowed to the columns they share."""
+    from statlake.plans.bronze import series_metadata
+
+    p = table(spark, d, "part")
+    first = p.select(F.col("p_brand").alias("Series Code"), F.col("p_type").alias("Topic"), F.lit("long").alias("Long definition"))
+    second = p.select(F.concat("p_brand", F.lit("b")).alias("Code"), F.col("p_type").alias("Topic"))
+    sources = (StatsSource("a", "", "", ""), StatsSource("b", "", "", "", series_renames=(("code", "series_code"),)))
+    frames = [(read_csv(spark, _raw_csv(spark, "raw_series", f), multiline=True), s) for f, s in zip((first, second), sources)]
+    return series_metadata(frames)
+
+
+def q_job_bronze_stats(spark, d):
+    """A wide statistics file (splittable CSV) landed as text, headers sanitised."""
+    o = table(spark, d, "orders")
+    years = [F.expr(f"CAST({count_if_sql(f'year(o_orderdate) = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS]
+    wide = o.groupBy(
+        F.concat(F.lit("Customer, no. "), _str(F.col("o_custkey"))).alias("Country Name"), _str(F.col("o_custkey")).alias("Country Code"),
+        F.col("o_orderpriority").alias("Indicator Name"), F.substring("o_orderpriority", 1, 1).alias("Indicator Code"),
+    ).agg(*years)
+    raw = read_csv(spark, _raw_csv(spark, "raw_stats", wide), columns=wide.columns)
+    bronze = drop_audit(land_bronze(spark, raw, "bronze_stats"))
+    some = [c for c in bronze.columns if c not in STATS_ID_COLUMNS]
+    # one row for each customer and priority: the years as one text, so the check compares all cells
+    return bronze.select(*STATS_ID_COLUMNS, F.concat_ws(" ", *[F.coalesce(F.col(f"`{c}`"), F.lit("-")) for c in some]).alias("cells"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from statlake.functions.measures import cast_by_name
-from statlake.layout import EDSTATS_YEAR_HEADER, STATS_ID_COLUMNS, STATS_YEAR_HEADER, Layout
+from statlake.functions.periods import parse_period
+from statlake.layout import EDSTATS_YEAR_HEADER, STATS_ID_COLUMNS, STATS_YEARS, Layout, year_headers
 from statlake.operators.dims import extract_dim
 from statlake.functions.sql import ident, string
 from statlake.operators.shape import align_union, unpivot_entities, unpivot_matching
@@ -41,21 +42,27 @@ def _year_column(df: DataFrame) -> str:
     raise ValueError(f"no Year column in {df.columns}")
 
 
+_PERIOD = "__statlake_period"
+
+
 def gem_to_long(sheets: Sequence[tuple[str, DataFrame]], frequency: str) -> DataFrame:
     """One frequency of macro series: ``(indicator, wide sheet)`` pairs ->
-    ``year, country, value, indicator, frequency``.
+    ``year, period, country, value, indicator, frequency``.
 
     Each sheet is unpivoted (a narrow Expand, no shuffle); empty cells stay
-    as NULL values; labels stay text and are dated in gold.
+    as NULL values; ``year`` keeps the label's text, ``period`` is its date.
     """
     longs = []
     for indicator, sheet in sheets:
         sheet = drop_audit(sheet)
         year = _year_column(sheet)
-        long = unpivot_entities(sheet, year, "country", "value", value_type="double")
+        # the label is dated once per sheet row, before it is repeated per country
+        dated = sheet.withColumn(_PERIOD, parse_period(year, frequency))
+        long = unpivot_entities(dated, year, "country", "value", value_type="double", keep=[_PERIOD])
         longs.append(
             long.selectExpr(
                 f"CAST({ident(year)} AS STRING) AS year",
+                f"{_PERIOD} AS period",
                 "country",
                 "value",
                 f"{string(indicator)} AS indicator",
@@ -80,16 +87,19 @@ def _standard_ids(df: DataFrame, renames: Sequence[tuple[str, str]]) -> DataFram
     return drop_audit(df)
 
 
-def stats_to_long(sources: Sequence[tuple[DataFrame, Sequence[tuple[str, str]]]]) -> DataFrame:
+def stats_to_long(
+    sources: Sequence[tuple[DataFrame, Sequence[tuple[str, str]]]], years: tuple[int, int] = STATS_YEARS
+) -> DataFrame:
     """Wide statistics tables -> ``country_code, indicator_code, year, value``.
 
-    Only the four id columns are kept; year headers outside 1960-2029 are
-    ignored; ``year`` INT and ``value`` FLOAT (unreadable text -> NULL).
+    Only the four id columns are kept; year headers outside ``years`` (first
+    and last, inclusive; the publishers' 1960-2029 by default) are ignored;
+    ``year`` INT and ``value`` FLOAT (unreadable text -> NULL).
     """
     longs = []
     for df, renames in sources:
         df = _standard_ids(df, renames)
-        long = unpivot_matching(df, STATS_YEAR_HEADER, "year", "value", ids=list(STATS_ID_COLUMNS), full_match=True)
+        long = unpivot_matching(df, year_headers(*years), "year", "value", ids=list(STATS_ID_COLUMNS), full_match=True)
         longs.append(long.select("country_code", "indicator_code", "year", "value"))
     return cast_by_name(align_union(longs), {"year": "int", "value": "float"}, default=None)
 

@@ -34,6 +34,22 @@ JOB_CONF = {
 }
 
 
+def job_session(app_name: str = "statlake", local: str | None = None) -> SparkSession:
+    """The submitted session (or a new one) with the job settings applied.
+
+    No master is set unless ``local`` names the threads of a local run, so the
+    master given to spark-submit stays.
+    """
+    _export_package_path()
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    if local:
+        builder = builder.master(f"local[{local}]")
+    spark = builder.getOrCreate()
+    for key, value in JOB_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(
     cpus: int | str = 8,
     shuffle_partitions: int = 8,
@@ -81,7 +97,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(
                 "set spark.checkpoint.dir to storage shared by all executors; "
                 "statlake writes scratch and round-trip tables there"

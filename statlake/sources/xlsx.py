@@ -1,34 +1,27 @@
-"""Spreadsheet workbooks as a Spark data source (S2): ``format("xlsx")``.
-
-A Python Data Source: the driver only lists files and reads header rows to
-declare the schema; each workbook is one input partition and is parsed on an
-executor, streaming the sheet XML (a workbook is a zip archive and cannot be
-split, like a gzip file). No rows pass through the driver.
-
-Options
-  path                   file, directory or glob (several: comma-separated)
-  sheet                  sheet name (default: the first sheet)
-  headerRow              0-based row number of the header (default 0)
-  skipRowsAfterHeader    data rows to drop right after the header (default 0)
-  firstBlankHeader       name for a blank header in the first column
-                         (default ``Year``); other blank headers get ``_c<i>``
-  sourceColumn           if set, add a column with the workbook's file name
+"""Spreadsheet workbooks (S2): a sheet of each as rows of text.
+
+Files are listed and read by Spark (``binaryFile``), so a path may be on any
+file system Spark knows. A workbook is a zip archive and cannot be split, like a gzip
+file: it is one task, which streams the sheet's XML. One distributed pass
+reads the header rows (all workbooks at once) to declare the schema; no data rows pass
+through the driver.
 
 Every value is read as text (numbers as stored, e.g. ``1987`` or ``0.25``);
 typing is done later with ``try_cast``. Rows whose cells are all empty are
-dropped. Paths must be readable by every executor (shared storage).
+dropped.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import io
 import posixpath
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from xml.etree.ElementTree import iterparse
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 # XML namespaces of the Office Open XML spreadsheet format.
@@ -40,16 +33,9 @@ def _tag(local: str) -> str:
     return f"{{{NS_MAIN}}}{local}"
 
 
-def list_files(path: str) -> list[str]:
-    out: list[str] = []
-    for part in [p.strip() for p in path.split(",") if p.strip()]:
-        if os.path.isdir(part):
-            out += sorted(glob.glob(os.path.join(part, "*.xlsx")))
-        elif any(ch in part for ch in "*?["):
-            out += sorted(glob.glob(part))
-        else:
-            out.append(part)
-    return out
+def literal_path(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
 
 
 def column_index(ref: str) -> int:
@@ -90,8 +76,8 @@ def _sheet_path(zf: zipfile.ZipFile, sheet: str | None) -> str:
     raise ValueError(f"no relationship {rid} for sheet {sheet!r}")
 
 
-def _shared_strings(zf: zipfile.ZipFile, upto: int | None = None) -> list[str]:
-    """Shared string table (rich-text runs joined); stop after ``upto``."""
+def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
+    """Shared string table (rich-text runs joined)."""
     if "xl/sharedStrings.xml" not in zf.namelist():
         return []
     out: list[str] = []
@@ -108,8 +94,6 @@ def _shared_strings(zf: zipfile.ZipFile, upto: int | None = None) -> list[str]:
             elif event == "end" and el.tag == _tag("si"):
                 out.append("".join(parts))
                 el.clear()
-                if upto is not None and len(out) > upto:
-                    break
     return out
 
 
@@ -162,136 +146,91 @@ def _header_names(cells: dict[int, str], first_blank: str) -> list[str]:
     return names
 
 
-class _Options:
-    def __init__(self, options):
-        get = options.get
-        self.path = get("path") or ""
-        self.sheet = get("sheet")
-        self.header_row = int(get("headerRow", get("headerrow", 0)))
-        self.skip = int(get("skipRowsAfterHeader", get("skiprowsafterheader", 0)))
-        self.first_blank = get("firstBlankHeader", get("firstblankheader", "Year"))
-        self.source_column = get("sourceColumn", get("sourcecolumn"))
-
-
-def read_header(path: str, opts: _Options) -> list[str]:
-    """Header names of one workbook; reads only up to the header row."""
-    with zipfile.ZipFile(path) as zf:
-        member = _sheet_path(zf, opts.sheet)
-        target = opts.header_row + 1
-        header_cells: dict[int, str] = {}
-        # first pass without strings: find the header row and its string ids
-        raw_cells = {}
-        last = 0
-        with zf.open(member) as fh:
-            for _event, el in iterparse(fh, events=("end",)):
-                if el.tag == _tag("row"):
-                    ref = el.get("r")
-                    last = int(ref) if ref else last + 1
-                    if last == target:
-                        for pos, c in enumerate(el.iter(_tag("c"))):
-                            ref = c.get("r")
-                            raw_cells[column_index(ref) if ref else pos] = c
-                        break
-                    el.clear()
-        needed = [int(c.find(_tag("v")).text) for c in raw_cells.values() if c.get("t") == "s" and c.find(_tag("v")) is not None]
-        strings = _shared_strings(zf, max(needed) if needed else -1) if needed else []
-        for idx, c in raw_cells.items():
-            text = _cell_text(c, strings)
-            if text is not None and text != "":
-                header_cells[idx] = text
-    return _header_names(header_cells, opts.first_blank)
-
-
-class XlsxDataSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "xlsx"
-
-    def schema(self) -> StructType:
-        opts = _Options(self.options)
-        files = list_files(opts.path)
-        if not files:
-            raise FileNotFoundError(f"no workbook at {opts.path!r}")
-        names: list[str] = []
-        for f in files:
-            for n in read_header(f, opts):
-                if n not in names:
-                    names.append(n)
-        if opts.source_column:
-            names.append(opts.source_column)
-        return StructType([StructField(n, StringType(), True) for n in names])
-
-    def reader(self, schema: StructType) -> "XlsxReader":
-        return XlsxReader(_Options(self.options), schema)
-
-
-class WorkbookPartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
-
-class XlsxReader(DataSourceReader):
-    def __init__(self, opts: _Options, schema: StructType):
-        self.opts = opts
-        self.names = [f.name for f in schema.fields]
-
-    def partitions(self):
-        return [WorkbookPartition(f) for f in list_files(self.opts.path)]
-
-    def read(self, partition: WorkbookPartition):
-        opts = self.opts
-        position = {n: i for i, n in enumerate(self.names)}
-        with zipfile.ZipFile(partition.path) as zf:
-            member = _sheet_path(zf, opts.sheet)
+@dataclass(frozen=True)
+class Sheet:
+    """Which sheet (None: the first) and where its header stands (rows from 0)."""
+
+    name: str | None = None
+    header_row: int = 0
+    skip_rows_after_header: int = 0
+    first_blank_header: str = "Year"
+
+    def rows(self, content: bytes, path: str) -> Iterator[list[str] | dict[int, str]]:
+        """The header names, then the cells of each data row by column."""
+        with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            member = _sheet_path(zf, self.name)
             strings = _shared_strings(zf)
-            header_at = opts.header_row + 1
-            mapping: dict[int, int] | None = None
+            header_at, found = self.header_row + 1, False
             for number, cells in iter_rows(zf, member, strings):
-                if number < header_at:
-                    continue
                 if number == header_at:
-                    names = _header_names(cells, opts.first_blank)
-                    mapping = {i: position[n] for i, n in enumerate(names) if n in position}
-                    continue
-                if mapping is None:
-                    raise ValueError(f"{partition.path}: header row {header_at} not found")
-                if number <= header_at + opts.skip:
-                    continue  # positional: the rows right after the header
-                out = [None] * len(self.names)
-                empty = True
-                for idx, text in cells.items():
-                    j = mapping.get(idx)
-                    if j is not None:
-                        out[j] = text
-                        empty = False
-                if empty:
-                    continue
-                if opts.source_column:
-                    out[position[opts.source_column]] = os.path.basename(partition.path)
-                yield tuple(out)
-
-
-def register(spark) -> None:
-    """Make ``spark.read.format("xlsx")`` available in this session."""
-    spark.dataSource.register(XlsxDataSource)
+                    found = True
+                    yield _header_names(cells, self.first_blank_header)
+                elif number > header_at and not found:
+                    break
+                elif number > header_at + self.skip_rows_after_header and cells:
+                    yield cells  # the skip is positional: the rows right after the header
+            if not found:
+                raise ValueError(f"{path}: header row {header_at} not found")
 
 
 def read_xlsx(
-    spark,
-    path: str,
+    spark: SparkSession,
+    path: str | Sequence[str],
     sheet: str | None = None,
     header_row: int = 0,
     skip_rows_after_header: int = 0,
     first_blank_header: str = "Year",
-):
-    register(spark)
-    reader = (
-        spark.read.format("xlsx")
-        .option("headerRow", str(header_row))
-        .option("skipRowsAfterHeader", str(skip_rows_after_header))
-        .option("firstBlankHeader", first_blank_header)
-    )
-    if sheet is not None:
-        reader = reader.option("sheet", sheet)
-    return reader.load(path)
+    source_column: str | None = None,
+) -> DataFrame:
+    """One sheet of each workbook, all values text.
+
+    * ``path``: a workbook, a folder of workbooks, or a list of these. Each is
+      taken literally: commas and glob characters are part of the name.
+    * ``sheet``: its name (default: the first sheet).
+    * ``header_row`` (from 0); ``skip_rows_after_header`` rows below it are dropped.
+    * a blank header in the first column becomes ``first_blank_header``, others ``_c<i>``.
+    * ``source_column``: if set, a column with the workbook's path.
+
+    Columns are matched by name; a workbook without one has NULLs in it.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    what = Sheet(sheet, header_row, skip_rows_after_header, first_blank_header)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load([literal_path(p) for p in paths])
+    files = files.select("path", "content")
+
+    def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [next(what.rows(c.as_py(), p.as_py())) for p, c in zip(batch.column("path"), batch.column("content"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(names, pa.list_(pa.string()))], ["path", "names"])
+
+    # one row of names for each workbook
+    found = sorted(files.mapInArrow(headers, "path string, names array<string>").collect(), key=lambda r: r["path"])
+    if not found:
+        raise FileNotFoundError(f"no workbook at {path!r}")
+    names = list(dict.fromkeys(n for r in found for n in r["names"]))
+    every = [*names, *([source_column] if source_column else [])]
+
+    def data(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p, c in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                rows = what.rows(c.as_py(), p)
+                own = next(rows)
+                held: list[dict[int, str]] = []
+                for cells in rows:
+                    held.append(cells)
+                    if len(held) == 4096:
+                        yield _columns(held, own, names, p if source_column else None, every)
+                        held = []
+                if held:
+                    yield _columns(held, own, names, p if source_column else None, every)
+
+    return files.mapInArrow(data, StructType([StructField(n, StringType(), True) for n in every]))
+
+
+def _columns(rows: list[dict[int, str]], own: list[str], names: list[str], source: str | None, every: list[str]) -> pa.RecordBatch:
+    at = {n: i for i, n in enumerate(own)}
+    rows = [r for r in rows if any(i < len(own) for i in r)]
+    columns = [pa.array([r.get(at[n]) if n in at else None for r in rows], pa.string()) for n in names]
+    if source is not None:
+        columns.append(pa.array([source] * len(rows), pa.string()))
+    return pa.RecordBatch.from_arrays(columns, every)

@@ -25,7 +25,7 @@ STATS = (
 UNODC = (("unodc_econ_crime", "unodc/econ.xlsx"), ("unodc_func_justice", "unodc/justice.xlsx"))
 
 
-def _write(path: str, text: str) -> None:
+def write_text(path: str, text: str) -> None:
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w", encoding="utf-8") as fh:
         fh.write(text)
@@ -70,24 +70,24 @@ def build(root: str) -> Layout:
         ["Europe", "BEL", "Belgium", "Western Europe", "Prisoners", "Total", "Total", "Male", "Total", 2017, 200, "CTS"],
     ]})
 
-    _write(raw(STATS[0].data_file),
+    write_text(raw(STATS[0].data_file),
            '"Country Name","Country Code","Indicator Name","Indicator Code","1959","1960","2029","2030","Extra"\n'
            '"Afghanistan","AFG","Population","SP.POP","1","10","20","30","x"\n'
            '"Belgium","BEL","Population","SP.POP","2","11","","31","y"\n')
-    _write(raw(STATS[1].data_file),
+    write_text(raw(STATS[1].data_file),
            '"Country Name","Country Code","Series Name","Series Code","1960","1961"\n'
            '"Afghanistan, IS","AFG","Debt","DT.DOD","5","abc"\n'
            '"Afghanistan, IS","AFG","Population","SP.POP","7","8"\n')
-    _write(raw(STATS[0].country_file),
+    write_text(raw(STATS[0].country_file),
            'Country Code,Short Name,PPP survey year,Alternative conversion factor\n'
            'AFG,"Afghan\nistan",2011,x\nBEL,"Bel ""gium""",2017,\n')
-    _write(raw(STATS[1].country_file),
+    write_text(raw(STATS[1].country_file),
            'Code,Short Name,PPP survey years\nAFG,"Afghan\nistan",2011\n')
-    _write(raw(STATS[0].series_file),
+    write_text(raw(STATS[0].series_file),
            'Series Code,Topic,Indicator Name,Long definition\nSP.POP,Health,Population,"All people"\n')
-    _write(raw(STATS[1].series_file),
+    write_text(raw(STATS[1].series_file),
            'Code,Topic,Indicator Name\nDT.DOD,Debt,Debt stock\nSP.POP,Health,Population\n')
-    _write(raw(layout.edstats_file),
+    write_text(raw(layout.edstats_file),
            'country_name,indicator_name,sex,urbanization,age,unit_type,unit_measure,YR1970,yr1999,YR2000\n'
            'Afghanistan,Enrolment,_T,_T,_T,NUM,PS,NA,1.,.5\n'
            'Afghanistan,Enrolment,F,_T,Y15T24,NUM,PS,-3e2,+1,abc\n'

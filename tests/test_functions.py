@@ -47,8 +47,8 @@ def test_quarterly(spark):
 
 
 def test_annual(spark):
-    got = _periods(spark, ["1987", "1987.0", "1987.9", " 1990 ", "abc", "", None], "annual")
-    assert got == [dt.date(1987, 1, 1)] * 3 + [dt.date(1990, 1, 1), None, None, None]
+    got = _periods(spark, ["1987", "1987.0", "1987.9", " 1990 ", "abc", "", None, "87", "12.0", "5", "0", "999", "10000"], "annual")
+    assert got == [dt.date(1987, 1, 1)] * 3 + [dt.date(1990, 1, 1)] + [None] * 9
 
 
 def test_annual_numeric_input(spark):

@@ -98,6 +98,46 @@ def test_all_jobs_end_to_end_and_idempotent(spark, workdir):
         ], key=_key)
 
 
+def test_default_layout_with_published_names(spark, workdir):
+    """All 14 series and 3 crime workbooks under their published names, from a file:// root."""
+    import os
+
+    from statlake.layout import GEM_SOURCES, STATS_SOURCES, UNODC_SOURCES, Layout
+
+    from .raw_fixtures import write_text
+    from .xlsx_fixture import write_xlsx
+
+    local = Layout(workdir)
+    label = {"annual": 1987.0, "quarterly": "1987Q2", "monthly": "1987M03"}
+    for i, g in enumerate(GEM_SOURCES):
+        os.makedirs(os.path.dirname(local.raw(g.file)), exist_ok=True)
+        write_xlsx(local.raw(g.file), {f: [[None, "Korea, Rep."], ["%"], [label[f], i + 0.5]] for f in g.frequencies})
+    header = ["Iso3_code", "Country", "Region", "Subregion", "Indicator", "Dimension", "Category", "Sex", "Age", "Year", "VALUE", "Source"]
+    for i, (name, file) in enumerate(UNODC_SOURCES):
+        os.makedirs(os.path.dirname(local.raw(file)), exist_ok=True)
+        row = ["KOR", "Korea", "Asia", "Eastern Asia", name, "Total", "Total", "Total", "Total", 2015, i + 1, "CTS"]
+        write_xlsx(local.raw(file), {"data": [["title"], [], header, row]})
+    for i, s in enumerate(STATS_SOURCES):
+        ids = "Series Name,Series Code" if s.renames else "Indicator Name,Indicator Code"
+        write_text(local.raw(s.data_file), f"Country Name,Country Code,{ids},1960\nKorea,KOR,Population,P{i},{i}\n")
+        code, survey = ("Code", "PPP survey years") if s.country_renames else ("Country Code", "PPP survey year")
+        write_text(local.raw(s.country_file), f"{code},Short Name,{survey}\nKOR,Korea,2011\n")
+        write_text(local.raw(s.series_file), ("Code" if s.series_renames else "Series Code") + ",Topic\nP,Health\n")
+    write_text(local.raw(local.edstats_file), "country_name,indicator_name,sex,urbanization,age,unit_type,unit_measure,YR1970\nKorea,Enrolment,_T,_T,_T,NUM,PS,7\n")
+
+    layout = Layout("file://" + workdir)
+    run_all(spark, layout)
+    gem = rows(spark, layout.gold("fact_wb_gem_all_data"), ["indicator", "frequency", "value", "period"])
+    day = {"annual": dt.date(1987, 1, 1), "quarterly": dt.date(1987, 4, 1), "monthly": dt.date(1987, 3, 1)}
+    assert gem == sorted([(g.indicator, f, i + 0.5, day[f]) for i, g in enumerate(GEM_SOURCES) for f in g.frequencies], key=_key)
+    crime = rows(spark, layout.gold("fact_unodc_crime_global"), ["country_name", "indicator", "value"])
+    assert crime == sorted([("Korea", name, i + 1.0) for i, (name, _) in enumerate(UNODC_SOURCES)], key=_key)
+    assert rows(spark, layout.gold("fact_wb_non_gem_all_data"), ["country_name", "indicator_name", "year", "value"]) == [
+        ("Korea", "Population", 1960, float(i)) for i in range(4)
+    ]
+    assert rows(spark, layout.gold("fact_edstats"), ["country_name", "value"]) == [("Korea", 7.0)]
+
+
 def test_gold_edstats_partitions_prune(spark, workdir):
     layout = build(workdir)
     run_all(spark, layout)
@@ -142,3 +182,22 @@ def test_command_line_runs_all_layers_from_yaml(workdir):
     for table in ("dim_country", "fact_unodc_crime_global", "fact_wb_gem_all_data", "fact_wb_non_gem_all_data",
                   "fact_edstats"):
         assert os.path.isdir(layout.gold(table)), table
+
+
+def test_command_line_keeps_the_submitted_master(workdir):
+    """``--local`` sets a master; without it the submitted one stays."""
+    import os
+    import subprocess
+    import sys
+
+    from .conftest import ROOT
+
+    code = (
+        "import sys; from statlake.session import job_session\n"
+        "s = job_session(local=sys.argv[1] if len(sys.argv) > 1 else None)\n"
+        "print('MASTER', s.sparkContext.master, s.conf.get('spark.sql.session.timeZone'), s.conf.get('spark.sql.adaptive.advisoryPartitionSizeInBytes'))"
+    )
+    env = dict(os.environ, PYTHONPATH=ROOT, PYSPARK_SUBMIT_ARGS="--master local[3] --conf spark.ui.enabled=false pyspark-shell")
+    for args, master in ((), "local[3]"), (("2",), "local[2]"):
+        out = subprocess.run([sys.executable, "-c", code, *args], cwd=ROOT, env=env, capture_output=True, text=True, timeout=300)
+        assert f"MASTER {master} UTC 128m" in out.stdout, out.stderr[-2000:]

@@ -2,6 +2,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from statlake.layout import STATS_YEARS, year_headers
 from statlake.operators.dims import conform_dim, extract_dim
 from statlake.operators.joins import denormalize, join_dim
 from statlake.operators.keys import (
@@ -36,7 +37,7 @@ def test_unpivot_prefixed(spark):
 
 def test_unpivot_plain_years(spark):
     df = spark.createDataFrame([("c", "x", "1", "2", "3", "e")], "`Country Code` string, extra string, `1959` string, `1960` string, `2029` string, `2030` string")
-    out = unpivot_matching(df, r"^(19[6-9]\d|20[0-2]\d|2023)$", ids=["Country Code"], full_match=True)
+    out = unpivot_matching(df, year_headers(*STATS_YEARS), ids=["Country Code"], full_match=True)
     assert out.columns == ["Country Code", "year", "value"]
     assert [(r.year, r.value) for r in out.collect()] == [("1960", "2"), ("2029", "3")]
 
@@ -158,3 +159,36 @@ def test_unpivot_labels_that_collide(spark):
     out = unpivot_matching(df, r"[a-z]{2}\d{4}", strip_prefix=2)
     assert out.columns == ["name", "year", "value"]
     assert [(r.year, r.value) for r in out.collect()] == [("1999", "1"), ("1999", "2")]
+
+
+def test_null_names_never_win(spark):
+    df = spark.createDataFrame([("A", None), ("A", "Pop"), ("B", None), ("B", None)], "code string, name string")
+    got = dict(map(tuple, extract_dim(df, "code", ["name"], one_per_key=True).collect()))
+    assert got == {"A": "Pop", "B": None}
+    primary = spark.createDataFrame([("AFG", "Afghanistan"), ("BEL", None)], "country_code string, country_name string")
+    secondary = spark.createDataFrame(
+        [("XKX", None, None, None), ("XKX", "Kosovo", "Europe", "South"), ("AFG", None, None, None)],
+        "country_code string, country string, region string, subregion string",
+    )
+    out = sorted(map(tuple, conform_dim(primary, secondary).collect()))
+    # a code whose only name is NULL, and which the secondary lacks, has no row
+    assert out == [("AFG", "Afghanistan", None, None), ("XKX", "Kosovo", "Europe", "South")]
+
+
+def test_year_headers_are_an_inclusive_range(spark):
+    df = spark.createDataFrame([("c", "1", "2", "3")], "id string, `1999` string, `2000` string, `2001` string")
+    out = unpivot_matching(df, year_headers(2000, 2000), ids=["id"], full_match=True)
+    assert [(r.year, r.value) for r in out.collect()] == [("2000", "2")]
+
+
+def test_wide_checks_hold_every_row(spark):
+    """The cells of the derived wide tables count all rows of their table."""
+    from statlake.plans.queries import q_unpivot_entities, q_unpivot_years_plain, q_unpivot_years_prefixed, table
+
+    from .conftest import SF_SMALL
+
+    total = lambda df: df.agg(F.sum("value")).first()[0]
+    assert total(q_unpivot_years_prefixed(spark, SF_SMALL)) == table(spark, SF_SMALL, "orders").count()
+    assert total(q_unpivot_years_plain(spark, SF_SMALL)) == table(spark, SF_SMALL, "lineitem").count()
+    value = table(spark, SF_SMALL, "orders").agg(F.sum("o_totalprice")).first()[0]
+    assert abs(total(q_unpivot_entities(spark, SF_SMALL)) - value) < 1e-6 * value

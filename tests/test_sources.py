@@ -4,7 +4,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from statlake.sources.csv import read_csv, write_csv
 from statlake.sources.tables import accumulate, append_each, create_namespaces, read_table, write_table
-from statlake.sources.xlsx import column_index, read_xlsx
+from statlake.sources.xlsx import column_index, literal_path, read_xlsx
 
 from .xlsx_fixture import Inline, write_xlsx
 
@@ -48,6 +48,18 @@ def test_xlsx_many_workbooks_one_task_each(spark, workdir):
     assert sorted(map(tuple, df.select("k", "v", "extra").collect())) == [("a", "1", None), ("b", "2", "e")]
 
 
+def test_xlsx_paths_are_literal(spark, workdir):
+    assert literal_path("a,b [1]*?.xlsx") == r"a,b \[1\]\*\?.xlsx"
+    names = ["CPI Price, % y-o-y, nominal.xlsx", "Stock Markets, US$ [1].xlsx", "a*b.xlsx", "aXb.xlsx"]
+    for i, name in enumerate(names):
+        write_xlsx(os.path.join(workdir, name), {"s": [["k"], [f"v{i}"]]})
+    for i, name in enumerate(names):
+        for root in (workdir, "file://" + workdir):
+            assert [tuple(r) for r in read_xlsx(spark, f"{root}/{name}").collect()] == [(f"v{i}",)]
+    both = read_xlsx(spark, [f"{workdir}/{n}" for n in names[:2]], source_column="file")
+    assert sorted((r.k, os.path.basename(r.file).replace("%25", "%")[:9]) for r in both.collect()) == [("v0", "CPI Price"), ("v1", "Stock Mar")]
+
+
 def test_csv_multiline_and_quotes(spark, workdir):
     p = os.path.join(workdir, "c.csv")
     with open(p, "w") as fh:
