@@ -68,7 +68,7 @@ Chunks = dict[int, int]  # digest -> length
 
 def chunk_set(raw: np.ndarray, target: int = 128) -> Chunks:
     ends = chunk_ends(raw, target)
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    starts = np.concatenate([[0], ends])[: len(ends)].astype(np.int64)
     digests = span_hashes(raw, starts, ends) >> np.uint64(16)
     return dict(zip(digests.tolist(), (ends - starts).tolist(), strict=True))
 

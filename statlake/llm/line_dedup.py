@@ -109,7 +109,7 @@ def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
 def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2048, 8 << 20):
+            for part in slices(batch, "text", 1024, 2 << 20):
                 lines = Lines(part.column("text"))
                 some = np.flatnonzero(lines.words >= min_words)
                 of = pa.array(lines.owner[some])
@@ -133,7 +133,7 @@ def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2048, 8 << 20):
+            for part in slices(batch, "text", 1024, 2 << 20):
                 lines = Lines(part.column("text"))
                 digest = lines.digests()
                 some = np.flatnonzero((lines.words >= min_words) & bitmap_has(wanted, digest))
@@ -208,9 +208,9 @@ def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3,
     return gone.groupBy("doc_id", "tie").agg(F.collect_set("number").alias("numbers"))
 
 
-def without_duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, drop_emptied: bool = False) -> DataFrame:
-    """``docs`` with repeated lines taken out of ``text``; further columns ``n_lines``
-    and ``n_removed``.
+def without_duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, drop_emptied: bool = False, counts: bool = True) -> DataFrame:
+    """``docs`` with repeated lines taken out of ``text``; with ``counts`` further
+    columns ``n_lines`` and ``n_removed``.
 
     Lines of fewer than ``min_words`` words are never removed. A line counts as
     repeated when it is connected, through lines of edit similarity of at least
@@ -246,8 +246,10 @@ def without_duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits:
             out.append(F.when(F.col("g_numbers").isNull(), F.col(c)).otherwise(F.char_length("g_text").cast(kind)).alias(c))
         else:
             out.append(F.col(c))
+    if not counts:
+        return rows.select(*out).toDF(*names)
     n_lines = F.coalesce(F.size("g_lines"), F.lit(0)).cast("bigint")
     removed = F.coalesce(F.size("g_numbers"), F.lit(0)).cast("bigint")
-    counts = [F.when(F.col(text).isNull(), 0).otherwise(n_lines).cast("bigint"), F.when(F.col("g_numbers").isNull(), 0).otherwise(removed).cast("bigint")]
-    return rows.select(*out, *[c.alias(f"g{i}") for i, c in enumerate(counts)]).toDF(*names, "n_lines", "n_removed")
+    more = [F.when(F.col(text).isNull(), 0).otherwise(n_lines).cast("bigint"), F.when(F.col("g_numbers").isNull(), 0).otherwise(removed).cast("bigint")]
+    return rows.select(*out, *[c.alias(f"g{i}") for i, c in enumerate(more)]).toDF(*names, "n_lines", "n_removed")
 

@@ -11,8 +11,8 @@ about ``leaf`` documents, so a source that holds a third of all rows is many
 leaves. A leaf settles all but a bounded remainder (its last fraction and its
 smallest documents), and ``fan`` remainders meet in the next node. At a
 source's root the largest open document is rounded against all smaller open
-ones together, down to the smallest, so the total misses the target by less
-than a small document's words.
+ones together, down to the smallest, so the total misses the target by the words
+of one document at most, mostly a small one.
 """
 
 from __future__ import annotations
