@@ -1,6 +1,7 @@
 """Operator checks on the driver's tables (``queries()`` in ``__spark_entry__``).
 
-Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame built
+Each function takes ``(spark, sf_dir)`` and returns a DataFrame built (those that
+check a sink or a whole job write their tables under the scratch folder when called)
 with the library's operators over whole tables. The driver tables hold no
 NULLs or dirty text, so each query makes the cases it needs (NULL keys,
 malformed labels, text measures) from the rows themselves with ``CASE``

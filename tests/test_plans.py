@@ -165,3 +165,19 @@ def test_hot_key_semi_join_is_split_by_aqe(spark):
         assert "SortMergeJoin(skew=true)" in final and "LeftSemi" in final
     finally:
         _restore(spark, old)
+
+
+def test_dimensions_rank_distinct_rows_only(spark):
+    """The hash aggregate stands below the ranking: raw rows are never sorted."""
+    for name in ("extract_dim_first", "conform_dimension"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        below = p.split(", Partial")[1:]  # of each map-side WindowGroupLimit
+        assert below and all("HashAggregate" in part for part in below)
+
+
+def test_jobs_land_their_joined_rows_once(spark):
+    """The landed rows are read by a partition filter; no join of the sources runs again."""
+    for name, column in (("job_unodc_gold", "sheet"), ("job_non_gem_gold", "first")):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert f"PartitionFilters: [isnotnull({column}" in p
+        assert "l_partkey" not in p and "o_custkey" not in p
