@@ -59,16 +59,17 @@ def linked_groups(
     ``blocks``: ``key, node`` and ``attrs``, stored. ``may_link``: SQL over
     ``x`` and ``y`` (structs of ``node`` and ``attrs``), a necessary condition
     for a link found in this block. ``verify`` gets pairs ``a, b`` with
-    ``x, y`` and returns the linked ones, ``a, b``.
+    ``x, y`` and the ``key`` of a block where they meet, and returns the linked
+    ones, ``a, b``.
     """
     item = F.struct("node", *attrs)
 
     def pairs(found: DataFrame) -> DataFrame:
-        ordered = found.filter(may_link).select(
-            F.when(F.expr("x.node < y.node"), F.struct("x", "y")).otherwise(F.struct(F.col("y").alias("x"), F.col("x").alias("y"))).alias("p")
-        )
-        out = ordered.select("p.x", "p.y").groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        return stored(out.agg(F.first("x").alias("x"), F.first("y").alias("y")), "pairs")
+        flip = F.expr("x.node > y.node")
+        low, high = F.when(flip, F.col("y")).otherwise(F.col("x")), F.when(flip, F.col("x")).otherwise(F.col("y"))
+        ordered = found.filter(may_link).select("key", low.alias("x"), high.alias("y"))
+        out = ordered.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        return stored(out.agg(F.min("key").alias("key"), F.first("x").alias("x"), F.first("y").alias("y")), "pairs")
 
     edges, labels = None, None
     for r in range(rounds + 1):
@@ -87,11 +88,11 @@ def linked_groups(
         ).filter("lo <> hi")
         rows = rows.join(per, F.col("key") == F.col("pk"))
         if r < rounds:
-            met = rows.filter("pivot.label <> label").select("x", F.col("pivot.x").alias("y"))
+            met = rows.filter("pivot.label <> label").select("key", "x", F.col("pivot.x").alias("y"))
         else:
             rows = stored(rows.select("key", "x", "label"), "blocks")
             other = rows.select(F.col("key").alias("k2"), F.col("x").alias("y"), F.col("label").alias("label2"))
-            met = rows.join(other, (F.col("key") == F.col("k2")) & (F.col("label") < F.col("label2")) & F.expr(may_link)).select("x", "y")
+            met = rows.join(other, (F.col("key") == F.col("k2")) & (F.col("label") < F.col("label2")) & F.expr(may_link)).select("key", "x", "y")
         new = stored(verify(pairs(met)).select("a", "b"), "links")
         edges = new if edges is None else edges.unionByName(new)
         labels = components(edges)

@@ -17,10 +17,12 @@ Equal sets are one class from the start; near copies are joined through pivots
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from statlake.llm.common import mix, pick, shuffle_partitions, slices, span_hash
 from statlake.llm.linking import linked_groups
 from statlake.session import scratch_dir
 
-SKETCH_BITS, SLICE_BITS = 20, 14
+SKETCH_BITS, SLICE_BITS = 23, 17
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _P = np.uint64(0xD6E8FEB86659FD93)
@@ -73,7 +75,7 @@ def _bucket(s: np.ndarray, bits: int) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in batches:
-        for part in slices(batch, "text", 2048, 8 << 20):
+        for part in slices(batch, "text", 1024, 2 << 20):
             yield part, *shingle_sets(part.column("text"), k)
 
 
@@ -81,17 +83,17 @@ def _counted(docs: DataFrame, k: int) -> str:
     """Write each document's set size and digest, and the n-gram count sketch in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << SKETCH_BITS, np.int32)  # of one task's split
         names = ["kind", "doc_id", "n", "node", "slice", "counts"]
         for part, s, at in _sets(batches, k):
-            sketch += np.bincount(_bucket(s, SKETCH_BITS), minlength=len(sketch))
+            np.add.at(sketch, _bucket(s, SKETCH_BITS), 1)
             rows = part.num_rows
             nulls = pa.nulls(rows, pa.int64())
             columns = [pa.array(["docs"] * rows), part.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(_digests(s, at))]
             yield pa.RecordBatch.from_arrays([*columns, nulls, pa.nulls(rows, pa.binary())], names)
-        cut = sketch.astype("<i4" if sketch.max() < 1 << 31 else "<i8").reshape(-1, 1 << SLICE_BITS)
+        cut, pack = sketch.reshape(-1, 1 << SLICE_BITS), zstandard.ZstdCompressor(level=1)
         nulls = pa.nulls(len(cut), pa.int64())
-        blobs = pa.array([c.tobytes() for c in cut], pa.binary())
+        blobs = pa.array([pack.compress(c.astype("<u2" if c.max() < 1 << 16 else "<i8").tobytes()) for c in cut], pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(["sketch"] * len(cut)), nulls, nulls, nulls, pa.array(np.arange(len(cut))), blobs], names)
 
     path = scratch_dir(docs.sparkSession, "ngram-sets")
@@ -101,15 +103,18 @@ def _counted(docs: DataFrame, k: int) -> str:
 
 
 def _classes(slices_: DataFrame) -> np.ndarray:
-    """Frequency class of each sketch bucket: 0 up to four times the mean count,
-    one more with each doubling. A fixed 2^20 bytes, whatever the corpus."""
+    """Frequency class of each sketch bucket: 0 for what a bucket of rare n-grams
+    holds (the mean and three standard deviations above), one more with each
+    doubling over the mean. A fixed 2^23 bytes, whatever the corpus."""
     width = 1 << SLICE_BITS
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for i, blob in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                c = np.frombuffer(blob, "<i4" if len(blob) == 4 * width else "<i8").astype(np.int64)
+                raw = unpack.decompress(blob)
+                c = np.frombuffer(raw, "<u2" if len(raw) == 2 * width else "<i8").astype(np.int64)
                 held[i] = held[i] + c if i in held else c
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([c.tobytes() for c in held.values()], pa.binary())], ["slice", "counts"])
@@ -119,12 +124,46 @@ def _classes(slices_: DataFrame) -> np.ndarray:
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in summed.collect():  # one row for each slice
         counts[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    base = max(4 * counts.mean(), 8.0)
-    return np.maximum(0, np.ceil(np.log2(np.maximum(counts, 1) / base))).astype(np.uint8)
+    mean = counts.mean()
+    rare = counts <= mean + 3 * np.sqrt(mean) + 2
+    return np.where(rare, 0, 1 + np.log2(np.maximum(counts / (mean + 2), 1))).astype(np.uint8)
+
+
+def _have_partner(rows: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of blocks (``key, n, pos``, sorted by key) may link with another of
+    their block: with ``r = n - pos`` n-grams left, x and y need
+    ``(100 + t) min(r_x, r_y) >= t (n_x + n_y)``. Exact, without comparing all pairs."""
+    t, n = percent, rows["n"].astype(np.int64)
+    r = n - rows["pos"].astype(np.int64)
+    edge = np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1], [True]]))
+    size = np.diff(edge)
+    out = np.zeros(len(rows), bool)
+    two = edge[:-1][size == 2]
+    out[two] = (100 + t) * np.minimum(r[two], r[two + 1]) >= t * (n[two] + n[two + 1])
+    out[two + 1] = out[two]
+    for a, m in zip(edge[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
+        # y is short enough for x, and the best of those leaves enough: prefix maxima by length
+        order = a + np.argsort(n[a : a + m], kind="stable")
+        length, left = n[order], (100 + t) * r[order] - t * n[order]
+        best = np.maximum.accumulate(left)
+        holder = np.maximum.accumulate(np.where(left == best, np.arange(m), 0))
+        # the best of all but the holder: the second largest so far
+        second = np.full(m, np.iinfo(np.int64).min)
+        second[1:] = np.minimum(best[:-1], left[1:])
+        second = np.maximum.accumulate(second)
+        short = np.searchsorted(length, ((100 + t) * r[order] - t * length) // t, side="right") - 1
+        some = short >= 0
+        at = np.maximum(short, 0)
+        other = np.where(holder[at] == np.arange(m), second[at], best[at])
+        out[order] = some & (other >= t * length)
+    return out
+
+
+_PACKED = ("nodes", "lengths", "keys", "of", "pos")
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, classes: np.ndarray, parts: int) -> DataFrame:
-    """Indexed n-grams that at least two different sets share: ``key, node, n, pos``.
+    """Indexed n-grams that at least two sets share which may link by it: ``key, node, n, pos``.
 
     Tasks send packed arrays, one for each range of n-gram hashes, so the shuffle
     moves few rows; a range is sorted once where it arrives.
@@ -139,18 +178,34 @@ def _prefixes(docs: DataFrame, k: int, percent: int, classes: np.ndarray, parts:
             need = -(-percent * n // 100)
             front = pos < (n - need + 1)[owner]
             key, of, pos = s[order][front], owner[front], pos[front]
-            found = np.empty(len(key), dtype=[("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("pos", "<i4")])
-            found["key"], found["node"], found["n"], found["pos"] = key, _digests(s, at)[of], n[of], pos
-            found = np.unique(found)  # copies in this batch count once
-            part = (found["key"] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-            edge = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-            some = np.flatnonzero(np.diff(edge))
-            blobs = [found[edge[i] : edge[i + 1]].tobytes() for i in some]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"])
+            nodes, number = np.unique(_digests(s, at), return_inverse=True)  # copies in this batch count once
+            length = np.zeros(len(nodes), "<i4")
+            length[number] = n
+            of = number[of]
+            order = np.lexsort((of, key))
+            key, of, pos = key[order], of[order], pos[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+            key, of, pos = key[new], of[new], pos[new]
+            part = (key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            edge = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64)).tolist()
+            # per range: which nodes occur, and for each n-gram its node's place among them
+            blobs = []
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                here, local = np.unique(of[a:b], return_inverse=True)
+                blobs.append((nodes[here].tobytes(), length[here].tobytes(), key[a:b].tobytes(), local.astype("<u2").tobytes(), pos[a:b].astype("<u4").tobytes()))
+            some = [i for i, b in enumerate(blobs) if b[2]]
+            columns = [pa.array([blobs[i][j] for i in some], pa.binary()) for j in range(5)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *columns], ["part", *_PACKED])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = [("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("pos", "<i4")]
-        held = [np.frombuffer(b, kind) for batch in batches for b in batch.column("blob").to_pylist()]
+        held = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in _PACKED), strict=True):
+                node, length, key, of, pos = (np.frombuffer(b, t) for b, t in zip(row, ("<i8", "<i4", "<u8", "<u2", "<u4"), strict=True))
+                found = np.empty(len(key), dtype=[("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("pos", "<u4")])
+                found["key"], found["node"], found["n"], found["pos"] = key, node[of], length[of], pos
+                held.append(found)
         if not held:
             return
         key = np.concatenate([h["key"] for h in held])
@@ -164,12 +219,13 @@ def _prefixes(docs: DataFrame, k: int, percent: int, classes: np.ndarray, parts:
         more[1:] = rows["key"][1:] == rows["key"][:-1]
         more[:-1] |= more[1:]
         rows = rows[more]
+        rows = rows[_have_partner(rows, percent)]
         for lo in range(0, len(rows), 1 << 16):
             r = rows[lo : lo + (1 << 16)]
             columns = [pa.array(r["key"].view(np.int64)), pa.array(r["node"]), pa.array(r["n"].astype(np.int64)), pa.array(r["pos"].astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "pos"])
 
-    sent = docs.mapInArrow(run, "part bigint, blob binary").repartition(parts, "part")
+    sent = docs.mapInArrow(run, "part bigint, " + ", ".join(f"{c} binary" for c in _PACKED)).repartition(parts, "part")
     return sent.mapInArrow(group, "key bigint, node bigint, n bigint, pos bigint")
 
 
@@ -194,8 +250,8 @@ def bitmap_has(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
 
 
 def _fragments(docs: DataFrame, k: int, classes: np.ndarray, cuts: int) -> DataFrame:
-    """``node, fragment, grams``: the pieces of the documents' sets between fixed cuts
-    of the global order."""
+    """``node, grams``: the documents' sets, cut into one piece for each fragment of the
+    global order; the first six bytes of each hash, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, s, at in _sets(batches, k):
@@ -205,13 +261,127 @@ def _fragments(docs: DataFrame, k: int, classes: np.ndarray, cuts: int) -> DataF
             cut = np.where(classes[_bucket(s, SKETCH_BITS)] > 0, cuts - 1, (s >> np.uint64(40)).astype(np.int64) * (cuts - 1) >> 24)
             slot = owner * cuts + cut
             order = np.argsort(slot, kind="stable")  # hashes stay ascending within a slot
-            slot, s = slot[order], s[order]
-            edge = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else np.zeros(0, np.int64)
-            grams = pa.ListArray.from_arrays(pa.array(np.append(edge, len(s)).astype(np.int32)), pa.array(s.view(np.int64)))
-            heads = slot[edge]
-            yield pa.RecordBatch.from_arrays([pa.array(node[heads // cuts]), pa.array(heads % cuts, pa.int64()), grams], ["node", "fragment", "grams"])
+            edge = (np.searchsorted(slot[order], np.arange(len(node) * cuts + 1)) * 6).tolist()
+            raw = (s[order] >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+            pieces = pa.array([raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
+            grams = pa.ListArray.from_arrays(pa.array(np.arange(len(node) + 1, dtype=np.int32) * cuts), pieces)
+            yield pa.RecordBatch.from_arrays([pa.array(node), grams], ["node", "grams"])
 
-    return docs.mapInArrow(run, "node bigint, fragment bigint, grams array<bigint>")
+    return docs.mapInArrow(run, "node bigint, grams array<binary>")
+
+
+def _unpacked(grams: list[bytes]) -> list[np.ndarray]:
+    out = []
+    for g in grams:
+        v = np.zeros((len(g) // 6, 8), np.uint8)
+        v[:, :6] = np.frombuffer(g, np.uint8).reshape(-1, 6)
+        out.append(v.view("<u8").reshape(-1))
+    return out
+
+
+def linked(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> bool:
+    """Whether ``100 * |intersection| >= percent * |union|``: overlaps are counted
+    fragment by fragment and summed, until those left cannot suffice."""
+    left_x, left_y = sum(map(len, x)), sum(map(len, y))
+    need = -(-percent * (left_x + left_y) // (100 + percent))
+    overlap = 0
+    for u, v in zip(x, y, strict=True):
+        left_x, left_y = left_x - len(u), left_y - len(v)
+        at = np.minimum(np.searchsorted(v, u), max(len(v) - 1, 0))
+        overlap += int((v[at] == u).sum()) if len(v) else 0
+        if overlap + min(left_x, left_y) < need:
+            return False
+    return overlap >= need
+
+
+def _tile_links(held: dict[int, list[np.ndarray]], pairs: list[tuple[int, int]], percent: int, tries: int = 8, rounds: int = 4) -> list[tuple[int, int]]:
+    """Links that connect the same sets of a tile as all its linked pairs do, and some
+    more between sets that are here anyway.
+
+    Pairs that hang together already are not compared. Then sets outside the
+    largest group are tried on a few of its members (or, where nothing is linked, on
+    another set), so that a family of near copies mostly hangs together after its first
+    round and few of its pairs have to be met again.
+    """
+    parent = {n: n for n in held}
+    found = []
+
+    def root(n: int) -> int:
+        while parent[n] != n:
+            parent[n] = n = parent[parent[n]]
+        return n
+
+    def tried(a: int, b: int) -> bool:
+        if root(a) != root(b) and linked(held[a], held[b], percent):
+            parent[root(a)] = root(b)
+            found.append((a, b))
+        return root(a) == root(b)
+
+    for a, b in pairs:
+        tried(a, b)
+    nodes = list(held)
+    for r in range(rounds if len(nodes) > 2 else 0):
+        groups: dict[int, list[int]] = {}
+        for n in nodes:
+            groups.setdefault(root(n), []).append(n)
+        most = max(groups.values(), key=len)
+        if len(most) == 1:
+            most = [nodes[r * 7919 % len(nodes)]]
+        some = [most[(r * tries + i) * 7919 % len(most)] for i in range(min(tries, len(most)))]
+        own = root(most[0])
+        for group in groups.values():
+            if root(group[0]) != own:
+                any(tried(n, m) for n in group[:tries] for m in some)
+                own = root(most[0])
+    return found
+
+
+TILE_GRAMS = 1 << 19
+
+
+def _verified(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
+    """The linked pairs, counted in tiles: the pairs met in one block, split by hashes
+    of both nodes so that a tile's sets stay bounded. A set moves once to each tile
+    that needs it, not once for each pair."""
+    parts = shuffle_partitions(pairs.sparkSession)
+    ends = pairs.selectExpr("key", "a AS node", "x.n AS n").unionByName(pairs.selectExpr("key", "b AS node", "y.n AS n"))
+    size = ends.distinct().groupBy(F.col("key").alias("k")).agg(F.ceil(F.sum("n") / TILE_GRAMS).alias("cuts"))
+    chunk = lambda node: F.pmod(F.xxhash64(node), F.col("cuts"))
+    tile = F.xxhash64("key", chunk("a"), chunk("b")).alias("tile")
+    tiled = stored(pairs.join(size, F.col("key") == F.col("k")).select("a", "b", tile), "tiles")
+    needs = tiled.selectExpr("tile", "a AS need").unionByName(tiled.selectExpr("tile", "b AS need")).distinct()
+    sets = needs.join(pieces, F.col("need") == F.col("node")).select("tile", F.col("node").alias("a"), F.lit(None).cast("bigint").alias("b"), "grams")
+    rows = sets.unionByName(tiled.withColumn("grams", F.lit(None).cast("array<binary>")))
+    rows = rows.repartition(parts, "tile").sortWithinPartitions("tile", F.col("b").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def as_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in (0, 1)], ["a", "b"])
+
+        now, held, met = None, {}, []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("tile", "a", "b"))
+            for i, (tile, a, b) in enumerate(zip(*columns, strict=True)):
+                if tile != now:
+                    yield as_batch(_tile_links(held, met, percent))
+                    now, held, met = tile, {}, []
+                if b is None:  # a tile's sets stand before its pairs
+                    held[a] = _unpacked(batch.column("grams")[i].as_py())
+                else:
+                    met.append((a, b))
+        yield as_batch(_tile_links(held, met, percent))
+
+    return rows.select("tile", "a", "b", "grams").mapInArrow(run, "a bigint, b bigint")
+
+
+def _by_node(sets: DataFrame) -> DataFrame:
+    """``sets`` as a table in shared storage, bucketed by ``node``: joins on it move the
+    other side only."""
+    spark, name = sets.sparkSession, f"ngram_sets_{uuid.uuid4().hex}"
+    n = shuffle_partitions(spark)
+    rows = sets.repartition(n, "node").write.bucketBy(n, "node").sortBy("node")
+    rows.option("path", scratch_dir(spark, "ngram-fragments")).saveAsTable(name)
+    return spark.table(name)
 
 
 def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, fragments: int = 4) -> DataFrame:
@@ -245,20 +415,11 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, fragments: in
 
     few = rows.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(keep, "text string")
     pieces = _fragments(few, k, classes, fragments).join(stands.select("node"), "node", "left_semi")
-    pieces = stored(pieces.groupBy("node", "fragment").agg(F.first("grams").alias("grams")), "ngram-fragments")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        thin_pairs = pairs.select("a", "b", (F.col("x.n") + F.col("y.n")).alias("both"))
-        left = pieces.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("ga"))
-        right = pieces.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("gb"))
-        met = thin_pairs.join(left, "a").join(right, ["b", "fragment"])
-        partial = met.select("a", "b", "both", F.size(F.array_intersect("ga", "gb")).cast("bigint").alias("overlap"))
-        total = partial.groupBy("a", "b").agg(F.first("both").alias("both"), F.sum("overlap").alias("overlap"))
-        return total.filter(F.expr(f"100 * overlap >= {percent} * (both - overlap)"))
+    pieces = _by_node(pieces.groupBy("node").agg(F.first("grams").alias("grams")))
 
     # overlap o of sets x, y links when (100 + t) o >= t (|x| + |y|)
     left = f"{100 + percent} * least(x.n - x.pos, y.n - y.pos) >= {percent} * (x.n + y.n)"
-    labels = linked_groups(blocks, ["n", "pos"], left, verify)
+    labels = linked_groups(blocks, ["n", "pos"], left, lambda pairs: _verified(pairs, pieces, percent), rounds=1)
     named = thin.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "label", "left")
