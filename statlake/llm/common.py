@@ -26,14 +26,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+#: rows of text handed to a Python worker at once, at most
+BATCH_ROWS = 2048
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand Python workers at most ``BATCH_ROWS`` rows at once (Spark's default is
+    10,000, which is a lot of memory where rows are texts). A smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def pick(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """The named columns cast to the given types; all others are left out.
 
     A column is found by its exact name first, then ignoring case, and taken
     by position. Further columns whose names clash (``Text`` beside ``text``,
     or one named like an output) therefore cannot make a reference ambiguous.
-    A missing column reads as NULL.
+    A missing column reads as NULL. The session's Arrow batches are bounded
+    from here on (:func:`bounded_batches`).
     """
+    bounded_batches(df.sparkSession)
     names = df.columns
     lower = [n.lower() for n in names]
     plain = df.toDF(*[f"c{i}" for i in range(len(names))])

@@ -166,5 +166,6 @@ def pack_documents(
                         columns.append(pa.array([r[7] for r in rows], pa.binary()))
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(columns, names)
+        enc.forget()  # the worker may go on with tasks of other operators
 
     return pick(docs, {"doc_id": "bigint", "text": "string"}).mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import pick, slices, span_hashes, utf8, word_spans
+from statlake.llm.common import bounded_batches, pick, slices, span_hashes, utf8, word_spans
 
 _FIELDS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
@@ -136,14 +136,20 @@ class CoTrained:
         return p[0], p[1], p[2]
 
 
+def _calibrated(logits: np.ndarray, y: np.ndarray) -> Logistic:
+    """Log-odds of good quality by a view's own log-odds, from the held-out fold."""
+    return Logistic.fit(logits[:, None], y, ridge=0.1)
+
+
 def co_train(
     text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray,
-    pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 4, exchanged: float = 0.1, confident: float = 0.95,
+    pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 4, exchanged: float = 0.1, confident: float = 0.9,
 ) -> CoTrained:
     """Train both views; ``held`` marks the labelled rows kept for calibration.
 
     Per round each view proposes, for each class, its most confident pool rows
-    (at most a share ``exchanged`` of the pool, at ``confident`` or surer), to the other.
+    (at most a share ``exchanged`` of the pool, at a calibrated probability of
+    ``confident`` or surer), to the other.
     """
     fit = ~held
     extra = {"text": (np.zeros(0, int), np.zeros(0)), "meta": (np.zeros(0, int), np.zeros(0))}
@@ -156,14 +162,14 @@ def co_train(
             models[name] = Logistic.fit(np.vstack([x[fit], pool[i]]), np.concatenate([y[fit], labels]))
         if r == rounds or not size:
             break
-        for name, other, pool in (("text", "meta", pool_text), ("meta", "text", pool_meta)):
-            v = models[name].logit(pool)
+        for name, other, x, pool in (("text", "meta", text, pool_text), ("meta", "text", meta, pool_meta)):
+            v = _calibrated(models[name].logit(x[held]), y[held]).logit(models[name].logit(pool)[:, None])
             order = np.argsort(v, kind="stable")
             low, high = order[:size], order[::-1][:size]
             low, high = low[v[low] <= -edge], high[v[high] >= edge]
             extra[other] = (np.concatenate([low, high]), np.concatenate([np.zeros(len(low)), np.ones(len(high))]))
     a, b, yh = models["text"].logit(text[held]), models["meta"].logit(meta[held]), y[held]
-    ts, ms = Logistic.fit(a[:, None], yh), Logistic.fit(b[:, None], yh)
+    ts, ms = _calibrated(a, yh), _calibrated(b, yh)
     a, b = ts.logit(a[:, None]), ms.logit(b[:, None])
     both = Logistic.fit(np.column_stack([a, b]), yh)
     p = 1 / (1 + np.exp(-both.logit(np.column_stack([a, b]))))
@@ -197,7 +203,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 12_000
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2048, 8 << 20):
+            for part in slices(batch, "text", 1024, 2 << 20):
                 t, m = views(part)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("quality"), pa.array(list(t), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.float64()))],
@@ -237,7 +243,7 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2048, 8 << 20):
+            for part in slices(batch, "text", 1024, 2 << 20):
                 t, m, p, kept = _scores(model, part)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(t), pa.array(m), pa.array(p), pa.array(kept)],
@@ -250,21 +256,21 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
 
 def good_documents(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     """The rows of ``docs`` that the model keeps, all columns unchanged."""
+    bounded_batches(docs.sparkSession)
     names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    # the fields scored stand first, the rows' own columns behind them
-    own = {f.name: f for f in plain.schema.fields}
     lower = [n.lower() for n in names]
-    exprs = []
-    for field, kind in _FIELDS.items():
-        at = names.index(field) if field in names else lower.index(field) if field in lower else None
-        exprs.append((F.lit(None) if at is None else F.col(f"c{at}")).cast(kind).alias(field))
-    rows = plain.select(*exprs, *own)
+    at = {f: names.index(f) if f in names else lower.index(f) if f in lower else None for f in _FIELDS}
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    kinds = {"bigint": pa.int64(), "string": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2048, 8 << 20):
+            # the fields scored, taken from the rows' own columns
+            fields = [pa.nulls(batch.num_rows, kinds[k]) if at[f] is None else batch.column(at[f]).cast(kinds[k]) for f, k in _FIELDS.items()]
+            scored, done = pa.RecordBatch.from_arrays(fields, list(_FIELDS)), 0
+            for part in slices(scored, "text", 1024, 2 << 20):
                 kept = _scores(model, part)[3]
-                yield part.select(list(own)).filter(pa.array(kept))
+                yield batch.slice(done, part.num_rows).filter(pa.array(kept))
+                done += part.num_rows
 
-    return rows.mapInArrow(run, plain.schema).toDF(*names)
+    return plain.mapInArrow(run, plain.schema).toDF(*names)

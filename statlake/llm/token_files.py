@@ -70,7 +70,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         width = "<u2" if size <= 1 << 16 else "<u4"
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for part in slices(batch, "text", 2048, 8 << 20):
+            for part in slices(batch, "text", 2048, 6 << 20):
                 flat, at = enc.encode(part.column("text"))
                 ids = np.insert(flat, at[1:], end_id)
                 at = at + np.arange(len(at))

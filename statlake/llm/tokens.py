@@ -21,12 +21,12 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    ``young`` and ``old`` hold the ids of chunks seen before; when ``young``
-    is full it becomes ``old``, so memory stays bounded on any vocabulary and
-    frequent chunks stay known. That only saves time: a chunk not held is encoded again.
+    ``held`` has the ids of chunks seen before and starts anew when it is full,
+    so memory stays bounded on any vocabulary. That only saves time: a chunk not
+    held is encoded again.
     """
 
-    HELD = 500_000
+    HELD = 400_000
 
     def __init__(self, path: str):
         import os
@@ -35,8 +35,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.held: dict[str, bytes] = {}
         size = self.model.get_vocab_size(with_added_tokens=True)
         # does the token begin with a space? (byte-level BPE writes it as U+0120)
         self.spaced = np.zeros(size, dtype=bool)
@@ -58,6 +57,10 @@ class Encoder:
             and all(" " not in t["content"] for t in spec.get("added_tokens", []))
         )
 
+    def forget(self) -> None:
+        """Give the memory of the held chunks back."""
+        self.held = {}
+
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
@@ -75,25 +78,19 @@ class Encoder:
             cut = np.flatnonzero(self.spaced[ids])
             raw, at = ids.tobytes(), (cut * 4).tolist() + [len(ids) * 4]
             for c, a, b in zip(part, at[:-1], at[1:], strict=True):
-                self.young[c] = raw[a:b]
+                self.held[c] = raw[a:b]
         if odd:
             for c, ids in zip(odd, self.whole([" " + c for c in odd]), strict=True):
-                self.young[c] = ids
+                self.held[c] = ids
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of " " + chunk for distinct chunks."""
-        if len(self.young) > self.HELD:
-            self.old, self.young = self.young, {}
-        young, old, new = self.young, self.old, []
-        for c in chunks:
-            if c not in young:
-                if c in old:
-                    young[c] = old[c]
-                else:
-                    new.append(c)
+        if len(self.held) > self.HELD:
+            self.held = {}
+        new = [c for c in chunks if c not in self.held]
         if new:
             self._learn(new)
-        return list(map(young.__getitem__, chunks))
+        return list(map(self.held.__getitem__, chunks))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the n+1 offsets of the texts in
