@@ -141,7 +141,8 @@ class LanguageModel:
 def train_language_model(labelled: DataFrame, max_rows: int = 4000, epochs: int = 3) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of ``labelled`` (NULL or letterless rows teach nothing).
 
-    ``max_rows`` bounds the sample, drawn by a hash at an equal number for each language.
+    ``max_rows`` bounds the sample, drawn by a hash at an equal number for each
+    language (and the languages: the most frequent ones, if there are more).
     """
     rows = pick(labelled, {"doc_id": "bigint", "text": "string", "lang": "string"})
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
@@ -170,11 +171,12 @@ def train_language_model(labelled: DataFrame, max_rows: int = 4000, epochs: int
     df = sum((np.frombuffer(r["df"], np.int64) for r in sums), np.zeros(1 << BITS, np.int64))
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # at most as many languages as sampled rows, so this may go to every task
+    per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_rows)
     n_langs = per.count()
     quota = max(1, max_rows // max(n_langs, 1))
     share = F.lit(float(quota << 20)) / F.col("n")
-    some = rows.join(per.withColumnRenamed("lang", "l"), F.col("lang") == F.col("l"))
+    some = rows.join(F.broadcast(per.withColumnRenamed("lang", "l")), F.col("lang") == F.col("l"))
     some = some.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 20)) < share).limit(2 * max_rows)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
