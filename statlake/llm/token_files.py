@@ -65,12 +65,12 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Ids of each document (compressed), and at the end of each task its counts of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pack = encoder(tokenizer), zstandard.ZstdCompressor(level=1)
+        enc, pack = encoder(tokenizer, held=1_000_000), zstandard.ZstdCompressor(level=1)
         size = max(enc.model.get_vocab_size(with_added_tokens=True), end_id + 1)
         width = "<u2" if size <= 1 << 16 else "<u4"
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for part in slices(batch, "text", 2048, 6 << 20):
+            for part in slices(batch, "text", 2048, 8 << 20):
                 flat, at = enc.encode(part.column("text"))
                 ids = np.insert(flat, at[1:], end_id)
                 at = at + np.arange(len(at))

@@ -138,8 +138,12 @@ def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker process's encoder for a tokenizer file (loaded once per process)."""
+def encoder(path: str, held: int = Encoder.HELD) -> Encoder:
+    """The worker process's encoder for a tokenizer file (loaded once per process).
+
+    ``held`` bounds the chunks it remembers: about 200 bytes each.
+    """
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].HELD = held
     return _ENCODERS[path]
