@@ -249,12 +249,14 @@ def bitmap_has(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return (bitmap[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
 
 
-def _fragments(docs: DataFrame, k: int, classes: np.ndarray, cuts: int) -> DataFrame:
-    """``node, grams``: the documents' sets, cut into one piece for each fragment of the
-    global order; the first six bytes of each hash, ascending."""
+def _fragments(docs: DataFrame, wanted: np.ndarray, k: int, classes: np.ndarray, cuts: int) -> DataFrame:
+    """``node, grams``: the sets of documents (``text, h``) whose hash ``h`` may be
+    wanted, cut into one piece for each fragment of the global order; the first six
+    bytes of each hash, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, s, at in _sets(batches, k):
+        some = (b.filter(pa.array(bitmap_has(wanted, b.column("h").to_numpy()))) for b in batches)
+        for part, s, at in _sets(some, k):
             node = _digests(s, at)
             owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
             # the last fragment holds all frequent n-grams, the others equal ranges of hashes
@@ -408,13 +410,8 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, fragments: in
     # the document that stands for each candidate set; its text is cut again
     stands = stored(in_blocks.join(firsts, "node").select("node", F.col("first").alias("doc_id")), "ngram-candidates")
     wanted = bitmap_of(F.xxhash64("doc_id"), stands)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(bitmap_has(wanted, batch.column("h").to_numpy()))).select(["text"])
-
-    few = rows.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(keep, "text string")
-    pieces = _fragments(few, k, classes, fragments).join(stands.select("node"), "node", "left_semi")
+    texts = rows.select("text", F.xxhash64("doc_id").alias("h"))
+    pieces = _fragments(texts, wanted, k, classes, fragments).join(stands.select("node"), "node", "left_semi")
     pieces = _by_node(pieces.groupBy("node").agg(F.first("grams").alias("grams")))
 
     # overlap o of sets x, y links when (100 + t) o >= t (|x| + |y|)
