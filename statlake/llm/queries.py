@@ -14,6 +14,7 @@ from statlake.llm.mixing import mix_report
 from statlake.llm.ngram_join import jaccard_groups
 from statlake.llm.packing import pack_documents
 from statlake.llm.quality import score_quality, train_quality
+from statlake.llm.rules import ORACLE as RULE_ORACLE
 from statlake.llm.rules import quality_rules
 from statlake.llm.token_files import read_token_files, write_token_files
 from statlake.llm.urls import ORACLE as URL_ORACLE
@@ -85,4 +86,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {"op8_url_filters": URL_ORACLE}
+ORACLE: dict[str, str] = {"op5_quality_rules": RULE_ORACLE, "op8_url_filters": URL_ORACLE}

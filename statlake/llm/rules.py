@@ -138,3 +138,38 @@ def quality_rules(docs: DataFrame, policy: str = "v2") -> DataFrame:
     ledger = rule_ledger(docs)
     base = F.col("failed").bitwiseAND(F.lit(mask(BASE))) != 0
     return ledger.withColumn("base_failed", base).withColumn("kept", ~base & passes(policy))
+
+
+# DuckDB SQL for quality_rules(documents, "v2"), written out on its own.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM d),
+win AS (
+  SELECT rid, i, list_slice(ws, i, i + 7) AS g
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+cover AS (
+  SELECT rid, sum(least(8, coalesce(after - i, 8))) AS n
+  FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS after FROM twice) GROUP BY rid),
+m AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines,
+         CAST(length(t) - length(replace(t, '!', '')) AS BIGINT) AS n_exclaim,
+         CAST(length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS BIGINT) AS n_capitals,
+         CAST(len(list_distinct(ws)) AS BIGINT) AS n_distinct_words
+  FROM w LEFT JOIN cover ON cover.rid = w.rid),
+f AS (
+  SELECT *, CAST(
+      (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT + 4 * (10 * n_symbols > n_words)::BIGINT
+      + 8 * (10 * n_exclaim > n_words)::BIGINT + 16 * (10 * n_capitals > 3 * word_chars)::BIGINT
+      + 32 * (word_chars > 12 * n_words OR word_chars < 2 * n_words)::BIGINT
+      + 64 * (10 * n_dup_lines > 3 * n_lines AND n_dup_lines > 1)::BIGINT
+      + 128 * (100 * n_distinct_words < 35 * n_words AND n_words < 1000)::BIGINT AS BIGINT) AS failed
+  FROM m)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, failed = 0 AS kept FROM f
+"""
