@@ -102,11 +102,11 @@ def _counted(docs: DataFrame, k: int) -> str:
     return path
 
 
-def _classes(slices_: DataFrame) -> np.ndarray:
-    """Frequency class of each sketch bucket: 0 for what a bucket of rare n-grams
-    holds (the mean and three standard deviations above), one more with each
-    doubling over the mean. A fixed 2^23 bytes, whatever the corpus."""
-    width = 1 << SLICE_BITS
+def _classes(slices_: DataFrame, grams: int) -> np.ndarray:
+    """Frequency class of each sketch bucket, from the number of all ``grams``: 0 for
+    what a bucket of rare n-grams holds (the mean and three standard deviations above),
+    one more with each doubling over the mean. 2^23 bytes, whatever the corpus."""
+    width, mean = 1 << SLICE_BITS, grams / (1 << SKETCH_BITS)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -116,17 +116,17 @@ def _classes(slices_: DataFrame) -> np.ndarray:
                 raw = unpack.decompress(blob)
                 c = np.frombuffer(raw, "<u2" if len(raw) == 2 * width else "<i8").astype(np.int64)
                 held[i] = held[i] + c if i in held else c
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([c.tobytes() for c in held.values()], pa.binary())], ["slice", "counts"])
+        for i, c in held.items():
+            rare = c <= mean + 3 * np.sqrt(mean) + 2
+            found = np.where(rare, 0, 1 + np.log2(np.maximum(c / (mean + 2), 1))).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([found.tobytes()], pa.binary())], ["slice", "classes"])
 
     parts = 1 << (SKETCH_BITS - SLICE_BITS)
-    summed = slices_.repartition(parts, "slice").mapInArrow(total, "slice bigint, counts binary")
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for row in summed.collect():  # one row for each slice
-        counts[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    mean = counts.mean()
-    rare = counts <= mean + 3 * np.sqrt(mean) + 2
-    return np.where(rare, 0, 1 + np.log2(np.maximum(counts / (mean + 2), 1))).astype(np.uint8)
+    found = slices_.repartition(parts, "slice").mapInArrow(total, "slice bigint, classes binary")
+    classes = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for row in found.collect():  # one row of 2^17 bytes for each slice
+        classes[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["classes"], np.uint8)
+    return classes
 
 
 def _have_partner(rows: np.ndarray, percent: int) -> np.ndarray:
@@ -403,7 +403,8 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, fragments: in
     rows = pick(docs, {"doc_id": "bigint", "text": "string"})
     path = _counted(rows, k)
     thin = spark.read.schema("doc_id bigint, n bigint, node bigint, kind string").parquet(path).filter("kind = 'docs'").drop("kind")
-    classes = _classes(spark.read.schema("slice bigint, counts binary").parquet(f"{path}/kind=sketch"))
+    grams = thin.agg(F.sum("n")).first()[0] or 0
+    classes = _classes(spark.read.schema("slice bigint, counts binary").parquet(f"{path}/kind=sketch"), grams)
     blocks = stored(_prefixes(rows, k, percent, classes, shuffle_partitions(spark)), "ngram-prefixes")
     firsts = thin.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     in_blocks = blocks.select("node").distinct()
