@@ -28,7 +28,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less lines that repeat an earlier one; those left without a word go."""
-    return without_duplicate_lines(docs, drop_emptied=True, counts=False)
+    return without_duplicate_lines(docs, drop_emptied=True, counts=False, complete=True)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ separator) and counted as sequences of word hashes. Equal sequences are one
 class, counted before any shuffle of occurrences. Classes get a 64-bit SimHash
 of their words; classes within ``max_bits`` differing bits meet in pigeonhole blocks
 (``max_bits + spare`` blocks; at least ``spare`` of them agree, and each choice
-of ``spare`` blocks is a key). Pairs are verified by edit similarity over
+of ``spare`` blocks is a key). With ``complete`` classes meet in word n-grams too,
+whatever their SimHashes, so that no pair of the wanted similarity is missed
+(:func:`gram_blocks`). Pairs are verified by edit similarity over
 words and connected through pivots (:mod:`statlake.llm.linking`). Of each group
 the first occurrence (by document id, text hash, line number) stays.
 """
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import mix, pick, slices, span_hashes, stored, utf8, word_spans
+from statlake.llm.common import mix, pick, shuffle_partitions, slices, span_hashes, stored, utf8, word_spans
 from statlake.llm.linking import linked_groups
 from statlake.llm.ngram_join import bitmap_has, bitmap_of
 
@@ -153,22 +155,174 @@ def block_keys(sim: str, max_bits: int, spare: int) -> str:
     return "array(" + ", ".join(f"xxhash64({k}, {', '.join(part[i] for i in c)})" for k, c in enumerate(combinations(range(n), spare))) + ")"
 
 
-def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_bits: int, min_words: int) -> DataFrame:
+def max_edits(words: np.ndarray | int, similarity: float) -> np.ndarray:
+    """Most edits between two lines of edit similarity ``similarity`` or more, the longer of ``words`` words."""
+    return np.floor((1 - similarity) * np.asarray(words) + 1e-9).astype(np.int64)
+
+
+def _most_edits(words: np.ndarray, similarity: float) -> np.ndarray:
+    """Most edits between a line of ``words`` words and any line alike."""
+    return max_edits(np.floor(words / similarity + 1e-9), similarity)
+
+
+def gram_size(similarity: float, min_words: int) -> int:
+    """Words in an n-gram: a line has one n-gram more than it has edits, side by side (4 at most)."""
+    n = np.arange(max(min_words, 1), 1000)
+    d = _most_edits(n, similarity)
+    q = int(min(4, (n // (d + 1))[d > 0].min(initial=4)))
+    if q < 1:
+        raise ValueError(f"no complete candidates for an edit similarity of {similarity}")
+    return q
+
+
+def _grams(h: np.ndarray, q: int) -> np.ndarray:
+    """Hash of the ``q`` words from each place on (the last q - 1 are no n-grams)."""
+    s = np.zeros(len(h), np.uint64)
+    for j in range(q):
+        s = mix(s * _P + np.concatenate([h[j:], np.zeros(min(j, len(h)), np.uint64)]))
+    return s
+
+
+def _frequent(docs: DataFrame, q: int, min_words: int, kept: int = 1 << 15) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The most frequent words and n-grams of a sample: hashes, ascending, and counts.
+    They set the order of n-grams only; any order finds the same links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1024, 2 << 20):
+                lines = Lines(part.column("text"))
+                for kind, h in (("word", lines.h), ("gram", _grams(lines.h, q))):
+                    h, n = np.unique(h, return_counts=True)
+                    some = n > (0 if kind == "word" else 1)
+                    yield pa.RecordBatch.from_arrays([pa.array([kind] * int(some.sum()), pa.string()), pa.array(h[some].view(np.int64)), pa.array(n[some])], ["kind", "h", "n"])
+
+    counts = docs.select("text").sample(False, 0.05, 7).mapInArrow(run, "kind string, h bigint, n bigint").groupBy("kind", "h").agg(F.sum("n").alias("n"))
+    counts, out = stored(counts, "line-frequencies"), {}
+    for kind in ("word", "gram"):
+        rows = counts.filter(F.col("kind") == kind).orderBy(F.desc("n"), "h").limit(kept).collect()
+        h, n = np.array([r.h for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
+        order = np.argsort(h)
+        out[kind] = h[order], n[order]
+    return out
+
+
+def _looked_up(h: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    if not len(table[0]):
+        return np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(table[0], h), len(table[0]) - 1)
+    return np.where(table[0][at] == h, table[1][at], 0)
+
+
+def odd_words(seqs: pa.Array) -> np.ndarray:
+    """256 bits of each word sequence: whether an odd number of its words falls on the bit."""
+    out = np.zeros((len(seqs), 4), np.uint64)
+    rows = [np.frombuffer(s, "<u4") for s in seqs.to_pylist()]
+    size = np.array([len(r) for r in rows], np.int64)
+    h = np.concatenate([np.zeros(0, "<u4"), *rows])
+    bit = np.uint64(1) << (h & 63).astype(np.uint64)
+    np.bitwise_xor.at(out, (np.repeat(np.arange(len(rows)), size), (h >> 6 & 3).astype(np.int64)), bit)
+    return out
+
+
+def line_prefixes(lines: Lines, some: np.ndarray, similarity: float, q: int, frequent: dict) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams that lines alike share: the place in ``some`` and the n-gram's hash.
+
+    A line's n-grams are put in an order that all lines have (frequent ones last) and taken
+    until one more than its most edits lie side by side. So many edits cannot touch all of
+    them; of two lines alike, all that the one with the earlier last n-gram took and the edits
+    left stand in the other, before its last one too: they share one taken n-gram.
+    """
+    need = _most_edits(lines.words[some], similarity) + 1
+    use = np.flatnonzero(need > 1)  # the others are alike only if equal
+    n = lines.words[some[use]] - q + 1
+    edge = np.concatenate([[0], np.cumsum(n)])
+    owner = np.repeat(np.arange(len(use)), n)
+    place = lines.at[some[use]][owner] + np.arange(edge[-1]) - edge[:-1][owner]
+    gram = _grams(lines.h, q)[place]
+    common = np.log2(1.0 + _looked_up(lines.h, frequent["word"]))
+    common = sum(common[place + j] for j in range(q)) if len(place) else np.zeros(0)
+    order = np.lexsort((gram, np.round(common).astype(np.int64), _looked_up(gram, frequent["gram"]), owner))
+    # in step for all lines: the next n-gram counts unless it overlaps a counted one
+    taken, counted = np.zeros(len(use), np.int64), np.zeros(len(use), np.int64)
+    blocked = np.zeros(edge[-1], bool)
+    live, r = np.arange(len(use)), 0
+    while len(live):
+        at = order[edge[live] + r]
+        free = ~blocked[at]
+        taken[live] += 1
+        counted[live] += free
+        at, line = at[free], live[free]
+        for j in range(1 - q, q):
+            blocked[np.clip(at + j, edge[line], edge[line + 1] - 1)] = True
+        r += 1
+        live = live[(counted[live] < need[use[live]]) & (r < n[live])]
+    first = np.arange(edge[-1]) - edge[:-1][owner] < taken[owner]
+    return use[owner[first]], gram[order][first]
+
+
+def gram_blocks(docs: DataFrame, similarity: float, min_words: int) -> DataFrame:
+    """``key, node, words``: line classes by their :func:`line_prefixes`, of n-grams that two or more share.
+
+    Any two classes of edit similarity ``similarity`` or more have a key in common.
+    """
+    q = gram_size(similarity, min_words)
+    frequent = _frequent(docs, q, min_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1024, 2 << 20):
+                lines = Lines(part.column("text"))
+                digest = lines.digests()
+                some = np.flatnonzero(lines.words >= min_words)
+                some = some[np.unique(digest[some], return_index=True)[1]]
+                of, gram = line_prefixes(lines, some, similarity, q, frequent)
+                # 48 bits of the n-gram, 16 of the number of words: rows of two numbers
+                size = np.minimum(lines.words[some[of]], 0xFFFF).astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array((gram & ~np.uint64(0xFFFF) | size).view(np.int64)), pa.array(digest[some[of]])], ["gram", "node"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(key: np.ndarray, node: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(key[keep] >> 16), pa.array(node[keep]), pa.array(key[keep] & 0xFFFF)], ["key", "node", "words"])
+
+        key, node, met = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        for batch in batches:  # sorted: the last row waits for the next, ``met`` if it has its key from the one before
+            key = np.concatenate([key, batch.column("gram").to_numpy()])
+            node = np.concatenate([node, batch.column("node").to_numpy()])
+            if not len(key):
+                continue
+            again = (key[1:] == key[:-1]) & (node[1:] == node[:-1])
+            new = np.concatenate([[True], ~again])
+            key, node = key[new], node[new]
+            with_next = np.concatenate([key[1:] >> 16 == key[:-1] >> 16, [False]])
+            keep = with_next | np.concatenate([[met], with_next[:-1]])
+            yield rows(key[:-1], node[:-1], keep[:-1])
+            met, key, node = bool(keep[-1]), key[-1:], node[-1:]
+        if met:
+            yield rows(key, node, np.ones(1, bool))
+
+    sent = docs.select("text").mapInArrow(run, "gram bigint, node bigint")
+    sent = sent.repartition(shuffle_partitions(docs.sparkSession), F.expr("shiftright(gram, 16)")).sortWithinPartitions("gram", "node")
+    return stored(sent.mapInArrow(shared, "key bigint, node bigint, words bigint"), "line-grams")
+
+
+def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_bits: int, min_words: int, complete: bool = False) -> DataFrame:
     """``line, label`` of line classes that are linked to others."""
     classes = stored(occurrences.groupBy("line").agg(F.first("sim").alias("sim"), F.first("words").alias("words")), "line-classes")
     n = classes.count()
     # keys about as long as the number of classes has bits: blocks stay small at any size
     spare = next((s for s in (1, 2, 3) if 64 * s // (max_bits + s) >= np.log2(max(n, 2)) - 5), 4)
     keyed = classes.select(F.explode(F.expr(block_keys("sim", max_bits, spare))).alias("key"), F.col("line").alias("node"), "sim", "words")
-    near = (
-        f"x.node <> y.node AND bit_count(x.sim ^ y.sim) <= {max_bits} "
-        f"AND least(x.words, y.words) >= {similarity} * greatest(x.words, y.words)"
-    )
+    sized = f"least(x.words, y.words) >= {similarity} * greatest(x.words, y.words)"
+    near = f"x.node <> y.node AND bit_count(x.sim ^ y.sim) <= {max_bits} AND {sized}"
     # classes with a near one in their block: a semi join stops at the first
     sides = keyed.select("key", F.struct("node", "sim", "words").alias("x"))
     other = sides.select(F.col("key").alias("k"), F.col("x").alias("y"))
     met = sides.join(other, (F.col("key") == F.col("k")) & F.expr(near), "left_semi")
     blocks = stored(met.select("key", "x.*"), "line-blocks")
+    if complete:  # blocks of n-grams have no SimHash: there the words alone decide
+        near = f"x.node <> y.node AND coalesce(bit_count(x.sim ^ y.sim) <= {max_bits}, true) AND {sized}"
+        grams = gram_blocks(docs, similarity, min_words).withColumn("sim", F.lit(None).cast("bigint"))
+        blocks = stored(blocks.unionByName(grams.select("key", "node", "sim", "words")), "line-blocks")
     nodes = blocks.select("node").distinct()
     wanted = bitmap_of(F.col("node"), nodes)  # a digest is a hash already
     seqs = _word_rows(docs, wanted, min_words).join(nodes.withColumnRenamed("node", "line"), "line", "left_semi")
@@ -176,10 +330,12 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            far = np.bitwise_count(odd_words(batch.column("sa")) ^ odd_words(batch.column("sb"))).sum(axis=1, dtype=np.int64)
             ok = []
-            for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
+            for x, y, bits in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), far.tolist(), strict=True):
                 u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                ok.append(edit_distance(u, v) <= (1 - similarity) * max(len(u), len(v)))
+                # an edit takes a word or puts one, or both: at most two bits
+                ok.append(bits <= 2 * max_edits(max(len(u), len(v)), similarity) and edit_distance(u, v) <= max_edits(max(len(u), len(v)), similarity))
             yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -189,14 +345,14 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
     return linked_groups(blocks, ["sim", "words"], near, verify).withColumnRenamed("node", "line")
 
 
-def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5) -> DataFrame:
+def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, complete: bool = False) -> DataFrame:
     """``doc_id, tie, numbers``: the lines (from 0) of each document that repeat a kept one.
 
     ``tie`` is ``xxhash64`` of the text. Rows equal in id and text are one document here.
     """
     rows = pick(docs, {"doc_id": "bigint", "text": "string"}).withColumn("tie", F.xxhash64("text"))
     found = stored(_occurrences(rows, min_words), "line-occurrences")
-    labels = line_groups(found, rows, similarity, max_bits, min_words)
+    labels = line_groups(found, rows, similarity, max_bits, min_words, complete)
     labels = labels.select(F.col("line").alias("l"), "label")
     place = F.struct("doc_id", "tie", "number")
     per = found.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -208,14 +364,15 @@ def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3,
     return gone.groupBy("doc_id", "tie").agg(F.collect_set("number").alias("numbers"))
 
 
-def without_duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, drop_emptied: bool = False, counts: bool = True) -> DataFrame:
+def without_duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, drop_emptied: bool = False, counts: bool = True, complete: bool = False) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``; with ``counts`` further
     columns ``n_lines`` and ``n_removed``.
 
     Lines of fewer than ``min_words`` words are never removed. A line counts as
     repeated when it is connected, through lines of edit similarity of at least
     ``similarity`` (over words) whose SimHashes differ in at most ``max_bits`` bits, to an
-    earlier occurrence anywhere in the table.
+    earlier occurrence anywhere in the table. With ``complete`` lines of that similarity
+    are connected whatever their SimHashes.
 
     * NULL text stays NULL (0 lines); an empty text has one empty line.
     * rows equal in id and text are one document: both keep what either keeps.
@@ -223,7 +380,7 @@ def without_duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits:
       ``n_chars``, if there, is set to the new length where lines went.
     * ``drop_emptied``: rows left without any word go (their text stands elsewhere).
     """
-    names, gone = docs.columns, duplicate_lines(docs, similarity, max_bits, min_words)
+    names, gone = docs.columns, duplicate_lines(docs, similarity, max_bits, min_words, complete)
     lower = [n.lower() for n in names]
     find = lambda c: f"c{names.index(c) if c in names else lower.index(c)}"
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])

@@ -70,7 +70,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return without_duplicate_lines(docs, similarity=0.9, max_bits=3, min_words=5)
+    return without_duplicate_lines(docs, similarity=0.9, max_bits=3, min_words=5, complete=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -115,3 +115,42 @@ def test_odd_rows(spark, odd, empty):
     copies = spark.createDataFrame([(1, "one line of six words here"), (2, "One line, of six words here!"), (3, "")], "doc_id long, text string")
     left = without_duplicate_lines(copies, drop_emptied=True).collect()
     assert sorted(r.doc_id for r in left) == [1, 3]
+
+
+def test_whole_table_on_edit_similarity_alone(spark, monkeypatch):
+    """The query against all pairs of lines, whatever their SimHashes."""
+
+    def fast(a, b):
+        if 10 * min(len(a), len(b)) < 9 * max(len(a), len(b)):
+            return len(a) + len(b)
+        number = {w: i for i, w in enumerate({*a, *b})}
+        return edit_distance(*(np.array([number[w] for w in x], "<u4") for x in (a, b)))
+
+    monkeypatch.setitem(globals(), "distance", fast)
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    want, links = brute(rows, similarity=0.9 - 1e-9, max_bits=64)
+    got = {r.doc_id: (r.text, r.n_removed) for r in op10_line_dedup(spark, SF_SMALL).collect()}
+    assert got == want and links > brute(rows)[1]
+
+
+def test_complete_finds_all_that_is_alike(spark):
+    """Against brute force on edit similarity alone, at lengths where SimHashes differ in many bits."""
+    random.seed(9)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    rows = []
+    for n in (9, 10, 12, 18, 20, 27, 30, 40, 63, 100, 120, 700):
+        for _ in range(6):
+            line = random.choices(vocabulary, k=n)
+            other = list(line)
+            for _ in range(max(1, n // 10)):
+                i = random.randrange(len(other))
+                kind = random.choice("sid") if n != 10 else "s"
+                other[i : i + (kind != "i")] = [] if kind == "d" else [random.choice(vocabulary)]
+            rows += [" ".join(line), " ".join(other), " ".join(random.choices(vocabulary, k=n))]
+    rows = list(enumerate(rows))
+    alike = [(i, i + 1) for i in range(0, len(rows), 3) if 10 * distance(rows[i][1].split(), rows[i + 1][1].split()) <= max(len(rows[j][1].split()) for j in (i, i + 1))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = lambda **more: {r.doc_id for r in without_duplicate_lines(df, **more).collect() if r.n_removed}
+    got, before = found(complete=True), found()
+    print(f"recall {len(got & {j for _, j in alike})} of {len(alike)}, by SimHash alone {len(before)}")
+    assert got == {j for _, j in alike} and len(alike) > 40 and len(before) < len(got) // 2
