@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from statlake.llm.common import pick, shuffle_partitions, span_hashes
 
+#: target length of a fingerprint's chunks: short texts have several too
+TARGET = 16
 _GEAR = np.random.default_rng(20240511).integers(0, 2**32, 256, dtype=np.uint32)
 
 
@@ -66,7 +68,7 @@ def chunk_ends(raw: np.ndarray, target: int = 128) -> np.ndarray:
 Chunks = dict[int, int]  # digest -> length
 
 
-def chunk_set(raw: np.ndarray, target: int = 128) -> Chunks:
+def chunk_set(raw: np.ndarray, target: int = TARGET) -> Chunks:
     ends = chunk_ends(raw, target)
     starts = np.concatenate([[0], ends])[: len(ends)].astype(np.int64)
     digests = span_hashes(raw, starts, ends) >> np.uint64(16)
@@ -90,7 +92,7 @@ def containment(a: Chunks, b: Chunks) -> float:
     return sum(n for d, n in a.items() if d in b) / whole
 
 
-def fingerprint_documents(docs: DataFrame, target: int = 128) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, target: int = TARGET) -> DataFrame:
     """``doc_id, n_chars, fingerprint`` of every row: no shuffle.
 
     * NULL or empty text: 0 characters and an empty fingerprint.
@@ -113,7 +115,7 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def edit_probe(docs: DataFrame, target: int = 128) -> DataFrame:
+def edit_probe(docs: DataFrame, target: int = TARGET) -> DataFrame:
     """How fingerprints follow an edit, for every row: ``doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next``.
 

@@ -76,3 +76,19 @@ def test_odd_rows(spark, odd, empty):
     assert [(r.n_chars, r.near_edited, r.near_next) for r in one] == [(0, 1.0, 1.0)]
     prints = {(r.doc_id, r.n_chars, r.fingerprint) for r in fingerprint_documents(odd).collect()}
     assert prints == {(d, len(t or ""), fingerprint(chunk_set(raw(t or "")))) for d, t in rows}
+
+
+def test_short_texts_keep_what_they_share(spark):
+    """Half of each text is replaced, or one letter: the rest is still found."""
+    random.seed(8)
+    text = lambda n: " ".join("".join(random.choices("abcdefghijklmnopqrst", k=random.randint(2, 9))) for _ in range(n))[:n]
+    sizes = {n: 60 for n in (50, 100, 150, 200, 300)}
+    rows = [(i, text(n)) for i, n in enumerate(n for n, m in sizes.items() for _ in range(m))]
+    got = edit_probe(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    for n, least in zip(sizes, (0.15, 0.3, 0.35, 0.37, 0.4), strict=True):
+        near = [r.near_edited for r in got if r.n_chars == n]
+        assert least < sum(near) / len(near) < 0.55, n
+        assert n == 50 or near.count(0) <= 5, n
+    kept = [containment(chunk_set(raw(t)), chunk_set(raw(t[: len(t) // 2] + "#" + t[len(t) // 2 + 1 :]))) for _, t in rows if len(t) >= 100]
+    assert sum(kept) / len(kept) > 0.6
+    assert max(r.near_next for r in got if r.n_chars >= 100) < 0.3
