@@ -19,6 +19,8 @@ from statlake.llm.rules import quality_rules
 from statlake.llm.token_files import read_token_files, write_token_files
 from statlake.llm.urls import ORACLE as URL_ORACLE
 from statlake.llm.urls import judge_urls, labels_by_number
+from statlake.llm.vector_search import ORACLE as VECTOR_ORACLE
+from statlake.llm.vector_search import exact_top_k
 from statlake.session import scratch_dir
 
 
@@ -73,6 +75,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_duplicate_lines(docs, similarity=0.9, max_bits=3, min_words=5, complete=True)
 
 
+def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op13_vector_search": op13_vector_search,
 }
 
-ORACLE: dict[str, str] = {"op5_quality_rules": RULE_ORACLE, "op8_url_filters": URL_ORACLE}
+ORACLE: dict[str, str] = {"op5_quality_rules": RULE_ORACLE, "op8_url_filters": URL_ORACLE, "op13_vector_search": VECTOR_ORACLE}
