@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from statlake.llm.common import table
+from statlake.llm.divergence import ORACLE as DIVERGENCE_ORACLE
+from statlake.llm.divergence import divergence_audit
 from statlake.llm.fingerprints import edit_probe
 from statlake.llm.language_id import language_report
 from statlake.llm.line_dedup import without_duplicate_lines
@@ -75,6 +77,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_duplicate_lines(docs, similarity=0.9, max_bits=3, min_words=5, complete=True)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(table(spark, sf_dir, "documents"), k=200, min_docs=3)
+
+
 def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
@@ -90,7 +96,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op12_divergence": op12_divergence,
     "op13_vector_search": op13_vector_search,
 }
 
-ORACLE: dict[str, str] = {"op5_quality_rules": RULE_ORACLE, "op8_url_filters": URL_ORACLE, "op13_vector_search": VECTOR_ORACLE}
+ORACLE: dict[str, str] = {
+    "op5_quality_rules": RULE_ORACLE,
+    "op8_url_filters": URL_ORACLE,
+    "op12_divergence": DIVERGENCE_ORACLE,
+    "op13_vector_search": VECTOR_ORACLE,
+}
