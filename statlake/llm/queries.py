@@ -16,6 +16,8 @@ from statlake.llm.mixing import mix_report
 from statlake.llm.ngram_join import jaccard_groups
 from statlake.llm.packing import pack_documents
 from statlake.llm.quality import score_quality, train_quality
+from statlake.llm.ranked_search import ORACLE as SEARCH_ORACLE
+from statlake.llm.ranked_search import ranked_search
 from statlake.llm.rules import ORACLE as RULE_ORACLE
 from statlake.llm.rules import quality_rules
 from statlake.llm.token_files import read_token_files, write_token_files
@@ -77,6 +79,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_duplicate_lines(docs, similarity=0.9, max_bits=3, min_words=5, complete=True)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_audit(table(spark, sf_dir, "documents"), k=200, min_docs=3)
 
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_divergence": op12_divergence,
     "op13_vector_search": op13_vector_search,
 }
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op5_quality_rules": RULE_ORACLE,
     "op8_url_filters": URL_ORACLE,
+    "op11_ranked_search": SEARCH_ORACLE,
     "op12_divergence": DIVERGENCE_ORACLE,
     "op13_vector_search": VECTOR_ORACLE,
 }
