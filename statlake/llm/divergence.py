@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlake.llm.common import pick, shuffle_partitions, slices, stored
+from statlake.llm.common import gathered, pick, shuffle_partitions, slices, stored, utf8
 from statlake.llm.terms import LETTERS, Terms
 
 ONE = 1_000_000_000  # fixed value: frequencies are parts of 10^9
@@ -37,8 +37,8 @@ def count_terms(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences, and documents that hold the term, summed over a slice of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 2048, 4 << 20):
+        for batch in gathered(batches, "text", 8 << 20):
+            for part in slices(batch, "text", 1 << 16, 8 << 20):
                 t = Terms(part.column("text"), LETTERS)
                 if not len(t.h):
                     continue
@@ -59,44 +59,81 @@ def count_terms(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
 
 
+def heads(column: pa.Array) -> np.ndarray:
+    """The first eight bytes of each term as a number (shorter ones filled with zeros, which no term holds)."""
+    raw, at = utf8(column)
+    raw = np.concatenate([raw, np.zeros(8, np.uint8)])
+    size, out = np.diff(at), np.zeros(len(at) - 1, np.uint64)
+    for j in range(8):
+        out = out << np.uint64(8) | np.where(j < size, raw[at[:-1] + j], 0).astype(np.uint64)
+    return out
+
+
 class Skyband:
     """Rows that come in order (count falling, language count rising, term rising): keeps those that fewer
     than ``k`` earlier ones dominate.
 
     Every row that dominates another comes before it. Of the rows that dominate a row, the first ``k``
     are kept themselves (whatever dominates one of them dominates the row too), so it
-    is enough to count among the kept.
+    is enough to count among the kept. A grid over the kept (counts of those below each corner) settles
+    most rows; the others are compared one by one.
     """
 
+    #: cells of the grid on each side, at most
+    CUTS = 64
+
     def __init__(self, k: int):
-        self.k, self.size = k, 0
+        self.k, self.size, self.seen = k, 0, 0
         self.lang = np.zeros(256, np.int64)
         self.head = np.zeros(256, np.uint64)
         self.terms: list[bytes] = []
+        self.cut_lang = self.cut_head = self.cells = self.below = None
 
-    def take(self, lang: np.ndarray, terms: list[bytes]) -> np.ndarray:
+    def take(self, lang: np.ndarray, head: np.ndarray, terms: pa.Array) -> np.ndarray:
         """Which of the next rows stay."""
-        # eight bytes decide most comparisons of texts; equal ones are compared whole (no term holds a zero byte)
-        head = np.array([int.from_bytes(t[:8].ljust(8, b"\0"), "big") for t in terms], np.uint64)
-        earlier = self._dominated(lang, head, terms, self.lang[: self.size], self.head[: self.size], self.terms)
-        inside = self._dominated(lang, head, terms, lang, head, terms, among=True)
-        keep = np.flatnonzero(earlier + inside < self.k)
+        open_ = np.arange(len(lang))
+        if self.below is not None:
+            i = np.searchsorted(self.cut_lang, lang, side="right")
+            j = np.searchsorted(self.cut_head, head, side="right")
+            open_ = np.flatnonzero(self.below[i, j] < self.k)
+        text = lambda i: terms[i].as_py()
+        earlier = self._dominated(lang, head, text, open_, self.lang[: self.size], self.head[: self.size], self.terms.__getitem__)
+        inside = self._dominated(lang, head, text, open_, lang, head, text, among=True)
+        keep = open_[earlier + inside < self.k]
         need = self.size + len(keep)
         while need > len(self.lang):
             self.lang, self.head = np.concatenate([self.lang, self.lang]), np.concatenate([self.head, self.head])
         self.lang[self.size : need], self.head[self.size : need] = lang[keep], head[keep]
-        self.terms += [terms[i] for i in keep.tolist()]
-        self.size = need
+        self.terms += terms.take(pa.array(keep)).to_pylist()
+        self._count(need)
         return keep
 
+    def _count(self, need: int) -> None:
+        """The grid: ``below[i, j]`` kept rows have a language count of at most cut ``i`` and a head under cut ``j``
+        (counted from 1; 0: none)."""
+        if need >= 2 * max(self.seen, self.k):
+            at = np.linspace(0, need - 1, self.CUTS).astype(np.int64)
+            self.cut_lang, self.cut_head = np.unique(np.sort(self.lang[:need])[at]), np.unique(np.sort(self.head[:need])[at])
+            self.cells = np.zeros((len(self.cut_lang) + 2, len(self.cut_head) + 2), np.int64)
+            self.size, self.seen = 0, need  # all are counted again
+        if self.cells is not None and need > self.size:
+            new = slice(self.size, need)
+            i = np.searchsorted(self.cut_lang, self.lang[new], side="left") + 1
+            j = np.searchsorted(self.cut_head, self.head[new], side="right") + 1
+            np.add.at(self.cells, (i, j), 1)
+            self.below = self.cells.cumsum(axis=0).cumsum(axis=1)
+        self.size = need
+
     @staticmethod
-    def _dominated(lang, head, terms, by_lang, by_head, by_terms, among: bool = False) -> np.ndarray:
-        low = by_lang[None, :] <= lang[:, None]
+    def _dominated(lang, head, text, some, by_lang, by_head, by_text, among: bool = False) -> np.ndarray:
+        """Of the rows ``some``: by how many others each is dominated. Eight bytes decide most
+        comparisons of texts; equal ones are compared whole."""
+        low = by_lang[None, :] <= lang[some][:, None]
         if among:
-            low &= np.arange(len(by_lang))[None, :] < np.arange(len(lang))[:, None]
-        out = (low & (by_head[None, :] < head[:, None])).sum(axis=1)
-        for i, j in np.argwhere(low & (by_head[None, :] == head[:, None])).tolist():
-            out[i] += by_terms[j] < terms[i]
+            low &= np.arange(len(by_lang))[None, :] < some[:, None]
+        out = (low & (by_head[None, :] < head[some][:, None])).sum(axis=1)
+        for i, j in np.argwhere(low & (by_head[None, :] == head[some][:, None])).tolist():
+            out[i] += by_text(j) < text(some[i].item())
         return out
 
 
@@ -109,7 +146,8 @@ def skyband(rows: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             code = [batch.column(c).dictionary_encode().indices.to_numpy() for c in ("lang", "source")]
             edge = np.flatnonzero((code[0][1:] != code[0][:-1]) | (code[1][1:] != code[1][:-1])) + 1
-            ln = batch.column("ln").to_numpy()
+            ln, terms = batch.column("ln").to_numpy(), batch.column("term").cast(pa.binary())
+            head = heads(batch.column("term"))
             kept = []
             for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows], strict=True):
                 if a == b:
@@ -119,8 +157,7 @@ def skyband(rows: DataFrame, k: int) -> DataFrame:
                     group, band = now, Skyband(k)
                 for lo in range(a, b, BLOCK):
                     hi = min(lo + BLOCK, b)
-                    terms = batch.column("term").slice(lo, hi - lo).cast(pa.binary()).to_pylist()
-                    kept.append(lo + band.take(ln[lo:hi], terms))
+                    kept.append(lo + band.take(ln[lo:hi], head[lo:hi], terms.slice(lo, hi - lo)))
             if kept:
                 yield batch.take(pa.array(np.concatenate(kept)))
 

@@ -4,8 +4,9 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
-from statlake.llm.divergence import ORACLE, Skyband, divergence_audit, skyband
+from statlake.llm.divergence import ORACLE, Skyband, divergence_audit, heads, skyband
 from statlake.llm.queries import op12_divergence
 
 from ..conftest import SF_CHECK
@@ -80,11 +81,20 @@ def test_skyband_keeps_what_fewer_dominate():
         band, got = Skyband(k), []
         for lo in range(0, len(rows), 64):
             part = rows[lo : lo + 64]
-            got += [part[i] for i in band.take(np.array([r[1] for r in part]), [r[2] for r in part])]
+            terms = pa.array([r[2].decode() for r in part])
+            got += [part[i] for i in band.take(np.array([r[1] for r in part]), heads(terms), terms.cast(pa.binary()))]
         want = [t for t in rows if sum(o[0] >= t[0] and o[1] <= t[1] and o[2] < t[2] for o in rows) < k]
         assert got == want
 
 
+def test_heads_order_like_bytes():
+    words = ["a", "ab", "abcdefgh", "abcdefghi", "é", "日本語", "zz", "abcdefg", "🙂🙂🙂"]
+    number = dict(zip(words, heads(pa.array(words)).tolist()))
+    for x in words:
+        for y in words:
+            assert (number[x] < number[y]) == (x.encode()[:8] < y.encode()[:8])
+
+
 def test_skyband_is_small(spark):
     """What a partition hands on does not grow with its terms where counts leave one order."""
     rows = [("en", "s", f"t{i:05d}", 1 + i % 3, 10, 2, 1) for i in range(6000)]
