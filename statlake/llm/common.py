@@ -93,19 +93,6 @@ def slices(batch: pa.RecordBatch, text: str, max_rows: int, max_bytes: int) -> I
         yield batch.slice(start)
 
 
-def gathered(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Consecutive Arrow batches joined until they hold about ``max_bytes`` of text."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
-        if size >= max_bytes:
-            yield pa.concat_batches(held)
-            held, size = [], 0
-    if held:
-        yield pa.concat_batches(held)
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of an Arrow string column as one byte array, and the n+1 offsets in it."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlake.llm.common import gathered, pick, shuffle_partitions, slices, stored, utf8
+from statlake.llm.common import pick, shuffle_partitions, slices, stored, utf8
 from statlake.llm.terms import LETTERS, Terms
 
 ONE = 1_000_000_000  # fixed value: frequencies are parts of 10^9
@@ -37,8 +37,8 @@ def count_terms(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences, and documents that hold the term, summed over a slice of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, "text", 8 << 20):
-            for part in slices(batch, "text", 1 << 16, 8 << 20):
+        for batch in batches:
+            for part in slices(batch, "text", 2048, 4 << 20):
                 t = Terms(part.column("text"), LETTERS)
                 if not len(t.h):
                     continue
