@@ -158,6 +158,10 @@ class Layout:
     def gold(self, name: str) -> str:
         return self._join("gold", name)
 
+    def ledger(self) -> str:
+        """Folder of the run ledger (control totals of every table written)."""
+        return self._join("ledger")
+
     def namespaces(self) -> dict[str, str]:
         return {layer: self._join(layer) for layer in ("bronze", "silver", "gold")}
 

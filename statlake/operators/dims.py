@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from statlake.functions.names import qcol
+from statlake.functions.sql import ident, string
 from statlake.operators.keys import keep_first
 
 
@@ -65,3 +69,42 @@ def conform_dim(
     return every_code.join(attrs, on=key, how="left").select(
         qcol(key), qcol(name), *[qcol(c) for c in enrich]
     )
+
+
+def survivorship(
+    sources: Sequence[tuple[str, DataFrame, Mapping[str, str]]],
+    key: str,
+    attrs: Sequence[str],
+    provenance: bool = True,
+) -> DataFrame:
+    """D8 for any number of code lists: one row per code, each attribute from the first list that has it.
+
+    ``sources`` are ``(name, rows, columns)`` in order of precedence; ``columns`` maps ``key`` and
+    attributes to a list's own column names (those left out are named alike; a column that a list does not
+    have gives nothing). An attribute's value is taken from the first source with one that is not
+    NULL; within a source the least value wins. With ``provenance``, ``<attr>_source`` names the list it
+    came from. NULL codes are left out; a code without any value keeps its row with NULLs.
+
+    One aggregate over the union of the lists: one shuffle, whatever their number, and a code
+    that fills a third of a list leaves each map task once.
+    """
+    if not sources:
+        raise ValueError("survivorship needs at least one code list")
+    parts = []
+    for rank, (name, df, columns) in enumerate(sources):
+        have = {c: columns.get(c, c) for c in (key, *attrs)}
+        if have[key] not in df.columns:
+            raise ValueError(f"{name}: no column {have[key]!r}")
+        picked = [qcol(have[c]).alias(c) if have[c] in df.columns else F.lit(None).alias(c) for c in (key, *attrs)]
+        parts.append(df.select(*picked, F.lit(rank).alias("__rank")).filter(qcol(key).isNotNull()))
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    names = "array(" + ", ".join(string(name) for name, _, _ in sources) + ")"
+    # the least (rank, value) is a minimum, so each map task sends one row a code
+    best = [F.expr(f"min(CASE WHEN {ident(a)} IS NOT NULL THEN struct(__rank, {ident(a)} AS v) END)").alias(f"__{i}") for i, a in enumerate(attrs)]
+    found = rows.groupBy(qcol(key)).agg(*best)
+    out = [qcol(key)]
+    for i, a in enumerate(attrs):
+        out.append(F.col(f"__{i}.v").alias(a))
+        if provenance:
+            out.append(F.expr(f"get({names}, __{i}.__rank)").alias(f"{a}_source"))
+    return found.select(*out)

@@ -103,6 +103,42 @@ def unpivot_matching(
     return _unpivot(df, keep, labels, variable, value, value_type)
 
 
+def as_cells(df: DataFrame, ids: Sequence[str], cells: str = "cells") -> DataFrame:
+    """A wide table as ``ids`` and one column ``cells``: a map from header to text.
+
+    Tables whose headers differ from file to file then share one schema, so they are united, stored and
+    filtered as one table. NULL cells are left out of the map (absent and empty cells read
+    alike); headers are kept verbatim. One projection, built as one SQL text.
+    """
+    others = [c for c in df.columns if c not in ids]
+    pairs = ", ".join(f"struct({string(c)} AS key, CAST({ident(c)} AS STRING) AS value)" for c in others)
+    entries = f"filter(array({pairs}), e -> e.value IS NOT NULL)" if others else "CAST(array() AS ARRAY<STRUCT<key: STRING, value: STRING>>)"
+    return df.selectExpr(*[ident(i) for i in ids], f"map_from_entries({entries}) AS {ident(cells)}")
+
+
+def unpivot_cells(
+    df: DataFrame,
+    pattern: str,
+    variable: str = "year",
+    value: str = "value",
+    cells: str = "cells",
+    strip_prefix: int = 0,
+    ignore_case: bool = True,
+) -> DataFrame:
+    """R1-R3 on map rows (:func:`as_cells`): one row for each cell whose header matches ``pattern`` as a whole.
+
+    Headers are filtered before rows are made, in the same stage as the scan, and nothing is known about
+    them when the job is planned: a file with a new year column needs no new schema. Cells that are
+    NULL have no row. All other columns are kept.
+    """
+    rx = f"^(?:{pattern})$" if not ignore_case else f"(?i)^(?:{pattern})$"
+    kept = f"map_filter({ident(cells)}, (k, v) -> k RLIKE {string(rx)} AND v IS NOT NULL)"
+    others = [c for c in df.columns if c != cells]
+    long = df.selectExpr(*[ident(c) for c in others], f"explode(map_entries({kept})) AS __cell")
+    label = f"substr(__cell.key, {strip_prefix + 1})" if strip_prefix else "__cell.key"
+    return long.selectExpr(*[ident(c) for c in others], f"{label} AS {ident(variable)}", f"__cell.value AS {ident(value)}")
+
+
 def with_literals(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """Add (or replace) constant columns in one projection."""
     return df.withColumns({k: F.lit(v) for k, v in values.items()})

@@ -20,7 +20,8 @@ from statlake.operators.dims import conform_dim
 from statlake.operators.joins import denormalize, join_dim
 from statlake.operators.shape import align_union, normalize_period
 from statlake.layout import Layout
-from statlake.sources.tables import drop_audit, read_table, write_table
+from statlake.plans.landing import land
+from statlake.sources.tables import create_namespaces, drop_audit, read_table
 
 # The columns of the gold tables.
 EDSTATS_COLUMNS = (
@@ -102,26 +103,27 @@ def gold_edstats(df: DataFrame) -> DataFrame:
 
 
 def run_gold(spark: SparkSession, layout: Layout) -> None:
+    create_namespaces(spark, {"gold": layout.namespaces()["gold"]})
     dim_country = gold_dim_country(
         read_table(spark, layout.silver("dim_country_wb"), DIM_COUNTRY_WB),
         read_table(spark, layout.silver("dim_country_unodc"), DIM_COUNTRY_UNODC),
     )
-    write_table(dim_country, layout.gold("dim_country"), sanitize=False)
+    land(dim_country, layout, "gold", "dim_country", sanitize=False)
     dim_country = read_table(spark, layout.gold("dim_country"), DIM_COUNTRY)
 
     fact = read_table(spark, layout.silver("fact_crime_and_justice_unodc"), SILVER_UNODC_FACT)
-    write_table(gold_unodc(fact, dim_country), layout.gold("fact_unodc_crime_global"), sanitize=False)
+    land(gold_unodc(fact, dim_country), layout, "gold", "fact_unodc_crime_global", sanitize=False)
 
     silver = {}
     for freq in ("annual", "quarterly", "monthly"):
         if any(freq in src.frequencies for src in layout.gem):
             silver[freq] = read_table(spark, layout.silver(f"fact_gem_{freq}"), SILVER_GEM)
-    write_table(gem_all_periods(silver), layout.gold("fact_wb_gem_all_data"), sanitize=False)
+    land(gem_all_periods(silver), layout, "gold", "fact_wb_gem_all_data", sanitize=False)
 
     non_gem = read_table(spark, layout.silver("fact_wb_stats_non_gem"), SILVER_NON_GEM_FACT)
     dim_indicator = read_table(spark, layout.silver("dim_indicator_wb"), DIM_INDICATOR)
-    write_table(gold_non_gem(non_gem, dim_country, dim_indicator), layout.gold("fact_wb_non_gem_all_data"), sanitize=False)
+    land(gold_non_gem(non_gem, dim_country, dim_indicator), layout, "gold", "fact_wb_non_gem_all_data", sanitize=False)
 
     ed = read_table(spark, layout.silver("fact_wb_edstats"), SILVER_EDSTATS)
-    write_table(gold_edstats(ed), layout.gold("fact_edstats"), partition_by="period", sanitize=False)
+    land(gold_edstats(ed), layout, "gold", "fact_edstats", partition_by="period", sanitize=False)
 

@@ -300,6 +300,67 @@ ORACLE: dict[str, str] = {
                CAST(date_trunc('year', o_orderdate) AS DATE) AS period
         FROM orders""",
     "append_accumulate": "SELECT * FROM orders",
+    "idempotent_delivery": """
+        SELECT *, CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderstatus ELSE 'rest' END AS batch FROM orders""",
+    "replaced_partitions": """
+        SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2')""",
+    "contract_evolution": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS o_totalprice,
+               CAST(CASE WHEN o_orderkey % 3 = 0 THEN year(o_orderdate) END AS INTEGER) AS o_year,
+               lpad(CAST(o_custkey % 7 AS VARCHAR), 3, '0') AS code
+        FROM orders""",
+    "catalog_table": """
+        SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders WHERE year(o_orderdate) % 3 <> 1""",
+    "control_totals": f"""
+        WITH r AS (SELECT event_id, {_MEASURE_TEXT} AS raw FROM events),
+        m AS (SELECT raw, regexp_full_match(raw, '{NUMERIC}') AS is_numeric FROM r),
+        t AS (
+          SELECT 'measures' AS "table", CAST(NULL AS VARCHAR) AS batch, COUNT(*) AS rows_all,
+                 COUNT(*) FILTER (WHERE raw IS NOT NULL AND NOT coalesce(is_numeric, FALSE)) AS rejected,
+                 COUNT(*) FILTER (WHERE raw IS NULL) AS missing
+          FROM m)
+        SELECT "table", batch, 'rows' AS control, rows_all AS n FROM t
+        UNION ALL SELECT "table", batch, 'rejected', rejected FROM t
+        UNION ALL SELECT "table", batch, 'missing', missing FROM t
+        UNION ALL
+        SELECT 'orders', k.batch, c.control, COUNT(*) FILTER (WHERE o_orderkey IS NOT NULL AND (c.control = 'rows' OR o_totalprice > 100000))
+        FROM (VALUES ('F'), ('O')) k(batch) CROSS JOIN (VALUES ('rows'), ('big')) c(control) LEFT JOIN orders ON o_orderstatus = k.batch
+        GROUP BY ALL
+        UNION ALL SELECT 'clicks', NULL, 'rows', COUNT(*) FROM events WHERE event_type = 'click'
+        UNION ALL SELECT 'clicks', NULL, 'no_user', COUNT(*) FROM events WHERE event_type = 'click' AND user_id IS NULL""",
+    "csv_rejects": """
+        WITH l AS (
+          SELECT c_custkey % 11 AS k, CAST(c_custkey AS VARCHAR) AS a, c_name AS b, c_mktsegment AS s,
+                 concat(chr(34), c_name, ', Ltd ', chr(34), chr(34), 'x', chr(34), chr(34), chr(34)) AS quoted FROM customer)
+        SELECT a AS c_custkey, b || ', Ltd "x"' AS c_name, s AS c_mktsegment,
+               CAST(NULL AS VARCHAR) AS record, CAST(NULL AS VARCHAR) AS reason, FALSE AS has_file
+        FROM l WHERE k NOT IN (3, 5, 7)
+        UNION ALL
+        SELECT NULL, NULL, NULL,
+               CASE k WHEN 3 THEN a WHEN 5 THEN a || ',' || quoted ELSE a || ',' || quoted || ',' || s || ',more' END,
+               CASE k WHEN 7 THEN 'too many fields' ELSE 'too few fields' END, TRUE
+        FROM l WHERE k IN (3, 5, 7)""",
+    "survivorship": """
+        WITH rows_in AS (
+          SELECT 0 AS rank, 'nations' AS list, n_nationkey AS code, CASE WHEN n_nationkey % 4 <> 0 THEN n_name END AS name,
+                 CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS segment FROM nation WHERE n_nationkey < 18
+          UNION ALL
+          SELECT 1, 'suppliers', CASE WHEN s_suppkey % 13 <> 0 THEN s_nationkey END, CASE WHEN s_nationkey < 9 THEN s_name END,
+                 'R' || CAST(s_suppkey % 5 AS VARCHAR), NULL FROM supplier
+          UNION ALL
+          SELECT 2, 'customers', c_nationkey + 3, c_name, 'R9', c_mktsegment FROM customer),
+        codes AS (SELECT DISTINCT code FROM rows_in WHERE code IS NOT NULL),
+        names AS (SELECT code, name, list FROM rows_in WHERE name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY code ORDER BY rank, name) = 1),
+        regions AS (SELECT code, region, list FROM rows_in WHERE region IS NOT NULL QUALIFY row_number() OVER (PARTITION BY code ORDER BY rank, region) = 1),
+        segments AS (SELECT code, segment, list FROM rows_in WHERE segment IS NOT NULL QUALIFY row_number() OVER (PARTITION BY code ORDER BY rank, segment) = 1)
+        SELECT codes.code, name, names.list AS name_source, region, regions.list AS region_source, segment, segments.list AS segment_source
+        FROM codes LEFT JOIN names USING (code) LEFT JOIN regions USING (code) LEFT JOIN segments USING (code)""",
+    "unpivot_map_rows": f"""
+        WITH o AS (SELECT o_orderpriority AS series, year(o_orderdate) AS y, COUNT(*) AS n FROM orders GROUP BY ALL),
+        l AS (SELECT l_returnflag || '/' || l_linestatus AS series, year(l_shipdate) AS y, COUNT(*) AS n FROM lineitem GROUP BY ALL)
+        SELECT series, 'YR' || CAST(y AS VARCHAR) AS year, CAST(n AS VARCHAR) AS value FROM o WHERE y BETWEEN 1960 AND 2029
+        UNION ALL
+        SELECT series, CAST(y AS VARCHAR), CAST(n AS VARCHAR) FROM l WHERE y BETWEEN 1959 AND 2030""",
     "audit_column": """
         SELECT c_custkey, c_name, TRUE AS stamped, TRUE AS stamped_after_start, TRUE AS stamped_before_end FROM customer""",
     "csv_roundtrip": """

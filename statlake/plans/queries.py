@@ -14,7 +14,7 @@ result does not depend on summation order (exact on both engines).
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from statlake.functions.measures import cast_by_name, clean_measure, drop_incomplete, is_numeric_text, recode
 from statlake.functions.names import sanitize_columns
 from statlake.functions.periods import parse_period
-from statlake.operators.dims import conform_dim, extract_dim
+from statlake.operators.dims import conform_dim, extract_dim, survivorship
 from statlake.operators.joins import denormalize, join_dim
 from statlake.operators.keys import (
     anti_members,
@@ -38,6 +38,8 @@ from statlake.operators.keys import (
 )
 from statlake.operators.shape import (
     align_union,
+    as_cells,
+    unpivot_cells,
     unpivot_entities,
     unpivot_matching,
     with_literals,
@@ -45,8 +47,10 @@ from statlake.operators.shape import (
 from statlake.functions.sql import string as sql_string
 from statlake.layout import EDSTATS_YEAR_HEADER, STATS_YEARS, STATS_ID_COLUMNS, StatsSource, year_headers
 from statlake.session import scratch_dir
-from statlake.sources.csv import read_csv, write_csv
-from statlake.sources.tables import accumulate, drop_audit, read_table, write_table
+from statlake.sources.catalog import register_table
+from statlake.sources.csv import land_csv, read_csv, write_csv
+from statlake.sources.ledger import Controls, latest_totals
+from statlake.sources.tables import accumulate, create_namespaces, deliver, drop_audit, read_table, write_table
 
 # Fixed values used to build wide test tables from the driver's data.
 # Region names are fixed by the TPC-H specification.
@@ -110,6 +114,19 @@ def count_if(cond: str) -> Column:
     return F.expr(count_if_sql(cond))
 
 
+def year_cells(df: DataFrame, keys: Sequence[Column], year: str, headers: Mapping[str, str], text: bool = False) -> DataFrame:
+    """A wide table of row counts: one row for each key, one column for each header, whose SQL condition is over ``y``.
+
+    Rows are counted by (key, year) first, in the map tasks, so the many conditions see one row for each
+    group and year, whatever the number of rows. A further column ``rows_in_group`` has the total.
+    """
+    counted = df.groupBy(*keys, F.expr(year).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    names = [c for c in counted.columns if c not in ("y", "n")]
+    kind = "CAST(CAST(SUM(CASE WHEN {} THEN n END) AS BIGINT) AS STRING)" if text else "CAST(SUM(CASE WHEN {} THEN n END) AS BIGINT)"
+    cells = [F.expr(kind.format(cond)).alias(h) for h, cond in headers.items()]
+    return counted.groupBy(*[F.col(f"`{n}`") for n in names]).agg(*cells, F.sum("n").alias("rows_in_group"))
+
+
 def _str(c: Column) -> Column:
     return c.cast("string")
 
@@ -119,26 +136,42 @@ def _str(c: Column) -> Column:
 def q_unpivot_years_prefixed(spark, d):
     """R2 on a ``YRnnnn``-wide table: orders per priority and year."""
     o = table(spark, d, "orders")
+    headers = {f"YR{y}": f"y = {y}" for y in RANGE}
     # YR0000 counts what no other header does, so every row is in one cell
-    rest = f"o_orderdate IS NULL OR year(o_orderdate) NOT BETWEEN {RANGE[0]} AND {RANGE[-1]}"
-    cells = [count_if(f"year(o_orderdate) = {y}").alias(f"YR{y}") for y in RANGE]
-    wide = o.groupBy("o_orderpriority").agg(*cells, count_if(rest).alias("YR0000"))
+    headers["YR0000"] = f"y IS NULL OR y NOT BETWEEN {RANGE[0]} AND {RANGE[-1]}"
+    wide = year_cells(o, [F.col("o_orderpriority")], "year(o_orderdate)", headers).drop("rows_in_group")
     return unpivot_matching(wide, EDSTATS_YEAR_HEADER, variable="year", value="value", strip_prefix=2)
 
 
 def q_unpivot_years_plain(spark, d):
     """Only in-range ``nnnn`` headers are unpivoted; the listed ids are kept, other columns dropped."""
     li = table(spark, d, "lineitem")
-    wide = li.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).cast("string").alias("Rows In Group"),
-        *[F.expr(f"CAST({count_if_sql(f'year(l_shipdate) = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS],
-    )
+    headers = {str(y): f"y = {y}" for y in PLAIN_YEARS}
+    wide = year_cells(li, [F.col("l_returnflag"), F.col("l_linestatus")], "year(l_shipdate)", headers, text=True)
+    wide = wide.withColumnRenamed("rows_in_group", "Rows In Group")
     long = unpivot_matching(
         wide, year_headers(*STATS_YEARS), variable="year", value="value", ids=["l_returnflag", "l_linestatus"], full_match=True
     )
     return cast_by_name(long, {"year": "int", "value": "float"}, default=None)
 
 
+def q_unpivot_map_rows(spark, d):
+    """R2 and R3 on map rows: two publishers with different headers in one stored table (a batch each), unpivoted
+    into a landed fact. The generator runs in the landing job."""
+    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
+    first = year_cells(o, [F.col("o_orderpriority").alias("series")], "year(o_orderdate)", {f"YR{y}": f"y = {y}" for y in RANGE})
+    second = year_cells(
+        li, [F.concat_ws("/", "l_returnflag", "l_linestatus").alias("series")], "year(l_shipdate)", {str(y): f"y = {y}" for y in PLAIN_YEARS}
+    )
+    path = scratch_dir(spark, "unpivot_map_rows")
+    # a header of the first publisher that the second lacks, and the other way round
+    deliver(as_cells(first.withColumnRenamed("rows_in_group", "Rows (all)"), ["series"]), f"{path}/bronze", "orders")
+    deliver(as_cells(second.drop("rows_in_group"), ["series"]), f"{path}/bronze", "lines")
+    long = unpivot_cells(drop_audit(read_table(spark, f"{path}/bronze")), r"(?:yr)?\d{4}")
+    write_table(long, f"{path}/silver", partition_by="batch")
+    return drop_audit(read_table(spark, f"{path}/silver")).drop("batch")
+
+
 def _segment_wide(spark, d) -> DataFrame:
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
@@ -457,6 +490,96 @@ def q_append_accumulate(spark, d):
     return drop_audit(read_table(spark, path, o.schema))
 
 
+def _batch_key(status: Column) -> Column:
+    return F.when(status.isin("F", "O"), status).otherwise("rest")
+
+
+def q_idempotent_delivery(spark, d):
+    """A batch lands half, lands again whole, another lands twice, and one is late: each row once."""
+    o = table(spark, d, "orders")
+    batch = {k: o.filter(_batch_key(F.col("o_orderstatus")) == k) for k in ("F", "O", "rest")}
+    path = scratch_dir(spark, "idempotent_delivery")
+    deliver(batch["F"].filter("o_orderkey % 2 = 0"), path, "F")
+    deliver(batch["O"], path, "O")
+    deliver(batch["F"], path, "F")
+    deliver(batch["O"], path, "O")
+    deliver(batch["rest"], path, "rest")
+    return drop_audit(read_table(spark, path))
+
+
+def q_replaced_partitions(spark, d):
+    """A partitioned table overwritten by one with other partitions: nothing of the old one is left."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = scratch_dir(spark, "replaced_partitions")
+    write_table(o, path, partition_by="o_orderpriority")
+    urgent = F.col("o_orderpriority").substr(1, 1).isin("1", "2")
+    write_table(o.filter(urgent), path, partition_by="o_orderpriority")
+    return drop_audit(read_table(spark, path))
+
+
+def q_contract_evolution(spark, d):
+    """The stored contract is what readers see: codes stay text, and a later source adds a column."""
+    o = table(spark, d, "orders")
+    code = F.lpad(_str(F.pmod("o_custkey", F.lit(7))), 3, "0").alias("code")
+    path = scratch_dir(spark, "contract_evolution")
+    write_table(o.filter("o_orderkey % 3 <> 0").select("o_orderkey", "o_totalprice", code), path, partition_by="code")
+    later = o.filter("o_orderkey % 3 = 0").select("o_orderkey", F.year("o_orderdate").alias("o_year"), code)
+    write_table(later, path, mode="append", partition_by="code", evolve=True)
+    return drop_audit(read_table(spark, path))
+
+
+def q_catalog_table(spark, d):
+    """A table read by name after it was replaced: new partitions are there, old ones gone."""
+    o = table(spark, d, "orders").withColumn("o_year", F.year("o_orderdate")).select("o_orderkey", "o_custkey", "o_year")
+    path = scratch_dir(spark, "catalog_table")
+    database = f"lake_{path[-12:]}"
+    create_namespaces(spark, {database: f"{path}_db"})
+    write_table(o.filter("o_year % 3 <> 0"), path, partition_by="o_year", audit=False)
+    register_table(spark, f"{database}.orders_by_year", path)
+    write_table(o.filter("o_year % 3 <> 1"), path, partition_by="o_year", audit=False)
+    register_table(spark, f"{database}.orders_by_year", path)
+    return spark.table(f"{database}.orders_by_year")
+
+
+def q_control_totals(spark, d):
+    """Totals counted in the writing jobs, read back from the run ledger (the last run of each table counts)."""
+    e, o = table(spark, d, "events"), table(spark, d, "orders")
+    path = scratch_dir(spark, "control_totals")
+    rejected = {"rejected": "raw IS NOT NULL AND NOT coalesce(is_numeric, false)", "missing": "raw IS NULL"}
+    measures = q_numeric_gate(spark, d)
+    for rows in (measures.filter("event_id % 2 = 0"), measures):
+        write_table(rows, f"{path}/measures", counted=Controls("measures", rejected, f"{path}/ledger"))
+    for key in ("F", "O"):
+        rows = o.filter(F.col("o_orderstatus") == key)
+        deliver(rows, f"{path}/orders", key, partition_by="o_orderpriority", counted=Controls("orders", {"big": "o_totalprice > 100000"}, f"{path}/ledger"))
+    clicks = e.filter("event_type = 'click'")
+    write_table(clicks, f"{path}/clicks", partition_by="event_type", counted=Controls("clicks", {"no_user": "user_id IS NULL"}, f"{path}/ledger"))
+    return latest_totals(spark, f"{path}/ledger")
+
+
+def q_csv_rejects(spark, d):
+    """Files with torn records: whole rows as they are, torn ones apart with file and reason."""
+    c = table(spark, d, "customer")
+    columns = ["c_custkey", "c_name", "c_mktsegment"]
+    k = F.pmod("c_custkey", F.lit(11))
+    whole = [_str(F.col("c_custkey")), F.concat(F.lit('"'), F.col("c_name"), F.lit(', Ltd ""x"""')), F.col("c_mktsegment")]
+    line = (
+        F.when(k == 3, whole[0]).when(k == 5, F.concat_ws(",", *whole[:2])).when(k == 7, F.concat_ws(",", *whole, F.lit("more")))
+        .otherwise(F.concat_ws(",", *whole))
+    )
+    folder = F.pmod("c_custkey", F.lit(4)).alias("folder")
+    # every file starts with a header line
+    header = spark.range(4).select(F.lit(0).alias("place"), F.lit(",".join(columns)).alias("value"), F.col("id").alias("folder"))
+    lines = c.select(F.lit(1).alias("place"), line.alias("value"), folder).unionByName(header)
+    path = scratch_dir(spark, "csv_rejects")
+    lines.repartition("folder").sortWithinPartitions("folder", "place").drop("place").write.partitionBy("folder").text(f"{path}/raw")
+    rows, torn = land_csv(spark, f"{path}/raw", columns, f"{path}/landed")
+    none = F.lit(None).cast("string")
+    rows = rows.select(*columns, none.alias("record"), none.alias("reason"), F.lit(False).alias("has_file"))
+    torn = torn.select(*[none.alias(n) for n in columns], "record", "reason", F.col("file").contains("/raw/folder=").alias("has_file"))
+    return rows.unionByName(torn)
+
+
 def q_csv_roundtrip(spark, d):
     c = table(spark, d, "customer")
     df = c.select(
@@ -586,6 +709,23 @@ def q_conform_dimension(spark, d):
     return conform_dim(primary, secondary)
 
 
+def q_survivorship(spark, d):
+    """D8 over three code lists: names from the first list that has one, segments and regions from others."""
+    n = table(spark, d, "nation").select(
+        F.col("n_nationkey").alias("code"), F.when(F.pmod("n_nationkey", F.lit(4)) == 0, F.lit(None)).otherwise(F.col("n_name")).alias("name")
+    ).filter("code < 18")
+    s = table(spark, d, "supplier").select(
+        F.when(F.pmod("s_suppkey", F.lit(13)) == 0, F.lit(None)).otherwise(F.col("s_nationkey")).alias("nation"),
+        F.when(F.col("s_nationkey") < 9, F.col("s_name")).alias("label"),
+        F.concat(F.lit("R"), _str(F.pmod("s_suppkey", F.lit(5)))).alias("region"),
+    )
+    c = table(spark, d, "customer").select(
+        (F.col("c_nationkey") + 3).alias("code"), F.col("c_name").alias("name"), F.lit("R9").alias("region"), F.col("c_mktsegment").alias("segment")
+    )
+    lists = [("nations", n, {}), ("suppliers", s, {"code": "nation", "name": "label"}), ("customers", c, {})]
+    return survivorship(lists, "code", ["name", "region", "segment"])
+
+
 def _key_sets(spark, d) -> tuple[DataFrame, DataFrame]:
     c = table(spark, d, "customer")
     s = table(spark, d, "supplier")
@@ -642,18 +782,18 @@ def _stats_wide(spark, d) -> tuple[DataFrame, DataFrame]:
     )
     # the three-way join runs once: both sources read the landed rows
     base = land_bronze(spark, base, "stats_lines", partition_by="first")
-    cells = [F.expr(f"CAST({count_if_sql(f'y = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS]
+    cells = {str(y): f"y = {y}" for y in PLAIN_YEARS}
     code = _str(F.col("n_nationkey")).alias("country_code")
     # some countries have no name in the first source
     name = F.when(F.pmod("n_nationkey", F.lit(5)) == 0, F.lit(None)).otherwise(F.col("n_name"))
-    first = base.filter("first").groupBy(
+    first = year_cells(base.filter("first"), [
         name.alias("country_name"), code,
         F.concat(F.lit("Lines "), "p_brand").alias("indicator_name"), F.col("p_brand").alias("indicator_code"),
-    ).agg(*cells, F.lit("x").alias("extra"))
-    second = base.filter("NOT first").groupBy(
+    ], "y", cells, text=True).drop("rows_in_group").withColumn("extra", F.lit("x"))
+    second = year_cells(base.filter("NOT first"), [
         F.concat("n_name", F.lit(" (IDS)")).alias("country_name"), code,
         F.concat(F.lit("Lines of "), "p_brand").alias("series_name"), F.col("p_brand").alias("series_code"),
-    ).agg(*cells)
+    ], "y", cells, text=True).drop("rows_in_group")
     return first, second
 
 
@@ -786,11 +926,10 @@ def q_job_bronze_series(spark, d):
 def q_job_bronze_stats(spark, d):
     """A wide statistics file (splittable CSV) landed as text, headers sanitised."""
     o = table(spark, d, "orders")
-    years = [F.expr(f"CAST({count_if_sql(f'year(o_orderdate) = {y}')} AS STRING)").alias(str(y)) for y in PLAIN_YEARS]
-    wide = o.groupBy(
+    wide = year_cells(o, [
         F.concat(F.lit("Customer, no. "), _str(F.col("o_custkey"))).alias("Country Name"), _str(F.col("o_custkey")).alias("Country Code"),
         F.col("o_orderpriority").alias("Indicator Name"), F.substring("o_orderpriority", 1, 1).alias("Indicator Code"),
-    ).agg(*years)
+    ], "year(o_orderdate)", {str(y): f"y = {y}" for y in PLAIN_YEARS}, text=True).drop("rows_in_group")
     raw = read_csv(spark, _raw_csv(spark, "raw_stats", wide), columns=wide.columns)
     bronze = drop_audit(land_bronze(spark, raw, "bronze_stats"))
     some = [c for c in bronze.columns if c not in STATS_ID_COLUMNS]

@@ -12,7 +12,8 @@ from statlake.layout import EDSTATS_YEAR_HEADER, STATS_ID_COLUMNS, STATS_YEARS,
 from statlake.operators.dims import extract_dim
 from statlake.functions.sql import ident, string
 from statlake.operators.shape import align_union, unpivot_entities, unpivot_matching
-from statlake.sources.tables import drop_audit, read_table, write_table
+from statlake.plans.landing import land
+from statlake.sources.tables import create_namespaces, drop_audit, read_table
 
 UNODC_COUNTRY_COLUMNS = ("country_code", "country", "region", "subregion")
 
@@ -119,12 +120,18 @@ def stats_dims(sources: Sequence[tuple[DataFrame, Sequence[tuple[str, str]]]]) -
 
 # ------------------------------------------------------------------- runners
 
+#: rows a run is checked by: facts and codes that lack what the gold layer joins on or measures
+_FACT_CONTROLS = {"null_codes": "country_code IS NULL", "null_values": "value IS NULL"}
+
+
 def run_silver(spark: SparkSession, layout: Layout) -> None:
+    create_namespaces(spark, {"silver": layout.namespaces()["silver"]})
+    # bronze tables are read by their stored contract: nothing is inferred from files or folder names
     # G5
     sheets = [read_table(spark, layout.bronze(name)) for name, _ in layout.unodc]
     dim, fact = unodc_to_silver(sheets)
-    write_table(dim, layout.silver("dim_country_unodc"), sanitize=False)
-    write_table(fact, layout.silver("fact_crime_and_justice_unodc"), partition_by="country_code", sanitize=False)
+    land(dim, layout, "silver", "dim_country_unodc", sanitize=False, controls={"null_codes": "country_code IS NULL"})
+    land(fact, layout, "silver", "fact_crime_and_justice_unodc", partition_by="country_code", sanitize=False, controls=_FACT_CONTROLS)
 
     # One table per frequency, one write each
     for freq in ("annual", "quarterly", "monthly"):
@@ -134,16 +141,16 @@ def run_silver(spark: SparkSession, layout: Layout) -> None:
             if freq in src.frequencies
         ]
         if pairs:
-            write_table(gem_to_long(pairs, freq), layout.silver(f"fact_gem_{freq}"))
+            unread = {"null_values": "value IS NULL", "undated": "period IS NULL"}
+            land(gem_to_long(pairs, freq), layout, "silver", f"fact_gem_{freq}", controls=unread)
 
     # G7
     ed = read_table(spark, layout.bronze("wb_edstats"))
-    write_table(edstats_to_long(ed), layout.silver("fact_wb_edstats"))
+    land(edstats_to_long(ed), layout, "silver", "fact_wb_edstats", controls={"null_values": "value IS NULL"})
 
     # G8
     sources = [(read_table(spark, layout.bronze(s.name)), s.renames) for s in layout.stats]
     countries, indicators = stats_dims(sources)
-    write_table(countries, layout.silver("dim_country_wb"))
-    write_table(indicators, layout.silver("dim_indicator_wb"))
-    write_table(stats_to_long(sources), layout.silver("fact_wb_stats_non_gem"), partition_by="country_code")
-
+    land(countries, layout, "silver", "dim_country_wb", controls={"null_codes": "country_code IS NULL"})
+    land(indicators, layout, "silver", "dim_indicator_wb")
+    land(stats_to_long(sources), layout, "silver", "fact_wb_stats_non_gem", partition_by="country_code", controls=_FACT_CONTROLS)

@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -192,3 +193,42 @@ def test_wide_checks_hold_every_row(spark):
     assert total(q_unpivot_years_plain(spark, SF_SMALL)) == table(spark, SF_SMALL, "lineitem").count()
     value = table(spark, SF_SMALL, "orders").agg(F.sum("o_totalprice")).first()[0]
     assert abs(total(q_unpivot_entities(spark, SF_SMALL)) - value) < 1e-6 * value
+
+
+def test_unpivot_cells(spark):
+    """Headers that differ per row set, NULL cells, odd names; one narrow stage without a shuffle."""
+    from statlake.operators.shape import as_cells, unpivot_cells
+
+    a = spark.createDataFrame([("x", "1", None, "n"), ("y", None, "4", "n")], "id string, YR1999 string, yr2000 string, `No. of 'rows'` string")
+    b = spark.createDataFrame([("z", 5, 6)], "id string, `2001` int, `12001` int")
+    rows = as_cells(a, ["id"]).unionByName(as_cells(b, ["id"]))
+    assert rows.columns == ["id", "cells"]
+    assert rows.filter("id = 'x'").first().cells == {"YR1999": "1", "No. of 'rows'": "n"}
+    long = unpivot_cells(rows, r"(?:yr)?\d{4}", strip_prefix=0)
+    assert sorted(map(tuple, long.collect())) == [("x", "YR1999", "1"), ("y", "yr2000", "4"), ("z", "2001", "5")]
+    assert "Exchange" not in long._jdf.queryExecution().toString()
+    only = unpivot_cells(rows, r"YR\d{4}", strip_prefix=2, ignore_case=False)
+    assert [tuple(r) for r in only.collect()] == [("x", "1999", "1")]
+    assert as_cells(a.select("id"), ["id"]).first().cells == {}
+    assert unpivot_cells(as_cells(a.select("id"), ["id"]), ".*").collect() == []
+
+
+def test_survivorship(spark):
+    """Any number of lists, missing columns, NULL codes, ties; one shuffle."""
+    from statlake.operators.dims import survivorship
+
+    one = spark.createDataFrame([("A", "a1"), ("A", "a0"), ("B", None), (None, "x")], "code string, name string")
+    two = spark.createDataFrame([("A", "zz", "r2"), ("B", "b", None), ("C", None, None)], "iso string, label string, region string")
+    three = spark.createDataFrame([("B", "late", "r3"), ("D", "d", "r4")], "code string, name string, region string")
+    lists = [("one", one, {}), ("two", two, {"code": "iso", "name": "label"}), ("three", three, {})]
+    out = survivorship(lists, "code", ["name", "region"])
+    assert out.columns == ["code", "name", "name_source", "region", "region_source"]
+    assert sorted(map(tuple, out.collect())) == [
+        ("A", "a0", "one", "r2", "two"), ("B", "b", "two", "r3", "three"), ("C", None, None, None, None), ("D", "d", "three", "r4", "three"),
+    ]
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    plain = survivorship(lists[::-1], "code", ["name"], provenance=False)
+    assert {r.code: r.name for r in plain.collect()} == {"A": "zz", "B": "late", "C": None, "D": "d"}
+    for wrong in ([], [("two", two, {})]):
+        with pytest.raises(ValueError):
+            survivorship(wrong, "code", ["name"])

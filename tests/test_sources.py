@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from statlake.sources.csv import read_csv, write_csv
@@ -139,3 +141,21 @@ def test_layout_from_yaml(workdir):
     assert layout.bronze("wb_edstats") == "/shared/lake/bronze/wb_edstats"
     assert layout.raw(layout.edstats_file) == "/shared/lake/raw/ed/Ed.csv"
     assert set(layout.namespaces()) == {"bronze", "silver", "gold"}
+
+
+def test_csv_torn_records(spark, workdir):
+    """Each record is in one part: whole ones unchanged, torn ones with file, reason and text."""
+    from statlake.sources.csv import land_csv, read_csv_checked
+
+    for name, body in (("a.csv", 'k,v\n1,"x, y"\n2\n3,z,more\n'), ("b.csv", 'k,v\n4,\n"5","multi\nline"\n')):
+        os.makedirs(workdir + "/raw", exist_ok=True)
+        with open(f"{workdir}/raw/{name}", "w") as fh:
+            fh.write(body)
+    rows, torn = land_csv(spark, workdir + "/raw", ["k", "v"], workdir + "/landed", multiline=True)
+    assert sorted(map(tuple, rows.collect()), key=repr) == [("1", "x, y"), ("4", None), ("5", "multi\nline")]
+    assert sorted((os.path.basename(r.file), r.reason, r.record.strip()) for r in torn.collect()) == [
+        ("a.csv", "too few fields", "2"), ("a.csv", "too many fields", "3,z,more"),
+    ]
+    assert "PartitionFilters: [isnotnull(torn" in rows._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        read_csv_checked(spark, workdir + "/raw", ["k", "file"])
