@@ -2,12 +2,17 @@
 
 Lines are normalised (A-Z lower-cased, every other ASCII character but digits and letters a
 separator) and counted as sequences of word hashes. Equal sequences are one
-class, counted before any shuffle of occurrences. Classes get a 64-bit SimHash
-of their words; classes within ``max_bits`` differing bits meet in pigeonhole blocks
-(``max_bits + spare`` blocks; at least ``spare`` of them agree, and each choice
-of ``spare`` blocks is a key). With ``complete`` classes meet in word n-grams too,
-whatever their SimHashes, so that no pair of the wanted similarity is missed
-(:func:`gram_blocks`). Pairs are verified by edit similarity over
+class, counted before any shuffle of occurrences.
+
+Classes meet in pigeonhole blocks. Edits cut a line into runs of untouched words, so two lines of
+the wanted edit similarity share a run of some length (:func:`shared_run`). Of each window of
+n-grams that fits into such a run, a line takes the one of the least hash as a key: whatever the
+window is in the other line, the same one is least there, so the two have a key in common.
+
+Inside a block the SimHash decides which pairs are compared. Of its 64 bits those whose majority the
+allowed edits cannot overturn are firm; two lines that differ in a firm bit of either
+cannot be alike, and a pair that differs in none goes on. (With ``max_bits``, lines must also
+differ in at most so many bits to count as alike.) What is left is verified by edit similarity over
 words and connected through pivots (:mod:`statlake.llm.linking`). Of each group
 the first occurrence (by document id, text hash, line number) stays.
 """
@@ -15,7 +20,6 @@ the first occurrence (by document id, text hash, line number) stays.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +69,12 @@ class Lines:
 
     def simhashes(self, chosen: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
         """64-bit SimHash of the chosen lines: per bit, what most words have."""
-        out = np.zeros(len(chosen), np.uint64)
+        return self.firm_simhashes(chosen, np.zeros(len(chosen), np.int64), chunk)[0]
+
+    def firm_simhashes(self, chosen: np.ndarray, edits: np.ndarray, chunk: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+        """SimHashes of the chosen lines, and which of their bits so many edits leave as they are:
+        an edit takes one word and puts another, so it moves a bit's majority by two at most."""
+        out, firm = np.zeros(len(chosen), np.uint64), np.zeros(len(chosen), np.uint64)
         size = np.cumsum(self.words[chosen])
         lo = 0
         while lo < len(chosen):
@@ -75,10 +84,12 @@ class Lines:
             edge = np.concatenate([[0], np.cumsum(n)])
             place = np.repeat(self.at[some] - edge[:-1], n) + np.arange(edge[-1])
             bits = np.unpackbits(mix(self.h[place]).view(np.uint8).reshape(-1, 8), axis=1)
-            ones = np.add.reduceat(bits, edge[:-1], axis=0, dtype=np.int32)
-            out[lo:hi] = np.packbits(2 * ones > n[:, None], axis=1).reshape(-1).view(np.uint64)
+            lead = 2 * np.add.reduceat(bits, edge[:-1], axis=0, dtype=np.int32) - n[:, None]
+            most = 2 * edits[lo:hi, None]
+            out[lo:hi] = np.packbits(lead > 0, axis=1).reshape(-1).view(np.uint64)
+            firm[lo:hi] = np.packbits((lead > most) | (lead <= -most), axis=1).reshape(-1).view(np.uint64)
             lo = hi
-        return out
+        return out, firm
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
@@ -108,26 +119,28 @@ def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
     return score
 
 
-def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
+def _occurrences(docs: DataFrame, similarity: float, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1024, 2 << 20):
                 lines = Lines(part.column("text"))
                 some = np.flatnonzero(lines.words >= min_words)
                 of = pa.array(lines.owner[some])
+                sim, firm = lines.firm_simhashes(some, _most_edits(lines.words[some], similarity))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(of),
                         part.column("tie").take(of),
                         pa.array(lines.number[some]),
                         pa.array(lines.digests()[some]),
-                        pa.array(lines.simhashes(some).view(np.int64)),
-                        pa.array(lines.words[some].astype(np.int64)),
+                        pa.array(sim.view(np.int64)),
+                        pa.array(firm.view(np.int64)),
+                        pa.array(lines.words[some].astype(np.int32)),
                     ],
-                    ["doc_id", "tie", "number", "line", "sim", "words"],
+                    ["doc_id", "tie", "number", "line", "sim", "firm", "words"],
                 )
 
-    return docs.mapInArrow(run, "doc_id bigint, tie bigint, number bigint, line bigint, sim bigint, words bigint")
+    return docs.mapInArrow(run, "doc_id bigint, tie bigint, number bigint, line bigint, sim bigint, firm bigint, words int")
 
 
 def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame:
@@ -147,14 +160,6 @@ def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame
     return docs.select("text").mapInArrow(run, "line bigint, seq binary")
 
 
-def block_keys(sim: str, max_bits: int, spare: int) -> str:
-    """SQL array of keys: each choice of ``spare`` among ``max_bits + spare`` bit blocks."""
-    n = max_bits + spare
-    edge = [64 * i // n for i in range(n + 1)]
-    part = [f"(shiftrightunsigned({sim}, {a}) & {(1 << (b - a)) - 1}L)" for a, b in zip(edge, edge[1:])]
-    return "array(" + ", ".join(f"xxhash64({k}, {', '.join(part[i] for i in c)})" for k, c in enumerate(combinations(range(n), spare))) + ")"
-
-
 def max_edits(words: np.ndarray | int, similarity: float) -> np.ndarray:
     """Most edits between two lines of edit similarity ``similarity`` or more, the longer of ``words`` words."""
     return np.floor((1 - similarity) * np.asarray(words) + 1e-9).astype(np.int64)
@@ -165,14 +170,24 @@ def _most_edits(words: np.ndarray, similarity: float) -> np.ndarray:
     return max_edits(np.floor(words / similarity + 1e-9), similarity)
 
 
+def shared_run(words: np.ndarray, similarity: float) -> np.ndarray:
+    """How many words in a row a line of ``words`` words shares with any line alike that is not equal to it,
+    at least (0: such a line does not exist). With d edits, the words of the longer line that stay
+    as they are stand in d + 1 runs at most."""
+    out = np.full(len(words), np.iinfo(np.int64).max)
+    longest = np.floor(words / similarity + 1e-9).astype(np.int64)
+    for more in range(int((longest - words).max(initial=-1)) + 1):
+        n = words + more
+        d = max_edits(n, similarity)
+        run = -(-(n - d) // (d + 1))
+        out = np.where((n <= longest) & (d > 0), np.minimum(out, run), out)
+    return np.where(out == np.iinfo(np.int64).max, 0, out)
+
+
 def gram_size(similarity: float, min_words: int) -> int:
-    """Words in an n-gram: a line has one n-gram more than it has edits, side by side (4 at most)."""
-    n = np.arange(max(min_words, 1), 1000)
-    d = _most_edits(n, similarity)
-    q = int(min(4, (n // (d + 1))[d > 0].min(initial=4)))
-    if q < 1:
-        raise ValueError(f"no complete candidates for an edit similarity of {similarity}")
-    return q
+    """Words in an n-gram: one less than the shortest shared run, so a window holds several (1 to 4)."""
+    runs = shared_run(np.arange(max(min_words, 1), 1000), similarity)
+    return int(np.clip(runs[runs > 0].min(initial=5) - 1, 1, 4))
 
 
 def _grams(h: np.ndarray, q: int) -> np.ndarray:
@@ -183,34 +198,34 @@ def _grams(h: np.ndarray, q: int) -> np.ndarray:
     return s
 
 
-def _frequent(docs: DataFrame, q: int, min_words: int, kept: int = 1 << 15) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """The most frequent words and n-grams of a sample: hashes, ascending, and counts.
-    They set the order of n-grams only; any order finds the same links."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 1024, 2 << 20):
-                lines = Lines(part.column("text"))
-                for kind, h in (("word", lines.h), ("gram", _grams(lines.h, q))):
-                    h, n = np.unique(h, return_counts=True)
-                    some = n > (0 if kind == "word" else 1)
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * int(some.sum()), pa.string()), pa.array(h[some].view(np.int64)), pa.array(n[some])], ["kind", "h", "n"])
-
-    counts = docs.select("text").sample(False, 0.05, 7).mapInArrow(run, "kind string, h bigint, n bigint").groupBy("kind", "h").agg(F.sum("n").alias("n"))
-    counts, out = stored(counts, "line-frequencies"), {}
-    for kind in ("word", "gram"):
-        rows = counts.filter(F.col("kind") == kind).orderBy(F.desc("n"), "h").limit(kept).collect()
-        h, n = np.array([r.h for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
-        order = np.argsort(h)
-        out[kind] = h[order], n[order]
-    return out
-
+def line_keys(lines: Lines, some: np.ndarray, similarity: float, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """The place in ``some`` and the hash of each key: of every window of a line's n-grams the least.
 
-def _looked_up(h: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    if not len(table[0]):
-        return np.zeros(len(h), np.int64)
-    at = np.minimum(np.searchsorted(table[0], h), len(table[0]) - 1)
-    return np.where(table[0][at] == h, table[1][at], 0)
+    A window is as long as the n-grams in a shared run. Lines alike may have windows of different
+    length; the least n-gram of the longer is the least of every shorter one around it as well.
+    """
+    gram = _grams(lines.h, q)
+    run = shared_run(lines.words[some], similarity)
+    width = np.where(run > 0, np.maximum(run - q + 1, 1), 0)
+    owners, places = [], []
+    for w in np.unique(width[width > 0]).tolist():
+        use = np.flatnonzero(width == w)
+        n = lines.words[some[use]] - q - w + 2  # windows of each line
+        use, n = use[n > 0], n[n > 0]
+        edge = np.concatenate([[0], np.cumsum(n)])
+        owner = np.repeat(use, n)
+        start = lines.at[some[use]].repeat(n) + np.arange(edge[-1]) - edge[:-1].repeat(n)
+        least, at = gram[start], start.copy()
+        for j in range(1, w):
+            other = gram[start + j]
+            less = other < least
+            least, at = np.where(less, other, least), np.where(less, start + j, at)
+        new = np.concatenate([[len(at) > 0], (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])])[: len(at)]
+        owners.append(owner[new])
+        places.append(at[new])
+    if not owners:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(owners), gram[np.concatenate(places)]
 
 
 def odd_words(seqs: pa.Array) -> np.ndarray:
@@ -260,29 +275,25 @@ def line_prefixes(lines: Lines, some: np.ndarray, similarity: float, q: int, fre
     return use[owner[first]], gram[order][first]
 
 
-def gram_blocks(docs: DataFrame, similarity: float, min_words: int) -> DataFrame:
-    """``key, node, words``: line classes by their :func:`line_prefixes`, of n-grams that two or more share.
-
-    Any two classes of edit similarity ``similarity`` or more have a key in common.
-    """
+def line_blocks(docs: DataFrame, similarity: float, min_words: int) -> DataFrame:
+    """``key, node, words``: line classes by their :func:`line_keys`, of keys that two or more share."""
     q = gram_size(similarity, min_words)
-    frequent = _frequent(docs, q, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1024, 2 << 20):
                 lines = Lines(part.column("text"))
                 digest = lines.digests()
-                some = np.flatnonzero(lines.words >= min_words)
+                some = np.flatnonzero(lines.words >= max(min_words, q))
                 some = some[np.unique(digest[some], return_index=True)[1]]
-                of, gram = line_prefixes(lines, some, similarity, q, frequent)
+                of, gram = line_keys(lines, some, similarity, q)
                 # 48 bits of the n-gram, 16 of the number of words: rows of two numbers
                 size = np.minimum(lines.words[some[of]], 0xFFFF).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array((gram & ~np.uint64(0xFFFF) | size).view(np.int64)), pa.array(digest[some[of]])], ["gram", "node"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(key: np.ndarray, node: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(key[keep] >> 16), pa.array(node[keep]), pa.array(key[keep] & 0xFFFF)], ["key", "node", "words"])
+            return pa.RecordBatch.from_arrays([pa.array(key[keep] >> 16), pa.array(node[keep])], ["key", "node"])
 
         key, node, met = np.zeros(0, np.int64), np.zeros(0, np.int64), False
         for batch in batches:  # sorted: the last row waits for the next, ``met`` if it has its key from the one before
@@ -302,27 +313,22 @@ def gram_blocks(docs: DataFrame, similarity: float, min_words: int) -> DataFrame
 
     sent = docs.select("text").mapInArrow(run, "gram bigint, node bigint")
     sent = sent.repartition(shuffle_partitions(docs.sparkSession), F.expr("shiftright(gram, 16)")).sortWithinPartitions("gram", "node")
-    return stored(sent.mapInArrow(shared, "key bigint, node bigint, words bigint"), "line-grams")
+    return stored(sent.mapInArrow(shared, "key bigint, node bigint"), "line-keys")
 
 
 def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_bits: int, min_words: int, complete: bool = False) -> DataFrame:
     """``line, label`` of line classes that are linked to others."""
-    classes = stored(occurrences.groupBy("line").agg(F.first("sim").alias("sim"), F.first("words").alias("words")), "line-classes")
-    n = classes.count()
-    # keys about as long as the number of classes has bits: blocks stay small at any size
-    spare = next((s for s in (1, 2, 3) if 64 * s // (max_bits + s) >= np.log2(max(n, 2)) - 5), 4)
-    keyed = classes.select(F.explode(F.expr(block_keys("sim", max_bits, spare))).alias("key"), F.col("line").alias("node"), "sim", "words")
+    bits = 64 if complete else max_bits
+    keyed = line_blocks(docs, similarity, min_words)
+    attrs = occurrences.groupBy(F.col("line").alias("l")).agg(*[F.first(c).alias(c) for c in ("sim", "firm", "words")])
+    keyed = stored(keyed.join(attrs, F.col("node") == F.col("l")).select("key", "node", "sim", "firm", "words"), "line-blocks")
     sized = f"least(x.words, y.words) >= {similarity} * greatest(x.words, y.words)"
-    near = f"x.node <> y.node AND bit_count(x.sim ^ y.sim) <= {max_bits} AND {sized}"
+    near = f"x.node <> y.node AND (x.sim ^ y.sim) & (x.firm | y.firm) = 0 AND bit_count(x.sim ^ y.sim) <= {bits} AND {sized}"
     # classes with a near one in their block: a semi join stops at the first
-    sides = keyed.select("key", F.struct("node", "sim", "words").alias("x"))
+    sides = keyed.select("key", F.struct("node", "sim", "firm", "words").alias("x"))
     other = sides.select(F.col("key").alias("k"), F.col("x").alias("y"))
     met = sides.join(other, (F.col("key") == F.col("k")) & F.expr(near), "left_semi")
     blocks = stored(met.select("key", "x.*"), "line-blocks")
-    if complete:  # blocks of n-grams have no SimHash: there the words alone decide
-        near = f"x.node <> y.node AND coalesce(bit_count(x.sim ^ y.sim) <= {max_bits}, true) AND {sized}"
-        grams = gram_blocks(docs, similarity, min_words).withColumn("sim", F.lit(None).cast("bigint"))
-        blocks = stored(blocks.unionByName(grams.select("key", "node", "sim", "words")), "line-blocks")
     nodes = blocks.select("node").distinct()
     wanted = bitmap_of(F.col("node"), nodes)  # a digest is a hash already
     seqs = _word_rows(docs, wanted, min_words).join(nodes.withColumnRenamed("node", "line"), "line", "left_semi")
@@ -342,7 +348,7 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
         left, right = (seqs.select(F.col("line").alias(c), F.col("seq").alias(f"s{c}")) for c in ("a", "b"))
         return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(alike, "a bigint, b bigint")
 
-    return linked_groups(blocks, ["sim", "words"], near, verify).withColumnRenamed("node", "line")
+    return linked_groups(blocks, ["sim", "firm", "words"], near, verify).withColumnRenamed("node", "line")
 
 
 def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, complete: bool = False) -> DataFrame:
@@ -351,7 +357,7 @@ def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3,
     ``tie`` is ``xxhash64`` of the text. Rows equal in id and text are one document here.
     """
     rows = pick(docs, {"doc_id": "bigint", "text": "string"}).withColumn("tie", F.xxhash64("text"))
-    found = stored(_occurrences(rows, min_words), "line-occurrences")
+    found = stored(_occurrences(rows, similarity, min_words), "line-occurrences")
     labels = line_groups(found, rows, similarity, max_bits, min_words, complete)
     labels = labels.select(F.col("line").alias("l"), "label")
     place = F.struct("doc_id", "tie", "number")

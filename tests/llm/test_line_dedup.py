@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from statlake.llm.line_dedup import Lines, edit_distance, without_duplicate_lines
+from statlake.llm.line_dedup import Lines, _most_edits, edit_distance, gram_size, line_keys, shared_run, without_duplicate_lines
 from statlake.llm.queries import op10_line_dedup
 
 from ..conftest import SF_SMALL
@@ -69,9 +69,11 @@ def test_edit_distance():
 
 def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
-    want, links = brute(rows)
-    got = {r.doc_id: (r.text, r.n_removed) for r in op10_line_dedup(spark, SF_SMALL).collect()}
-    assert got == want and links > 5
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    for bits in (0, 3, 10):
+        want, links = brute(rows, similarity=0.9 - 1e-9, max_bits=bits)
+        got = {r.doc_id: (r.text, r.n_removed) for r in without_duplicate_lines(docs, max_bits=bits).collect()}
+        assert got == want and (links > 5 or bits == 0)
 
 
 def test_lines_with_small_edits(spark):
@@ -154,3 +156,30 @@ def test_complete_finds_all_that_is_alike(spark):
     got, before = found(complete=True), found()
     print(f"recall {len(got & {j for _, j in alike})} of {len(alike)}, by SimHash alone {len(before)}")
     assert got == {j for _, j in alike} and len(alike) > 40 and len(before) < len(got) // 2
+
+
+def test_lines_alike_share_a_key_and_their_firm_bits():
+    """Random edits up to the limit, also at one place and at the ends, for several similarities."""
+    random.seed(11)
+    for similarity in (0.9, 0.8, 0.95):
+        q = gram_size(similarity, 5)
+        pairs = []
+        for n in [*range(5, 45), 60, 99, 100, 101, 250]:
+            for _ in range(12):
+                a = [f"w{random.randrange(500)}" for _ in range(n)]
+                b = list(a)
+                for _ in range(int((1 - similarity) * n + 1e-9)):
+                    i = random.choice([0, len(b) - 1, len(b) // 2, random.randrange(len(b))])
+                    kind = random.choice("sid")
+                    b[i : i + (kind != "i")] = [] if kind == "d" else [f"w{random.randrange(500)}"]
+                if a != b and len(b) >= 5 and distance(a, b) <= (1 - similarity) * max(len(a), len(b)) + 1e-9:
+                    pairs.append((a, b))
+        lines = Lines(pa.array([" ".join(x) for p in pairs for x in p]))
+        some = np.arange(len(lines.words))
+        of, key = line_keys(lines, some, similarity, q)
+        sim, firm = lines.firm_simhashes(some, _most_edits(lines.words, similarity))
+        for i in range(0, len(some), 2):
+            assert set(key[of == i].tolist()) & set(key[of == i + 1].tolist()), pairs[i // 2]
+            assert not (sim[i] ^ sim[i + 1]) & (firm[i] | firm[i + 1])
+        assert len(pairs) > 300 and (firm != 0).mean() > 0.5
+    assert shared_run(np.array([5, 8, 9, 10, 18, 20]), 0.9).tolist() == [0, 0, 5, 5, 6, 6]
