@@ -4,15 +4,14 @@ Lines are normalised (A-Z lower-cased, every other ASCII character but digits an
 separator) and counted as sequences of word hashes. Equal sequences are one
 class, counted before any shuffle of occurrences.
 
-Classes meet in pigeonhole blocks. Edits cut a line into runs of untouched words, so two lines of
-the wanted edit similarity share a run of some length (:func:`shared_run`). Of each window of
-n-grams that fits into such a run, a line takes the one of the least hash as a key: whatever the
-window is in the other line, the same one is least there, so the two have a key in common.
+Classes meet in pigeonhole blocks. If a line of d possible edits has d + 1 n-grams side by side, one of
+them is untouched in any line alike. Each line gives its first n-grams, in an order that all lines
+have, until there are so many; two lines alike have one of them in common (:func:`line_keys`).
 
 Inside a block the SimHash decides which pairs are compared. Of its 64 bits those whose majority the
 allowed edits cannot overturn are firm; two lines that differ in a firm bit of either
-cannot be alike, and a pair that differs in none goes on. (With ``max_bits``, lines must also
-differ in at most so many bits to count as alike.) What is left is verified by edit similarity over
+cannot be alike. Nor can they if more words differ, by a sketch of 128 parities, than edits can change.
+(With ``max_bits``, lines must also differ in at most so many bits of their SimHashes to count as alike.) What is left is verified by edit similarity over
 words and connected through pivots (:mod:`statlake.llm.linking`). Of each group
 the first occurrence (by document id, text hash, line number) stays.
 """
@@ -40,6 +39,10 @@ _P = np.uint64(0xC2B2AE3D27D4EB4F)
 _P_INV = np.uint64(pow(int(_P), -1, 2**64))
 
 
+#: what a line class shows of its words in a block
+LINE_ATTRS = ["sim", "firm", "odd1", "odd2", "words"]
+
+
 class Lines:
     """Lines of some texts: ``owner`` text, ``number`` in it, ``words``, and the word
     hashes ``h`` with the n+1 offsets ``at`` of the lines in them."""
@@ -92,6 +95,21 @@ class Lines:
         return out, firm
 
 
+    def odd_words(self, chosen: np.ndarray) -> np.ndarray:
+        """128 bits of each chosen line (two columns): whether an odd number of its words falls on the
+        bit. An edit takes a word and puts another, so it turns two bits at most."""
+        n = self.words[chosen]
+        edge = np.concatenate([[0], np.cumsum(n)])
+        h = self.h[np.repeat(self.at[chosen] - edge[:-1], n) + np.arange(edge[-1])]
+        bit = np.uint64(1) << (h & np.uint64(63))
+        upper = (h >> np.uint64(6) & np.uint64(1)).astype(bool)
+        out = np.zeros((len(chosen), 2), np.uint64)
+        if len(chosen):
+            out[:, 0] = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), edge[:-1])
+            out[:, 1] = np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), edge[:-1])
+        return out
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
     """Levenshtein distance of two word sequences: common ends are cut off, the
     rest is counted bit-parallel (one big integer per column)."""
@@ -127,6 +145,7 @@ def _occurrences(docs: DataFrame, similarity: float, min_words: int) -> DataFram
                 some = np.flatnonzero(lines.words >= min_words)
                 of = pa.array(lines.owner[some])
                 sim, firm = lines.firm_simhashes(some, _most_edits(lines.words[some], similarity))
+                odd = lines.odd_words(some).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(of),
@@ -135,12 +154,14 @@ def _occurrences(docs: DataFrame, similarity: float, min_words: int) -> DataFram
                         pa.array(lines.digests()[some]),
                         pa.array(sim.view(np.int64)),
                         pa.array(firm.view(np.int64)),
+                        pa.array(np.ascontiguousarray(odd[:, 0])),
+                        pa.array(np.ascontiguousarray(odd[:, 1])),
                         pa.array(lines.words[some].astype(np.int32)),
                     ],
-                    ["doc_id", "tie", "number", "line", "sim", "firm", "words"],
+                    ["doc_id", "tie", "number", "line", "sim", "firm", "odd1", "odd2", "words"],
                 )
 
-    return docs.mapInArrow(run, "doc_id bigint, tie bigint, number bigint, line bigint, sim bigint, firm bigint, words int")
+    return docs.mapInArrow(run, "doc_id bigint, tie bigint, number bigint, line bigint, sim bigint, firm bigint, odd1 bigint, odd2 bigint, words int")
 
 
 def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame:
@@ -170,24 +191,11 @@ def _most_edits(words: np.ndarray, similarity: float) -> np.ndarray:
     return max_edits(np.floor(words / similarity + 1e-9), similarity)
 
 
-def shared_run(words: np.ndarray, similarity: float) -> np.ndarray:
-    """How many words in a row a line of ``words`` words shares with any line alike that is not equal to it,
-    at least (0: such a line does not exist). With d edits, the words of the longer line that stay
-    as they are stand in d + 1 runs at most."""
-    out = np.full(len(words), np.iinfo(np.int64).max)
-    longest = np.floor(words / similarity + 1e-9).astype(np.int64)
-    for more in range(int((longest - words).max(initial=-1)) + 1):
-        n = words + more
-        d = max_edits(n, similarity)
-        run = -(-(n - d) // (d + 1))
-        out = np.where((n <= longest) & (d > 0), np.minimum(out, run), out)
-    return np.where(out == np.iinfo(np.int64).max, 0, out)
-
-
 def gram_size(similarity: float, min_words: int) -> int:
-    """Words in an n-gram: one less than the shortest shared run, so a window holds several (1 to 4)."""
-    runs = shared_run(np.arange(max(min_words, 1), 1000), similarity)
-    return int(np.clip(runs[runs > 0].min(initial=5) - 1, 1, 4))
+    """Words in an n-gram: every line has one n-gram more than edits, side by side (1 to 3)."""
+    n = np.arange(max(min_words, 1), 1000)
+    d = _most_edits(n, similarity)
+    return int(np.clip((n // (d + 1))[d > 0].min(initial=3), 1, 3))
 
 
 def _grams(h: np.ndarray, q: int) -> np.ndarray:
@@ -199,64 +207,20 @@ def _grams(h: np.ndarray, q: int) -> np.ndarray:
 
 
 def line_keys(lines: Lines, some: np.ndarray, similarity: float, q: int) -> tuple[np.ndarray, np.ndarray]:
-    """The place in ``some`` and the hash of each key: of every window of a line's n-grams the least.
+    """The place in ``some`` and the hash of each key of a line: n-grams that lines alike share.
 
-    A window is as long as the n-grams in a shared run. Lines alike may have windows of different
-    length; the least n-gram of the longer is the least of every shorter one around it as well.
-    """
-    gram = _grams(lines.h, q)
-    run = shared_run(lines.words[some], similarity)
-    width = np.where(run > 0, np.maximum(run - q + 1, 1), 0)
-    owners, places = [], []
-    for w in np.unique(width[width > 0]).tolist():
-        use = np.flatnonzero(width == w)
-        n = lines.words[some[use]] - q - w + 2  # windows of each line
-        use, n = use[n > 0], n[n > 0]
-        edge = np.concatenate([[0], np.cumsum(n)])
-        owner = np.repeat(use, n)
-        start = lines.at[some[use]].repeat(n) + np.arange(edge[-1]) - edge[:-1].repeat(n)
-        least, at = gram[start], start.copy()
-        for j in range(1, w):
-            other = gram[start + j]
-            less = other < least
-            least, at = np.where(less, other, least), np.where(less, start + j, at)
-        new = np.concatenate([[len(at) > 0], (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])])[: len(at)]
-        owners.append(owner[new])
-        places.append(at[new])
-    if not owners:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(owners), gram[np.concatenate(places)]
-
-
-def odd_words(seqs: pa.Array) -> np.ndarray:
-    """256 bits of each word sequence: whether an odd number of its words falls on the bit."""
-    out = np.zeros((len(seqs), 4), np.uint64)
-    rows = [np.frombuffer(s, "<u4") for s in seqs.to_pylist()]
-    size = np.array([len(r) for r in rows], np.int64)
-    h = np.concatenate([np.zeros(0, "<u4"), *rows])
-    bit = np.uint64(1) << (h & 63).astype(np.uint64)
-    np.bitwise_xor.at(out, (np.repeat(np.arange(len(rows)), size), (h >> 6 & 3).astype(np.int64)), bit)
-    return out
-
-
-def line_prefixes(lines: Lines, some: np.ndarray, similarity: float, q: int, frequent: dict) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams that lines alike share: the place in ``some`` and the n-gram's hash.
-
-    A line's n-grams are put in an order that all lines have (frequent ones last) and taken
-    until one more than its most edits lie side by side. So many edits cannot touch all of
-    them; of two lines alike, all that the one with the earlier last n-gram took and the edits
-    left stand in the other, before its last one too: they share one taken n-gram.
+    A line's n-grams are taken in the order of their hashes until one more than its most edits lie side
+    by side (or all are taken): so many edits cannot touch them all. Of two lines alike, let one be
+    that whose last key comes first in that order: one of its keys is untouched, stands in the other
+    line, and before that line's last key, so it is a key of both.
     """
     need = _most_edits(lines.words[some], similarity) + 1
-    use = np.flatnonzero(need > 1)  # the others are alike only if equal
+    use = np.flatnonzero((need > 1) & (lines.words[some] >= q))  # the others are alike only if equal
     n = lines.words[some[use]] - q + 1
     edge = np.concatenate([[0], np.cumsum(n)])
     owner = np.repeat(np.arange(len(use)), n)
-    place = lines.at[some[use]][owner] + np.arange(edge[-1]) - edge[:-1][owner]
-    gram = _grams(lines.h, q)[place]
-    common = np.log2(1.0 + _looked_up(lines.h, frequent["word"]))
-    common = sum(common[place + j] for j in range(q)) if len(place) else np.zeros(0)
-    order = np.lexsort((gram, np.round(common).astype(np.int64), _looked_up(gram, frequent["gram"]), owner))
+    gram = _grams(lines.h, q)[lines.at[some[use]][owner] + np.arange(edge[-1]) - edge[:-1][owner]]
+    order = np.lexsort((gram, owner))
     # in step for all lines: the next n-gram counts unless it overlaps a counted one
     taken, counted = np.zeros(len(use), np.int64), np.zeros(len(use), np.int64)
     blocked = np.zeros(edge[-1], bool)
@@ -320,12 +284,15 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
     """``line, label`` of line classes that are linked to others."""
     bits = 64 if complete else max_bits
     keyed = line_blocks(docs, similarity, min_words)
-    attrs = occurrences.groupBy(F.col("line").alias("l")).agg(*[F.first(c).alias(c) for c in ("sim", "firm", "words")])
-    keyed = stored(keyed.join(attrs, F.col("node") == F.col("l")).select("key", "node", "sim", "firm", "words"), "line-blocks")
+    attrs = occurrences.groupBy(F.col("line").alias("l")).agg(*[F.first(c).alias(c) for c in LINE_ATTRS])
+    keyed = stored(keyed.join(attrs, F.col("node") == F.col("l")).select("key", "node", *LINE_ATTRS), "line-blocks")
     sized = f"least(x.words, y.words) >= {similarity} * greatest(x.words, y.words)"
-    near = f"x.node <> y.node AND (x.sim ^ y.sim) & (x.firm | y.firm) = 0 AND bit_count(x.sim ^ y.sim) <= {bits} AND {sized}"
+    # the SimHashes agree where edits cannot change them, and no more words differ than edits can change
+    edits = f"floor({1 - similarity + 1e-9} * greatest(x.words, y.words))"
+    differ = f"bit_count(x.odd1 ^ y.odd1) + bit_count(x.odd2 ^ y.odd2) <= 2 * {edits}"
+    near = f"x.node <> y.node AND (x.sim ^ y.sim) & (x.firm | y.firm) = 0 AND {differ} AND bit_count(x.sim ^ y.sim) <= {bits} AND {sized}"
     # classes with a near one in their block: a semi join stops at the first
-    sides = keyed.select("key", F.struct("node", "sim", "firm", "words").alias("x"))
+    sides = keyed.select("key", F.struct("node", *LINE_ATTRS).alias("x"))
     other = sides.select(F.col("key").alias("k"), F.col("x").alias("y"))
     met = sides.join(other, (F.col("key") == F.col("k")) & F.expr(near), "left_semi")
     blocks = stored(met.select("key", "x.*"), "line-blocks")
@@ -336,19 +303,17 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = np.bitwise_count(odd_words(batch.column("sa")) ^ odd_words(batch.column("sb"))).sum(axis=1, dtype=np.int64)
             ok = []
-            for x, y, bits in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), far.tolist(), strict=True):
+            for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
                 u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                # an edit takes a word or puts one, or both: at most two bits
-                ok.append(bits <= 2 * max_edits(max(len(u), len(v)), similarity) and edit_distance(u, v) <= max_edits(max(len(u), len(v)), similarity))
+                ok.append(edit_distance(u, v) <= max_edits(max(len(u), len(v)), similarity))
             yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     def verify(pairs: DataFrame) -> DataFrame:
         left, right = (seqs.select(F.col("line").alias(c), F.col("seq").alias(f"s{c}")) for c in ("a", "b"))
         return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(alike, "a bigint, b bigint")
 
-    return linked_groups(blocks, ["sim", "firm", "words"], near, verify).withColumnRenamed("node", "line")
+    return linked_groups(blocks, LINE_ATTRS, near, verify).withColumnRenamed("node", "line")
 
 
 def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, complete: bool = False) -> DataFrame:
