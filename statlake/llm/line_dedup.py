@@ -220,7 +220,9 @@ def line_keys(lines: Lines, some: np.ndarray, similarity: float, q: int) -> tupl
     edge = np.concatenate([[0], np.cumsum(n)])
     owner = np.repeat(np.arange(len(use)), n)
     gram = _grams(lines.h, q)[lines.at[some[use]][owner] + np.arange(edge[-1]) - edge[:-1][owner]]
-    order = np.lexsort((gram, owner))
+    # one number to sort by: the line, then the leading bits of the hash, enough to tell a line's n-grams apart
+    bits = np.uint64(max(1, len(use)).bit_length())
+    order = np.argsort(owner.astype(np.uint64) << (np.uint64(64) - bits) | gram >> bits)
     # in step for all lines: the next n-gram counts unless it overlaps a counted one
     taken, counted = np.zeros(len(use), np.int64), np.zeros(len(use), np.int64)
     blocked = np.zeros(edge[-1], bool)
