@@ -3,8 +3,8 @@
 Each stage takes what its predecessor kept, as written and reread Parquet, and
 calls one operator of ``statlake.llm``. All but the last return the columns of
 ``documents``. No stage has SQL: the classifier is trained, lines and shingles are linked by
-similarity, and the mix is drawn; ``tests/llm`` checks stages and rows against
-brute force.
+similarity, and the mix is drawn; ``tests/llm`` checks each operator against
+brute force and the stages in their order.
 """
 
 from __future__ import annotations
