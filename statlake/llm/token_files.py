@@ -36,31 +36,63 @@ from statlake.session import scratch_dir
 LENGTHS = np.stack([((np.arange(256) >> (2 * k)) & 3) + 1 for k in range(4)], axis=1).astype(np.int64)
 
 
-def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
-    """``(control, data)`` of unsigned values below 2^32."""
+def encode_documents(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(control, its offsets, data, its offsets)`` of documents one after the other.
+
+    ``values`` are unsigned and below 2^32, ``at`` the n+1 offsets of the documents in
+    them. Every document begins a control byte of its own.
+    """
     v = np.ascontiguousarray(values, dtype="<u4")
+    n = np.diff(at)
+    head = np.concatenate([[0], np.cumsum(-(-n // 4))])
     extra = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
-    code = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    code[: len(v)] = extra
+    code = np.zeros(4 * int(head[-1]), np.uint8)
+    code[np.arange(len(v)) + np.repeat(4 * head[:-1] - at[:-1], n)] = extra
     code = code.reshape(-1, 4)
     control = code[:, 0] | (code[:, 1] << 2) | (code[:, 2] << 4) | (code[:, 3] << 6)
-    keep = np.arange(4, dtype=np.uint8) <= extra[:, None]
-    return control.astype(np.uint8).tobytes(), v.view(np.uint8).reshape(-1, 4)[keep].tobytes()
+    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= extra[:, None]]
+    end = np.concatenate([[0], np.cumsum(extra.astype(np.int64) + 1)])
+    return control, head, data, end[at]
 
 
-def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` values written by :func:`encode_values`."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    end = np.cumsum(size)
-    raw = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)])
-    begin = end - size
-    out = raw[begin].astype(np.uint32)
+def decode_documents(control: np.ndarray, head: np.ndarray, data: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The values written by :func:`encode_documents`; ``n`` has each document's number of them."""
+    at = np.concatenate([[0], np.cumsum(n)])
+    size = LENGTHS[control].reshape(-1)[np.arange(at[-1]) + np.repeat(4 * head[:-1] - at[:-1], n)]
+    begin = np.cumsum(size) - size
+    out = data[begin].astype(np.uint32)
     for k in range(1, int(size.max(initial=1))):
         more = np.flatnonzero(size > k)
-        out[more] |= raw[begin[more] + k].astype(np.uint32) << np.uint32(8 * k)
+        out[more] |= data[begin[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
+def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
+    """``(control, data)`` of one document's values."""
+    control, _, data, _ = encode_documents(values, np.array([0, len(values)]))
+    return control.tobytes(), data.tobytes()
+
+
+def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
+    """The ``n`` values written by :func:`encode_values`."""
+    head = np.array([0, len(control)])
+    return decode_documents(np.frombuffer(control, np.uint8), head, np.frombuffer(data, np.uint8), np.array([n]))
+
+
+def _as_binary(raw: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Bytes and the n+1 offsets in them as a column."""
+    buffers = [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, buffers).cast(pa.binary())
+
+
+def _as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column without NULLs, and the n+1 offsets in them."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return raw[at[0] : at[-1]], at - at[0]
+
+
 def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Ids of each document (compressed), and at the end of each task its counts of ids."""
 
@@ -137,24 +169,25 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, segment, before = zstandard.ZstdDecompressor(), TaskContext.get().partitionId(), 0
         for batch in batches:
-            n = batch.column("n_tokens").to_numpy()
-            done = []
-            for blob, size in zip(batch.column("blob").to_pylist(), n.tolist(), strict=True):
-                raw = unpack.decompress(blob)
-                done.append(encode_values(rank[np.frombuffer(raw, "<u2" if len(raw) == 2 * size else "<u4")]))
-            sums = before + np.concatenate([[0], np.cumsum(n)])
-            before = int(sums[-1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(n), segment), pa.int64()),
-                    pa.array(sums[:-1], pa.int64()),
-                    batch.column("doc_id"),
-                    batch.column("n_tokens"),
-                    pa.array([c for c, _ in done], pa.binary()),
-                    pa.array([d for _, d in done], pa.binary()),
-                ],
-                ["segment", "n_before", "doc_id", "n_tokens", "control", "data"],
-            )
+            for part in slices(batch, "blob", 2048, 4 << 20):
+                n = part.column("n_tokens").to_numpy()
+                raw = [unpack.decompress(b) for b in part.column("blob").to_pylist()]
+                # all documents of a file have ids of one width
+                width = "<u2" if len(raw[0]) == 2 * n[0] else "<u4"
+                at = np.concatenate([[0], np.cumsum(n)])
+                control, head, data, end = encode_documents(rank[np.frombuffer(b"".join(raw), width)], at)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(n), segment), pa.int64()),
+                        pa.array(before + at[:-1], pa.int64()),
+                        part.column("doc_id"),
+                        part.column("n_tokens"),
+                        _as_binary(control, head),
+                        _as_binary(data, end),
+                    ],
+                    ["segment", "n_before", "doc_id", "n_tokens", "control", "data"],
+                )
+                before += int(at[-1])
 
     parts = ids.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), F.col("tie"))
     parts = parts.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
@@ -176,17 +209,19 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = []
-            columns = (batch.column(c).to_pylist() for c in ("control", "data", "n_tokens"))
-            for control, data, n in zip(*columns, strict=True):
-                raw.append(ids[decode_values(control, data, n)].tobytes())
-            out = [batch.column(c) for c in ("segment", "n_before", "doc_id", "n_tokens")]
-            out.append(pa.array([zlib.crc32(r) for r in raw], pa.int64()))
-            names = ["segment", "n_before", "doc_id", "n_tokens", "ids_crc32"]
-            if with_ids:
-                out.append(pa.array(raw, pa.binary()))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(out, names)
+            for part in slices(batch, "data", 2048, 8 << 20):
+                n = part.column("n_tokens").to_numpy()
+                control, head = _as_bytes(part.column("control"))
+                raw = ids[decode_documents(control, head, _as_bytes(part.column("data"))[0], n)].view(np.uint8)
+                at = np.concatenate([[0], np.cumsum(4 * n)])
+                cut = memoryview(raw)
+                out = [part.column(c) for c in ("segment", "n_before", "doc_id", "n_tokens")]
+                out.append(pa.array([zlib.crc32(cut[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.int64()))
+                names = ["segment", "n_before", "doc_id", "n_tokens", "ids_crc32"]
+                if with_ids:
+                    out.append(_as_binary(raw, at))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(out, names)
 
     fields = "segment bigint, n_before bigint, doc_id bigint, n_tokens bigint"
     files = spark.read.schema(fields + ", control binary, data binary").parquet(f"{path}/ids")
