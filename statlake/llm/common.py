@@ -12,7 +12,7 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.session import scratch_dir
@@ -75,6 +75,17 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def least(h: Column, n: int, total: Column | int) -> Column:
+    """Admits the ``n`` rows of least hash ``h`` (64 bits, signed) out of ``total``, and about as many more.
+
+    Twice the share of ``n``, and 40 rows, so that fewer than ``n`` come through about once in 10^15 draws: sort
+    those by hash and take ``n``. The share is one of all 2^64 hashes and never rounds to none, whatever the total.
+    """
+    total = total if isinstance(total, Column) else F.lit(total)
+    share = F.least(F.lit(1.0), F.lit(2.0 * n + 40) / F.greatest(total, F.lit(1)))
+    return h.cast("double") <= F.lit(-(2.0**63)) + share * F.lit(2.0**64)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

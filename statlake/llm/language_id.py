@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlake.llm.common import mix, pick, slices
+from statlake.llm.common import least, mix, pick, slices
 
 BITS = 15
 _LETTER = re.compile(r"[^\W\d_]")
@@ -141,8 +141,8 @@ class LanguageModel:
 def train_language_model(labelled: DataFrame, max_rows: int = 4000, epochs: int = 3) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of ``labelled`` (NULL or letterless rows teach nothing).
 
-    ``max_rows`` bounds the sample, drawn by a hash at an equal number for each
-    language (and the languages: the most frequent ones, if there are more).
+    ``max_rows`` bounds the sample: an equal number for each language, its rows of
+    least 64-bit hash, so reruns agree (and the languages: the most frequent ones, if there are more).
     """
     rows = pick(labelled, {"doc_id": "bigint", "text": "string", "lang": "string"})
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
@@ -175,9 +175,8 @@ def train_language_model(labelled: DataFrame, max_rows: int = 4000, epochs: int
     per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_rows)
     n_langs = per.count()
     quota = max(1, max_rows // max(n_langs, 1))
-    share = F.lit(float(quota << 20)) / F.col("n")
     some = rows.join(F.broadcast(per.withColumnRenamed("lang", "l")), F.col("lang") == F.col("l"))
-    some = some.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 20)) < share).limit(2 * max_rows)
+    some = some.withColumn("h", F.xxhash64(F.lit("sample"), "doc_id", "text")).filter(least(F.col("h"), quota, F.col("n")))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,11 +187,14 @@ def train_language_model(labelled: DataFrame, max_rows: int = 4000, epochs: int
                     own = np.column_stack([at, counts]).astype("<i4").tobytes() if _LETTER.search(text) else None
                     lines.append((zlib.crc32(text.encode()), own))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), pa.array([c for c, _ in lines], pa.int64()), pa.array([o for _, o in lines], pa.binary())], ["lang", "crc", "x"]
+                    [part.column("lang"), part.column("h"), pa.array([c for c, _ in lines], pa.int64()), pa.array([o for _, o in lines], pa.binary())],
+                    ["lang", "h", "crc", "x"],
                 )
 
-    found = some.select("lang", "text").mapInArrow(features, "lang string, crc bigint, x binary").toPandas()
-    found = found.dropna().sort_values(["crc", "lang"], kind="stable")
+    found = some.select("lang", "h", "text").mapInArrow(features, "lang string, h bigint, crc bigint, x binary")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "crc"))
+    found = found.filter("x IS NOT NULL").withColumn("place", place).filter(F.col("place") <= quota)
+    found = found.select("lang", "h", "crc", "x").toPandas().sort_values(["crc", "lang", "h"], kind="stable")
     langs = sorted(set(found["lang"]))
     model = LanguageModel(langs, idf, np.zeros((len(langs), (1 << BITS) + 1)), 1.0)
     if not langs:

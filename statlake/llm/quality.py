@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import bounded_batches, pick, slices, span_hashes, utf8, word_spans
+from statlake.llm.common import bounded_batches, least, pick, slices, span_hashes, stored, utf8, word_spans
 
 _FIELDS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
@@ -181,44 +181,62 @@ def co_train(
     return CoTrained(models["text"], models["meta"], ts, ms, both, min(threshold, 0.5))
 
 
-def _sample(of: Column, bound: int, total: int) -> Column:
-    """Keep about ``bound`` of ``total`` rows, by a hash."""
-    return F.pmod(F.xxhash64(F.lit("sample"), of), F.lit(1 << 20)) < int(min(1.0, bound / max(total, 1)) * (1 << 20))
-
-
 def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 12_000, max_pool: int = 12_000) -> CoTrained | None:
     """Fit the two views on bounded samples. None when a class has no labelled document.
 
-    ``labels``: ``doc_id, quality`` (0/1). NULL ids or qualities and ids with
-    contradicting labels are left out.
+    ``labels``: ``doc_id, quality`` (0/1). NULL ids, other qualities, ids with
+    contradicting labels and ids without a document are left out. Both classes have half of
+    ``max_labelled`` (what one class lacks goes to the other): the ids of least 64-bit hash, so a
+    rare class is not missed and reruns agree. Of documents that share an id, the one of least
+    text hash is taken. A quarter of each class, by hash, is held out for calibration (a lone
+    document serves for both). The threshold is never above 1/2: a document as likely good as bad stays.
     """
     rows = pick(docs, _FIELDS)
     known = pick(labels, {"doc_id": "bigint", "quality": "bigint"}).dropna().groupBy("doc_id")
-    known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("q")).filter("quality = q").drop("q")
-    n_known, n_docs = known.count(), rows.count()
-    # at most a bounded sample of labels: small enough to send to every task
-    some = known.filter(_sample(F.col("doc_id"), max_labelled, n_known)).limit(2 * max_labelled)
-    marked = rows.join(F.broadcast(some), "doc_id").limit(2 * max_labelled)
-    pool = rows.filter(_sample(F.xxhash64("doc_id", "text"), max_pool, n_docs)).limit(2 * max_pool).withColumn("quality", F.lit(None).cast("bigint"))
+    known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("q")).filter("quality = q AND q IN (0, 1)").drop("q")
+    # only ids meet here; few labels are broadcast, by their size on disk
+    known = rows.select("doc_id").join(stored(known, "quality-labels"), "doc_id").distinct()
+    known = stored(known.withColumn("h", F.xxhash64(F.lit("sample"), "doc_id")), "quality-known")
+    sizes = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_docs, half, some = rows.count(), max_labelled // 2, []
+    for c in (0, 1):
+        quota = max(half, max_labelled - sizes.get(1 - c, 0))
+        of = known.filter((F.col("quality") == c) & least(F.col("h"), quota, sizes.get(c, 0)))
+        some.append(of.orderBy("h", "doc_id").limit(quota).drop("h"))
+    # at most max_labelled rows of two numbers: small enough to send to every task
+    marked = rows.join(F.broadcast(some[0].unionByName(some[1])), "doc_id")
+    fields = [c for c in _FIELDS if c != "doc_id"]
+    one = F.min_by(F.struct(*fields), F.struct(F.xxhash64("text"), F.xxhash64(*fields))).alias("one")
+    marked = marked.groupBy("doc_id", "quality").agg(one).select("doc_id", "quality", "one.*")
+    marked = marked.withColumn("h", F.lit(0).cast("bigint"))
+    h = F.xxhash64(F.lit("sample"), "doc_id", "text")
+    pool = rows.withColumn("h", h).filter(least(F.col("h"), max_pool, n_docs)).withColumn("quality", F.lit(None).cast("bigint"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1024, 2 << 20):
                 t, m = views(part)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("quality"), pa.array(list(t), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.float64()))],
-                    ["doc_id", "quality", "t", "m"],
+                    [*(part.column(c) for c in ("doc_id", "quality", "h")), pa.array(list(t), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.float64()))],
+                    ["doc_id", "quality", "h", "t", "m"],
                 )
 
-    schema = "doc_id bigint, quality bigint, t array<double>, m array<double>"
-    found = [d.select(*_FIELDS, "quality").mapInArrow(features, schema).toPandas() for d in (marked, pool)]
+    schema = "doc_id bigint, quality bigint, h bigint, t array<double>, m array<double>"
+    marked, pool = (d.select(*_FIELDS, "quality", "h").mapInArrow(features, schema) for d in (marked, pool))
+    found = [marked.toPandas(), pool.orderBy("h", "doc_id", "t", "m").limit(max_pool).toPandas()]
     found = [f.assign(o=[zlib.crc32(np.asarray(v).tobytes()) for v in f["t"]]).sort_values(["doc_id", "o"], kind="stable") for f in found]
     lab, free = found
     free = free[~free["doc_id"].isin(set(lab["doc_id"]))]
     y = lab["quality"].to_numpy(np.float64)
-    held = np.array([zlib.crc32(str(i).encode()) % 4 == 0 for i in lab["doc_id"]], dtype=bool)
-    if min([*(np.sum(y[~held] == c) for c in (0, 1)), *(np.sum(y[held] == c) for c in (0, 1))]) < 1:
-        return None
+    held, again = np.zeros(len(y), bool), []
+    for c in (0.0, 1.0):
+        own = np.array(sorted(np.flatnonzero(y == c), key=lambda i: zlib.crc32(str(lab["doc_id"].iloc[i]).encode())), dtype=int)
+        if not len(own):
+            return None
+        held[own[1::4]] = True
+        again += own.tolist() if len(own) == 1 else []
+    lab = lab.iloc[[*range(len(lab)), *again]]
+    y, held = np.append(y, y[again]), np.append(held, np.ones(len(again), bool))
     stack = lambda s, like: np.vstack(s.to_list()) if len(s) else np.zeros((0, like))
     text, meta = np.vstack(lab["t"].to_list()), np.vstack(lab["m"].to_list())
     return co_train(text, meta, y, held, stack(free["t"], text.shape[1]), stack(free["m"], meta.shape[1]))

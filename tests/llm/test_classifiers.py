@@ -4,7 +4,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
+from statlake.llm.common import least
 from statlake.llm.language_id import fit_temperature, identify_languages, language_report, softmax, train_language_model
 from statlake.llm.quality import Logistic, co_train, good_documents, score_quality, train_quality, views
 
@@ -76,6 +79,49 @@ def test_quality_odd_rows(spark, odd, empty):
     assert train_quality(empty, labels) is None
 
 
+@pytest.mark.parametrize("n_bad", [1, 3, 40])
+def test_a_rare_class_is_learned(spark, n_bad):
+    """A handful of bad labels among many more good ones than the bound admits."""
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    bad = sorted(d for d, q in quality.items() if q == 0)[:n_bad]
+    some = labels.filter(F.col("quality") == 1).unionByName(labels.filter(F.col("doc_id").isin(bad)))
+    model = train_quality(docs, some, max_labelled=400, max_pool=800)
+    got = sorted(score_quality(docs, model).select("doc_id", "kept", "score").collect())
+    assert model is not None and not any(r.kept for r in got if r.doc_id in bad)
+    assert np.mean([r.kept for r in got if quality.get(r.doc_id) == 1]) >= 0.95
+    again = train_quality(docs.repartition(7), some.repartition(3), max_labelled=400, max_pool=800)
+    assert sorted(score_quality(docs, again).select("doc_id", "kept", "score").collect()) == got
+
+
+def test_labels_of_ids_without_documents_take_no_places(spark):
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    labels = labels.select("doc_id", "quality")
+    strangers = spark.range(10**9, 10**9 + 20_000).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("quality"))
+    one, other = train_quality(docs, labels, max_labelled=600), train_quality(docs, labels.unionByName(strangers), max_labelled=600)
+    assert np.array_equal(one.both.w, other.both.w)
+
+
+@pytest.mark.parametrize("total", [10, 10**6, 5 * 10**10, 10**16])
+def test_the_least_hashes_are_admitted_at_any_total(spark, total):
+    n = 4000
+    edge = min(1.0, (2 * n + 40) / total) * 2.0**64
+    inside, outside = -(2**63) + int(edge * 0.99), -(2**63) + int(edge * 1.01)
+    rows = [(-(2**63), True), (inside, True)] + ([(outside, False), (2**63 - 1, False)] if total > 10 * n else [(2**63 - 1, True)])
+    df = spark.createDataFrame(rows, "h long, want boolean")
+    assert all(r.got == r.want for r in df.select("want", least(F.col("h"), n, total).alias("got")).collect())
+
+
+def test_a_rare_language_is_learned(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang").filter("length(text) > 100")
+    rare = [r.doc_id for r in docs.filter("lang = 'de'").orderBy("doc_id").limit(6).collect()]
+    some = docs.filter((F.col("lang") == "en") | F.col("doc_id").isin(rare))
+    model = train_language_model(some, max_rows=40)
+    assert model.langs == ["de", "en"]
+    again = train_language_model(some.repartition(5), max_rows=40)
+    assert np.array_equal(model.weights, again.weights) and model.temperature == again.temperature
+
+
 def test_views_do_not_depend_on_neighbours():
     rows = [r for r in odd_rows()]
     whole = pa.RecordBatch.from_arrays(
