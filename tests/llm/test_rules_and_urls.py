@@ -143,6 +143,46 @@ def test_bad_templates_are_told_apart(spark):
     assert len({r.template for r in got}) == 4 and all(r.template.endswith("/#.html") for r in got)
 
 
+def deep_pages():
+    """Branches that part at the seventh segment, two nested traps, and a path of 3000 segments."""
+    rows, labels = [], []
+    for i in range(300):
+        part = ("spam", "news", "blog")[i % 3]
+        rows.append((i, f"https://deep.test/a/b/c/d/e/f/{part}/x{i}/{i}.html"))
+        labels.append((i, int(part == "spam")))
+    for i in range(12):
+        rows.append((1000 + i, "https://trap.test" + "/in/out" * (i % 6 + 1) + f"/{i}"))
+    rows.append((2000, "https://long.test" + "/x" * 3000))
+    return rows, labels
+
+
+def test_deep_branches_are_told_apart(spark):
+    rows, labels = deep_pages()
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad long")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.verdict == ("block" if "/spam/" in r.path else "allow"), r
+    assert {r.template for r in got if r.host == "long.test"} == {"long.test" + "/x" * 3000}
+    assert sum(r.template.startswith("deep.test/a/b/c/d/e/f/spam/") for r in got) == 100
+
+
+def test_deep_oracle(spark, tmp_path):
+    """The recursive SQL on pages as deep, whose labels come through their documents."""
+    rows, labels = deep_pages()
+    rows = [(i, u) for i, u in rows if i != 2000]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    docs = spark.createDataFrame([(i, 1 - bad, 0) for i, bad in labels], "doc_id long, quality long, toxic long")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    docs.write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = op8_url_filters(spark, str(tmp_path))
+    want = con.sql(ORACLE["op8_url_filters"])
+    order = [want.columns.index(c) for c in got.columns]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(tuple(r[i] for i in order)) for r in want.fetchall())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
