@@ -188,8 +188,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 12_000
     contradicting labels and ids without a document are left out. Both classes have half of
     ``max_labelled`` (what one class lacks goes to the other): the ids of least 64-bit hash, so a
     rare class is not missed and reruns agree. Of documents that share an id, the one of least
-    text hash is taken. A quarter of each class, by hash, is held out for calibration (a lone
-    document serves for both). The threshold is never above 1/2: a document as likely good as bad stays.
+    text hash is taken. A quarter, by hash of the id, is held out for calibration; a class that this leaves
+    without rows on either side is split by rank (a lone document serves for both). The threshold is never above 1/2: a document as likely good as bad stays.
     """
     rows = pick(docs, _FIELDS)
     known = pick(labels, {"doc_id": "bigint", "quality": "bigint"}).dropna().groupBy("doc_id")
@@ -228,15 +228,18 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 12_000
     lab, free = found
     free = free[~free["doc_id"].isin(set(lab["doc_id"]))]
     y = lab["quality"].to_numpy(np.float64)
-    held, again = np.zeros(len(y), bool), []
+    crc = np.array([zlib.crc32(str(i).encode()) for i in lab["doc_id"]], dtype=np.int64)
+    held, again = crc % 4 == 0, []
     for c in (0.0, 1.0):
-        own = np.array(sorted(np.flatnonzero(y == c), key=lambda i: zlib.crc32(str(lab["doc_id"].iloc[i]).encode())), dtype=int)
+        own = np.flatnonzero(y == c)
         if not len(own):
             return None
-        held[own[1::4]] = True
+        if held[own].all() or not held[own].any():  # too few for the hash: every fourth, from the second on
+            own = own[np.argsort(crc[own], kind="stable")]
+            held[own], held[own[1::4]] = False, True
         again += own.tolist() if len(own) == 1 else []
     lab = lab.iloc[[*range(len(lab)), *again]]
-    y, held = np.append(y, y[again]), np.append(held, np.ones(len(again), bool))
+    y, held = np.append(y, y[np.array(again, dtype=int)]), np.append(held, np.ones(len(again), bool))
     stack = lambda s, like: np.vstack(s.to_list()) if len(s) else np.zeros((0, like))
     text, meta = np.vstack(lab["t"].to_list()), np.vstack(lab["m"].to_list())
     return co_train(text, meta, y, held, stack(free["t"], text.shape[1]), stack(free["m"], meta.shape[1]))
