@@ -6,10 +6,11 @@ task) are spread over as many windows as they fill, by multiway differencing:
 every tail starts as a partition of its own with one loaded window, and the two
 partial partitions with the largest imbalance are merged, the fullest
 window of one with the emptiest of the other, until one partition is left. Its
-windows are near-equal. What a window holds beyond its capacity is cut off and
-fills windows that are short; when capacity is still exceeded, the number of
-windows rises: the rest opens further ones, cut at powers of two, which need
-no padding.
+windows are near-equal. The number of windows starts at the least that could do
+and rises whenever capacity is exceeded, until no window is. As many windows as
+the ids of the run fill stay, the fullest ones; the pieces of the others are cut
+to fill them up, and what is left, less than a window, goes on into the task's
+next run. Only the end of a task is cut at powers of two, which need no padding.
 
 A run is bounded, so memory is bounded, nothing is shuffled, and a lost task
 is recomputed alone from its input split.
@@ -20,6 +21,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ PIECES = (
 )
 
 Piece = tuple[int, int, int]  # document (position in the run), start, length
+Item = tuple[int, int, bytes, int]  # document id, its ids before these, these, all its ids
 
 
 def difference(sizes: list[int], k: int) -> list[list[int]]:
@@ -44,28 +47,42 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
     """
     if k <= 1:
         return [list(range(len(sizes)))] if k == 1 else []
-    # a partial partition: its windows as (sum, items), fullest first; only
-    # differences matter, so the emptiest window counts as 0
-    heap = []
-    for i, s in enumerate(sizes):
-        heap.append((-s, i, [(s, [i])] + [(0, [])] * (k - 1)))
+    # a partial partition: its windows that hold items as (-sum, items), fullest first; the others are empty
+    heap = [(-s, i, [(-s, [i])]) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
     made = len(sizes)
     while len(heap) > 1:
         _, _, a = heapq.heappop(heap)
         _, _, b = heapq.heappop(heap)
-        merged = [(x[0] + y[0], x[1] + y[1] if x[1] and y[1] else x[1] or y[1]) for x, y in zip(a, reversed(b), strict=True)]
-        merged.sort(key=lambda w: -w[0])
-        low = merged[-1][0]
-        if low:
-            merged = [(s - low, items) for s, items in merged]
-        heapq.heappush(heap, (-merged[0][0], made, merged))
+        # the fullest of b meets the last window of a: only those from k - len(b) on do
+        alone, below = max(0, k - len(b)), max(0, k - len(a))
+        both = [(x[0] + y[0], x[1] + y[1]) for x, y in zip(a[alone:], reversed(b[below:]), strict=False)]
+        merged = a[:alone] + both + b[:below][::-1]
+        merged.sort(key=itemgetter(0))
+        least = merged[-1][0] if len(merged) == k else 0
+        heapq.heappush(heap, (merged[0][0] - least, made, merged))
         made += 1
-    return [items for _, items in heap[0][2]] if heap else [[] for _ in range(k)]
+    groups = [items for _, items in heap[0][2]] if heap else []
+    return groups + [[] for _ in range(k - len(groups))]
 
 
-def pack_run(lengths: list[int], capacity: int) -> list[list[Piece]]:
-    """Windows of at most ``capacity`` ids for documents of the given lengths."""
+def fitting(sizes: list[int], capacity: int) -> list[list[int]]:
+    """Items of each window: near-equal windows, of which none exceeds ``capacity`` (no size does).
+
+    The number of windows starts at the least that could hold all and rises whenever a window is
+    exceeded, by what was too much and each time by twice as many at least; then all items are differenced anew.
+    """
+    k, step = -(-sum(sizes) // capacity), 1
+    while True:
+        groups = difference(sizes, k)
+        over = sum(max(0, sum(sizes[i] for i in items) - capacity) for items in groups)
+        if not over:
+            return groups
+        k, step = min(len(sizes), k + max(step, -(-over // capacity))), 2 * step
+
+
+def fill_windows(lengths: list[int], capacity: int) -> tuple[list[list[Piece]], list[Piece]]:
+    """Full windows for documents of the given lengths, and the pieces left over (less than a window)."""
     windows: list[list[Piece]] = []
     tails: list[Piece] = []
     for d, n in enumerate(lengths):
@@ -73,46 +90,43 @@ def pack_run(lengths: list[int], capacity: int) -> list[list[Piece]]:
         windows.extend([(d, j * capacity, capacity)] for j in range(full))
         if n % capacity:
             tails.append((d, full * capacity, n % capacity))
+    near = [[tails[i] for i in items] for items in fitting([t[2] for t in tails], capacity)]
+    near.sort(key=lambda w: -sum(p[2] for p in w))
     k = sum(t[2] for t in tails) // capacity
-    near = [[tails[i] for i in items] for items in difference([t[2] for t in tails], k)]
-    spilled: list[Piece] = [] if near else tails
-    room = []
-    for w in near:
-        over = sum(p[2] for p in w) - capacity
-        if over <= 0:
-            room.append(w)
-            continue
-        while over > 0:  # cut the excess off the last piece, or the whole piece
-            d, s, n = w.pop()
-            cut = min(n, over)
-            if n > cut:
-                w.append((d, s, n - cut))
-            spilled.append((d, s + n - cut, cut))
-            over -= cut
-        windows.append(w)
-
-    def take(n: int) -> list[Piece]:
-        got = []
-        while n:
-            d, s, m = spilled.pop()
-            if m > n:
-                spilled.append((d, s + n, m - n))
-                m = n
-            got.append((d, s, m))
-            n -= m
-        return got
-
-    for w in room:
-        w += take(capacity - sum(p[2] for p in w))
-        windows.append(w)
-    left = sum(p[2] for p in spilled)
+    rest = [p for w in near[k:] for p in w]
+    for w in near[:k]:
+        w += take(rest, capacity - sum(p[2] for p in w))
+    return windows + near[:k], rest
+
+
+def take(pieces: list[Piece], n: int) -> list[Piece]:
+    """``n`` ids off the end of the list, its last piece cut where it is longer."""
+    got = []
+    while n:
+        d, s, m = pieces.pop()
+        if m > n:
+            pieces.append((d, s + n, m - n))
+            m = n
+        got.append((d, s, m))
+        n -= m
+    return got
+
+
+def powers_of_two(pieces: list[Piece]) -> list[list[Piece]]:
+    """Windows of falling powers of two for pieces of less than a window."""
+    windows, left = [], sum(p[2] for p in pieces)
     while left:
-        size = min(capacity, 1 << (left.bit_length() - 1))
-        windows.append(take(size))
-        left -= size
+        windows.append(take(pieces, 1 << (left.bit_length() - 1)))
+        left -= 1 << (left.bit_length() - 1)
     return windows
 
 
+def pack_run(lengths: list[int], capacity: int) -> list[list[Piece]]:
+    """Windows of at most ``capacity`` ids for documents of the given lengths, with nothing to follow."""
+    windows, rest = fill_windows(lengths, capacity)
+    return windows + powers_of_two(rest)
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str,
@@ -142,30 +156,44 @@ def pack_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         base, made = TaskContext.get().partitionId() << 40, 0
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+        def rows_of(windows: list[list[Piece]], items: list[Item]) -> Iterator[tuple]:
+            nonlocal made
+            for w in windows:
+                offset = 0
+                for d, s, n in w:
+                    doc_id, before, raw, tokens = items[d]
+                    own = raw[4 * s : 4 * (s + n)]
+                    yield doc_id, before + s, n, zlib.crc32(own), tokens, base + made, offset, own
+                    offset += n
+                made += 1
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            arrays = [pa.array(c, pa.int64()) for c in columns[:7]]
+            if with_ids:
+                return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[7], pa.binary())], [*names, "ids"])
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        left: list[Item] = []  # what did not fill a window goes on into the task's next run
         for batch in batches:
             for part in slices(batch, "text", 8 * group_docs, 2 * group_bytes):
                 flat, at = enc.encode(part.column("text"))
                 ids = np.insert(flat, at[1:], end_id).astype("<u4", copy=False)
-                at = at + np.arange(len(at))
-                doc_ids, raw, lengths = part.column("doc_id").to_pylist(), ids.tobytes(), np.diff(at)
-                rows = []
+                at = (at + np.arange(len(at))).tolist()
+                doc_ids, raw, rows = part.column("doc_id").to_pylist(), ids.tobytes(), []
                 for lo in range(0, part.num_rows, group_docs):
-                    here = lengths[lo : lo + group_docs].tolist()
-                    for w in pack_run(here, capacity):
-                        offset = 0
-                        for d, s, n in w:
-                            a = (int(at[lo + d]) + s) * 4
-                            own = raw[a : a + 4 * n]
-                            rows.append((doc_ids[lo + d], s, n, zlib.crc32(own), here[d], base + made, offset, own))
-                            offset += n
-                        made += 1
+                    hi = min(lo + group_docs, part.num_rows)
+                    items = left + [(doc_ids[i], 0, raw[4 * at[i] : 4 * at[i + 1]], at[i + 1] - at[i]) for i in range(lo, hi)]
+                    windows, rest = fill_windows([len(x[2]) // 4 for x in items], capacity)
+                    rows.extend(rows_of(windows, items))
+                    left = [(items[d][0], items[d][1] + s, items[d][2][4 * s : 4 * (s + n)], items[d][3]) for d, s, n in rest]
                 if rows:
-                    columns = [pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True))[:7]]
-                    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-                    if with_ids:
-                        columns.append(pa.array([r[7] for r in rows], pa.binary()))
-                        names.append("ids")
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    yield out(rows)
+        rows = list(rows_of(powers_of_two([(i, 0, len(x[2]) // 4) for i, x in enumerate(left)]), left))
+        if rows:
+            yield out(rows)
         enc.forget()  # the worker may go on with tasks of other operators
 
     return pick(docs, {"doc_id": "bigint", "text": "string"}).mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from statlake.llm.packing import difference, pack_documents, pack_run
+from statlake.llm.packing import difference, fill_windows, fitting, pack_documents, pack_run
 from statlake.llm.queries import byte_bpe, op1_token_files, op7_packing
 from statlake.llm.token_files import decode_values, encode_values, read_token_files, write_token_files
 from statlake.llm.tokens import encoder
@@ -129,6 +129,48 @@ def test_pack_run_covers_each_id_once(capacity):
         assert all(s & (s - 1) == 0 for s in short) and len(short) <= capacity.bit_length()
 
 
+def naive_difference(sizes, k):
+    """All k windows of every partial partition spelt out; the two of largest imbalance found by sorting."""
+    parts = [[(s, [i])] + [(0, [])] * (k - 1) for i, s in enumerate(sizes)]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[-1][0] - p[0][0])
+        a, b, *parts = parts
+        parts.append(sorted(((x + y, i + j) for (x, i), (y, j) in zip(a, b[::-1])), key=lambda w: -w[0]))
+    return sorted(s for s, _ in parts[0])
+
+
+def test_difference_equals_a_naive_merge():
+    rng = np.random.default_rng(5)
+    for n, k in ((1, 1), (1, 4), (5, 9), (12, 12), (30, 4), (60, 25), (90, 60)):
+        # a draw without equal sizes: no ties, so the order of merges is settled
+        sizes = sorted(rng.choice(10**9, n, replace=False).tolist())
+        groups = difference(sizes, k)
+        assert len(groups) == k and sorted(i for g in groups for i in g) == list(range(n))
+        assert sorted(sum(sizes[i] for i in g) for g in groups) == naive_difference(sizes, k)
+
+
+def test_window_count_rises_until_all_fit():
+    rng = np.random.default_rng(6)
+    for sizes in ([600] * 40, rng.integers(1, 1024, 256).tolist(), rng.integers(500, 700, 100).tolist(), [1023], []):
+        groups = fitting(sizes, 1024)
+        assert sorted(i for g in groups for i in g) == list(range(len(sizes)))
+        assert all(sum(sizes[i] for i in g) <= 1024 for g in groups)
+        assert len(groups) >= -(-sum(sizes) // 1024)
+        windows, rest = fill_windows(sizes, 1024)
+        assert all(sum(p[2] for p in w) == 1024 for w in windows) and sum(p[2] for p in rest) == sum(sizes) % 1024
+
+
+def test_powers_of_two_arise_once_a_task(spark):
+    docs = spark.createDataFrame([(i, "some words of a text " * (i % 37)) for i in range(900)], "doc_id long, text string").coalesce(1)
+    load = {}
+    pieces = pack_documents(docs, byte_bpe(), group_docs=50).collect()
+    for p in pieces:
+        load[p.sequence_id] = load.get(p.sequence_id, 0) + p.length
+    short = sorted(n for n in load.values() if n < 1024)
+    assert len(short) == len(set(short)) and all(n & (n - 1) == 0 for n in short)
+    assert sum(load.values()) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
+
+
 def check_pieces(pieces, rows, library):
     by_doc, by_sequence = {}, {}
     for p in pieces:
