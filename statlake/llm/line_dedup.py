@@ -10,7 +10,7 @@ have, until there are so many; two lines alike have one of them in common (:func
 
 Inside a block the SimHash decides which pairs are compared. Of its 64 bits those whose majority the
 allowed edits cannot overturn are firm; two lines that differ in a firm bit of either
-cannot be alike. Nor can they if more words differ, by a sketch of 128 parities, than edits can change.
+cannot be alike. Nor can they if more words differ, by a sketch of 128 parities (in the last comparison also one of 512, of word pairs), than edits can change.
 (With ``max_bits``, lines must also differ in at most so many bits of their SimHashes to count as alike.) What is left is verified by edit similarity over
 words and connected through pivots (:mod:`statlake.llm.linking`). Of each group
 the first occurrence (by document id, text hash, line number) stays.
@@ -41,6 +41,8 @@ _P_INV = np.uint64(pow(int(_P), -1, 2**64))
 
 #: what a line class shows of its words in a block
 LINE_ATTRS = ["sim", "firm", "odd1", "odd2", "words"]
+#: parities of word pairs over 512 bits, of classes in blocks only
+WIDE_ATTRS = [f"wide{i}" for i in range(8)]
 
 
 class Lines:
@@ -95,18 +97,25 @@ class Lines:
         return out, firm
 
 
-    def odd_words(self, chosen: np.ndarray) -> np.ndarray:
-        """128 bits of each chosen line (two columns): whether an odd number of its words falls on the
-        bit. An edit takes a word and puts another, so it turns two bits at most."""
+    def odd_words(self, chosen: np.ndarray, columns: int = 2, pairs: bool = False) -> np.ndarray:
+        """64 bits in each of so many columns (a power of two) for each chosen line: whether an odd number
+        of its words falls on the bit. An edit takes a word and puts another, so it turns two bits at most.
+
+        ``pairs``: of its words with the word before each (the first with none), where an edit turns four bits at most,
+        and a word left out or put in three (of two with single words: there half of the bound, here three quarters).
+        """
         n = self.words[chosen]
         edge = np.concatenate([[0], np.cumsum(n)])
         h = self.h[np.repeat(self.at[chosen] - edge[:-1], n) + np.arange(edge[-1])]
+        if pairs:
+            before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])[: len(h)]
+            before[edge[:-1][n > 0]] = 0
+            h = mix(h + mix(before) * _P)
         bit = np.uint64(1) << (h & np.uint64(63))
-        upper = (h >> np.uint64(6) & np.uint64(1)).astype(bool)
-        out = np.zeros((len(chosen), 2), np.uint64)
-        if len(chosen):
-            out[:, 0] = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), edge[:-1])
-            out[:, 1] = np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), edge[:-1])
+        column = h >> np.uint64(6) & np.uint64(columns - 1)
+        out = np.zeros((len(chosen), columns), np.uint64)
+        for c in range(columns if len(chosen) else 0):
+            out[:, c] = np.bitwise_xor.reduceat(np.where(column == c, bit, np.uint64(0)), edge[:-1])
         return out
 
 
@@ -165,7 +174,7 @@ def _occurrences(docs: DataFrame, similarity: float, min_words: int) -> DataFram
 
 
 def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame:
-    """``line, seq``: word hashes (32 bits each) of lines whose digest may be wanted."""
+    """``line, seq`` and ``WIDE_ATTRS``: word hashes (32 bits each) and parities of lines whose digest may be wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,9 +185,10 @@ def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame
                 some = some[np.unique(digest[some], return_index=True)[1]]
                 h = (lines.h >> np.uint64(32)).astype("<u4")
                 seq = [h[a:b].tobytes() for a, b in zip(lines.at[some], lines.at[some + 1], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(digest[some]), pa.array(seq, pa.binary())], ["line", "seq"])
+                wide = [pa.array(np.ascontiguousarray(c)) for c in lines.odd_words(some, len(WIDE_ATTRS), pairs=True).view(np.int64).T]
+                yield pa.RecordBatch.from_arrays([pa.array(digest[some]), pa.array(seq, pa.binary()), *wide], ["line", "seq", *WIDE_ATTRS])
 
-    return docs.select("text").mapInArrow(run, "line bigint, seq binary")
+    return docs.select("text").mapInArrow(run, "line bigint, seq binary, " + ", ".join(f"{c} bigint" for c in WIDE_ATTRS))
 
 
 def max_edits(words: np.ndarray | int, similarity: float) -> np.ndarray:
@@ -301,7 +311,9 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
     nodes = blocks.select("node").distinct()
     wanted = bitmap_of(F.col("node"), nodes)  # a digest is a hash already
     seqs = _word_rows(docs, wanted, min_words).join(nodes.withColumnRenamed("node", "line"), "line", "left_semi")
-    seqs = stored(seqs.groupBy("line").agg(F.first("seq").alias("seq")), "line-words")
+    seqs = stored(seqs.groupBy("line").agg(*[F.first(c).alias(c) for c in ("seq", *WIDE_ATTRS)]), "line-words")
+    wide = seqs.select(F.col("line").alias("l"), *WIDE_ATTRS)
+    blocks = stored(blocks.join(wide, F.col("node") == F.col("l")).drop("l"), "line-blocks")
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,7 +327,10 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
         left, right = (seqs.select(F.col("line").alias(c), F.col("seq").alias(f"s{c}")) for c in ("a", "b"))
         return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(alike, "a bigint, b bigint")
 
-    return linked_groups(blocks, LINE_ATTRS, near, verify).withColumnRenamed("node", "line")
+    # families of a block differ in their SimHashes: pigeonhole parts of 16 bits, one pivot each
+    cuts = [f"shiftright(x.sim, {at}) & 65535" for at in (0, 16, 32, 48)]
+    differ = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in WIDE_ATTRS) + f" <= 4 * {edits}"
+    return linked_groups(blocks, LINE_ATTRS, near, verify, rounds=3, cuts=cuts, late=WIDE_ATTRS, late_link=differ).withColumnRenamed("node", "line")
 
 
 def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, complete: bool = False) -> DataFrame:

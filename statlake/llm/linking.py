@@ -4,7 +4,9 @@
 the groups of items that a similarity links, given blocks in which any two
 linked items meet:
 
-* first rounds compare each item with one pivot per block only (a star);
+* the first round compares each item with one pivot per block only (a star), or, with
+  ``cuts``, with one pivot per part of a block that agrees in a cut; one item is the pivot of many blocks;
+* further rounds draw each block's pivot anew, so what is still apart meets as many pivots as it has blocks;
 * what these links connect needs no more comparing inside;
 * the last round compares, in blocks that still hold several groups, items of
   different groups, all of them, so no link between two groups is lost.
@@ -53,6 +55,9 @@ def linked_groups(
     may_link: str,
     verify: Callable[[DataFrame], DataFrame],
     rounds: int = 2,
+    cuts: Sequence[str] = (),
+    late: Sequence[str] = (),
+    late_link: str = "true",
 ) -> DataFrame:
     """``node, label`` of all linked nodes (labels themselves left out).
 
@@ -60,9 +65,12 @@ def linked_groups(
     ``x`` and ``y`` (structs of ``node`` and ``attrs``), a necessary condition
     for a link found in this block. ``verify`` gets pairs ``a, b`` with
     ``x, y`` and the ``key`` of a block where they meet, and returns the linked
-    ones, ``a, b``.
+    ones, ``a, b``. ``cuts``: SQL over ``x``, bigint; in the first round a block's items
+    meet once per cut, with a pivot among those of the same value, so that a block
+    of several families has a pivot in each.
+    ``late``, ``late_link``: further columns of ``blocks``, and a further necessary condition on
+    them, which only the last round carries and applies.
     """
-    item = F.struct("node", *attrs)
 
     def pairs(found: DataFrame) -> DataFrame:
         flip = F.expr("x.node > y.node")
@@ -73,26 +81,28 @@ def linked_groups(
 
     edges, labels = None, None
     for r in range(rounds + 1):
-        rows = blocks.withColumn("x", item).select("key", "x", F.col("node").alias("own"))
+        rows = blocks.withColumn("x", F.struct("node", *attrs, *(late if r == rounds else ()))).select("key", "x", F.col("node").alias("own"))
         if labels is None:
             rows = rows.withColumn("label", F.col("own"))
         else:
             known = labels.select(F.col("node").alias("k"), F.col("label").alias("l"))
             rows = rows.join(known, F.col("own") == F.col("k"), "left").withColumn("label", F.coalesce("l", "own"))
-        rows = rows.select("key", "x", "label")
-        if labels is not None:
+        rows = rows.select("key", F.lit(0).alias("cut"), F.lit(0).cast("bigint").alias("part"), "x", "label")
+        if r == 0 and cuts:
+            rows = rows.select("key", F.posexplode(F.array(*[F.expr(c) for c in cuts])).alias("cut", "part"), "x", "label")
+        elif labels is not None:
             rows = stored(rows, "blocks")  # read twice below
-        per = rows.groupBy(F.col("key").alias("pk")).agg(
-            F.min_by(F.struct("x", "label"), F.xxhash64(F.lit(r), "x.node")).alias("pivot"),
+        per = rows.groupBy(F.col("key").alias("pk"), F.col("cut").alias("pc"), F.col("part").alias("pp")).agg(
+            F.min_by(F.struct("x", "label"), F.xxhash64(F.lit(r), "x.node", *(["key"] if r else []))).alias("pivot"),
             F.min("label").alias("lo"), F.max("label").alias("hi"),
         ).filter("lo <> hi")
-        rows = rows.join(per, F.col("key") == F.col("pk"))
+        rows = rows.join(per, F.expr("key = pk AND cut = pc AND part = pp"))
         if r < rounds:
             met = rows.filter("pivot.label <> label").select("key", "x", F.col("pivot.x").alias("y"))
         else:
             rows = stored(rows.select("key", "x", "label"), "blocks")
             other = rows.select(F.col("key").alias("k2"), F.col("x").alias("y"), F.col("label").alias("label2"))
-            met = rows.join(other, (F.col("key") == F.col("k2")) & (F.col("label") < F.col("label2")) & F.expr(may_link)).select("key", "x", "y")
+            met = rows.join(other, (F.col("key") == F.col("k2")) & (F.col("label") < F.col("label2")) & F.expr(may_link) & F.expr(late_link)).select("key", "x", "y")
         new = stored(verify(pairs(met)).select("a", "b"), "links")
         edges = new if edges is None else edges.unionByName(new)
         labels = components(edges)
