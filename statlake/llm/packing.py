@@ -154,7 +154,7 @@ def pack_documents(
         raise ValueError("capacity must be positive")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, held=1_000_000)
         base, made = TaskContext.get().partitionId() << 40, 0
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -194,6 +194,5 @@ def pack_documents(
         rows = list(rows_of(powers_of_two([(i, 0, len(x[2]) // 4) for i, x in enumerate(left)]), left))
         if rows:
             yield out(rows)
-        enc.forget()  # the worker may go on with tasks of other operators
 
     return pick(docs, {"doc_id": "bigint", "text": "string"}).mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))

@@ -57,10 +57,6 @@ class Encoder:
             and all(" " not in t["content"] for t in spec.get("added_tokens", []))
         )
 
-    def forget(self) -> None:
-        """Give the memory of the held chunks back."""
-        self.held = {}
-
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
