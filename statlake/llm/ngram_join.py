@@ -249,10 +249,54 @@ def bitmap_has(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return (bitmap[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
 
 
+_SKIP = np.uint64((1 << 40) - 1)
+
+
+def _base(cut: np.ndarray, cuts: int) -> np.ndarray:
+    """The least 48 bits of a hash in each fragment (0 in the last, of frequent n-grams)."""
+    return np.where(cut < cuts - 1, -(-(cut << 24) // max(cuts - 1, 1)) << 24, 0).astype(np.uint64)
+
+
+def packed(v: np.ndarray, slot: np.ndarray, slots: int, cuts: int) -> list[bytes]:
+    """Each slot's ascending 48-bit numbers as bytes (slot by slot, a set's ``cuts`` fragments in turn).
+
+    After a first byte 5 the gaps, the first from the fragment's least hash, in 5 bytes each; a
+    number of all ones is a step of so much that ends at no n-gram. Where that is longer, after a 6 the numbers in 6 bytes.
+    """
+    n = np.bincount(slot, minlength=slots)
+    begin = np.concatenate([[0], np.cumsum(n)])
+    gap = v.copy()
+    gap[1:] -= v[:-1]
+    head = begin[:-1][n > 0]
+    gap[head] = v[head] - _base(slot[head] % cuts, cuts)
+    skips = (gap // _SKIP).astype(np.int64)
+    rows = np.concatenate([[0], np.cumsum(skips + 1)])
+    codes = np.full(rows[-1], _SKIP, np.uint64)
+    codes[rows[1:] - 1] = gap % _SKIP
+    short = codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    plain = v.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    at = rows[begin].tolist()
+    return [
+        b"\x05" + short[5 * a : 5 * b] if 5 * (b - a) <= 6 * (j - i) else b"\x06" + plain[6 * i : 6 * j]
+        for a, b, i, j in zip(at[:-1], at[1:], begin[:-1].tolist(), begin[1:].tolist(), strict=True)
+    ]
+
+
+def unpacked(pieces: list[bytes]) -> list[np.ndarray]:
+    """The numbers of one set's pieces (:func:`packed`)."""
+    out, base = [], _base(np.arange(len(pieces)), len(pieces))
+    for start, p in zip(base, pieces, strict=True):
+        v = np.zeros(((len(p) - 1) // p[0], 8), np.uint8)
+        v[:, : p[0]] = np.frombuffer(p, np.uint8, offset=1).reshape(-1, p[0])
+        v = v.view("<u8").reshape(-1)
+        out.append((start + np.cumsum(v, dtype=np.uint64))[v != _SKIP] if p[0] == 5 else v)
+    return out
+
+
 def _fragments(docs: DataFrame, wanted: np.ndarray, k: int, classes: np.ndarray, cuts: int) -> DataFrame:
     """``node, grams``: the sets of documents (``text, h``) whose hash ``h`` may be
-    wanted, cut into one piece for each fragment of the global order; the first six
-    bytes of each hash, ascending."""
+    wanted, cut into one piece for each fragment of the global order; the first 48 bits
+    of each hash, :func:`packed`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = (b.filter(pa.array(bitmap_has(wanted, b.column("h").to_numpy()))) for b in batches)
@@ -263,24 +307,13 @@ def _fragments(docs: DataFrame, wanted: np.ndarray, k: int, classes: np.ndarray,
             cut = np.where(classes[_bucket(s, SKETCH_BITS)] > 0, cuts - 1, (s >> np.uint64(40)).astype(np.int64) * (cuts - 1) >> 24)
             slot = owner * cuts + cut
             order = np.argsort(slot, kind="stable")  # hashes stay ascending within a slot
-            edge = (np.searchsorted(slot[order], np.arange(len(node) * cuts + 1)) * 6).tolist()
-            raw = (s[order] >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-            pieces = pa.array([raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
+            pieces = pa.array(packed(s[order] >> np.uint64(16), slot[order], len(node) * cuts, cuts), pa.binary())
             grams = pa.ListArray.from_arrays(pa.array(np.arange(len(node) + 1, dtype=np.int32) * cuts), pieces)
             yield pa.RecordBatch.from_arrays([pa.array(node), grams], ["node", "grams"])
 
     return docs.mapInArrow(run, "node bigint, grams array<binary>")
 
 
-def _unpacked(grams: list[bytes]) -> list[np.ndarray]:
-    out = []
-    for g in grams:
-        v = np.zeros((len(g) // 6, 8), np.uint8)
-        v[:, :6] = np.frombuffer(g, np.uint8).reshape(-1, 6)
-        out.append(v.view("<u8").reshape(-1))
-    return out
-
-
 def linked(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> bool:
     """Whether ``100 * |intersection| >= percent * |union|``: overlaps are counted
     fragment by fragment and summed, until those left cannot suffice."""
@@ -368,7 +401,7 @@ def _verified(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
                     yield as_batch(_tile_links(held, met, percent))
                     now, held, met = tile, {}, []
                 if b is None:  # a tile's sets stand before its pairs
-                    held[a] = _unpacked(batch.column("grams")[i].as_py())
+                    held[a] = unpacked(batch.column("grams")[i].as_py())
                 else:
                     met.append((a, b))
         yield as_batch(_tile_links(held, met, percent))

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from statlake.llm.ngram_join import _have_partner, first_documents, jaccard_groups, linked
+from statlake.llm.ngram_join import _have_partner, first_documents, jaccard_groups, linked, packed, unpacked
 from statlake.llm.queries import op3_ngram_join
 
 from ..conftest import SF_SMALL
@@ -111,3 +111,29 @@ def test_bounds_are_exact(percent):
         union = sum(map(len, x)) + sum(map(len, y)) - both
         if union:
             assert linked(x, y, percent) == (100 * both >= percent * union)
+
+
+@pytest.mark.parametrize("cuts", [1, 2, 4, 7])
+def test_pieces_are_exact_and_short(cuts):
+    """Sets of any size come back whole, edges of the fragments included; full ones take less than six bytes an n-gram."""
+    rng = np.random.default_rng(cuts)
+    top = 1 << 48
+    edges = [0, *(-(-(c << 24) // (cuts - 1)) << 24 for c in range(1, cuts - 1))]
+    sets = [np.array(sorted({*edges, top - 1, *(e - 1 for e in edges[1:])})), np.zeros(0, int), np.array([top - 1]), np.array([0])]
+    step = (1 << 40) - 1
+    sets += [np.array([0, step, step + 1, 3 * step, 3 * step + 1])]
+    sets += [np.unique(rng.integers(0, top, n)) for n in (1, 2, 30, 900 * cuts)]
+    v, slot = [], []
+    for i, s in enumerate(sets):
+        cut = (s >> 24) * (cuts - 1) >> 24
+        cut = np.where(rng.random(len(s)) < 0.05, cuts - 1, cut)  # frequent n-grams lie in the last piece
+        order = np.argsort(cut, kind="stable")
+        v.append(s[order])
+        slot.append(i * cuts + cut[order])
+    pieces = packed(np.concatenate(v).astype(np.uint64), np.concatenate(slot), len(sets) * cuts, cuts)
+    assert len(pieces) == len(sets) * cuts
+    for i in range(len(sets)):
+        got = unpacked(pieces[i * cuts : (i + 1) * cuts])
+        for c in range(cuts):
+            assert got[c].tolist() == v[i][slot[i] == i * cuts + c].tolist()
+    assert sum(map(len, pieces[-cuts:])) < 5.5 * len(sets[-1])
