@@ -39,6 +39,8 @@ _P = np.uint64(0xC2B2AE3D27D4EB4F)
 _P_INV = np.uint64(pow(int(_P), -1, 2**64))
 
 
+#: bytes of text taken to words at once; a worker holds about 100 bytes for each
+TEXT_BYTES = 1 << 19
 #: what a line class shows of its words in a block
 LINE_ATTRS = ["sim", "firm", "odd1", "odd2", "words"]
 #: parities of word pairs over 512 bits, of classes in blocks only
@@ -149,7 +151,7 @@ def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
 def _occurrences(docs: DataFrame, similarity: float, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1024, 2 << 20):
+            for part in slices(batch, "text", 1024, TEXT_BYTES):
                 lines = Lines(part.column("text"))
                 some = np.flatnonzero(lines.words >= min_words)
                 of = pa.array(lines.owner[some])
@@ -178,7 +180,7 @@ def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1024, 2 << 20):
+            for part in slices(batch, "text", 1024, TEXT_BYTES):
                 lines = Lines(part.column("text"))
                 digest = lines.digests()
                 some = np.flatnonzero((lines.words >= min_words) & bitmap_has(wanted, digest))
@@ -257,7 +259,7 @@ def line_blocks(docs: DataFrame, similarity: float, min_words: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1024, 2 << 20):
+            for part in slices(batch, "text", 1024, TEXT_BYTES):
                 lines = Lines(part.column("text"))
                 digest = lines.digests()
                 some = np.flatnonzero(lines.words >= max(min_words, q))

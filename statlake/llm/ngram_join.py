@@ -31,6 +31,8 @@ from statlake.llm.linking import linked_groups
 from statlake.session import scratch_dir
 
 SKETCH_BITS, SLICE_BITS = 23, 17
+#: bytes of text cut into n-grams at once; a worker holds about 100 bytes for each
+TEXT_BYTES = 1 << 19
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _P = np.uint64(0xD6E8FEB86659FD93)
@@ -73,9 +75,9 @@ def _bucket(s: np.ndarray, bits: int) -> np.ndarray:
     return (mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def _sets(batches: Iterator[pa.RecordBatch], k: int, max_bytes: int = TEXT_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in batches:
-        for part in slices(batch, "text", 1024, 2 << 20):
+        for part in slices(batch, "text", 1024, max_bytes):
             yield part, *shingle_sets(part.column("text"), k)
 
 
@@ -170,7 +172,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int, classes: np.ndarray, parts:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, s, at in _sets(batches, k):
+        for _, s, at in _sets(batches, k, 2 * TEXT_BYTES):  # a slice sends one row for each range
             n = np.diff(at)
             owner = np.repeat(np.arange(len(n)), n)
             order = np.lexsort((s, classes[_bucket(s, SKETCH_BITS)], owner))

@@ -3,11 +3,13 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from statlake.llm.ngram_join import _have_partner, first_documents, jaccard_groups, linked, packed, unpacked
+from statlake.llm.ngram_join import _have_partner, _sets, first_documents, jaccard_groups, linked, packed, unpacked
 from statlake.llm.queries import op3_ngram_join
 
 from ..conftest import SF_SMALL
@@ -137,3 +139,19 @@ def test_pieces_are_exact_and_short(cuts):
         for c in range(cuts):
             assert got[c].tolist() == v[i][slot[i] == i * cuts + c].tolist()
     assert sum(map(len, pieces[-cuts:])) < 5.5 * len(sets[-1])
+
+
+def test_worker_memory_does_not_grow_with_the_batch():
+    """Texts of a batch are cut into n-grams a little at a time: a worker holds tens of bytes for each byte."""
+    words = [f"w{i}" for i in range(5000)]
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(words, k=350)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts)], ["doc_id", "text"])
+    assert sum(map(len, texts)) > 3_500_000
+    tracemalloc.start()
+    try:
+        n = sum(len(s) for _, s, _ in _sets(iter([batch]), 5))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n > 690_000 and most < 64 << 20
