@@ -15,15 +15,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from statlake.llm.common import slices
+
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    ``held`` has the ids of chunks seen before and starts anew when it is full,
-    so memory stays bounded on any vocabulary. That only saves time: a chunk not
-    held is encoded again.
+    ``held`` are chunks seen before, with their ids in one flat array: no Python
+    objects, so about 40 bytes a chunk. When there are too many, only those of the
+    texts at hand stay, so memory is bounded on any vocabulary. That only saves
+    time: a chunk not held is encoded again.
     """
 
     HELD = 400_000
@@ -35,7 +38,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.held: dict[str, bytes] = {}
+        self.held = pa.array([], pa.large_string())
+        self.ids, self.begin = _joined([])
         size = self.model.get_vocab_size(with_added_tokens=True)
         # does the token begin with a space? (byte-level BPE writes it as U+0120)
         self.spaced = np.zeros(size, dtype=bool)
@@ -61,32 +65,40 @@ class Encoder:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode " " + chunk for chunks not held."""
-        # white space other than a space inside a chunk changes nothing: the
-        # chunk still has one leading space; at its ends it may join others
-        plain, odd = [], []
-        for c in chunks:
-            (odd if c[:1].isspace() or c[-1:].isspace() or " " in c else plain).append(c)
-        for lo in range(0, len(plain), 5000):
-            part = plain[lo : lo + 5000]
-            ids = np.array(self.model.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cut = np.flatnonzero(self.spaced[ids])
-            raw, at = ids.tobytes(), (cut * 4).tolist() + [len(ids) * 4]
-            for c, a, b in zip(part, at[:-1], at[1:], strict=True):
-                self.held[c] = raw[a:b]
-        if odd:
-            for c, ids in zip(odd, self.whole([" " + c for c in odd]), strict=True):
-                self.held[c] = ids
-
-    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        """Ids of " " + chunk for distinct chunks."""
+    def _learn(self, chunks: pa.Array) -> None:
+        """Encode " " + chunk for chunks not held, and hold them."""
+        flats, sizes = [self.ids], [np.diff(self.begin)]
+        for lo in range(0, len(chunks), 5000):
+            part = chunks.slice(lo, 5000).to_pylist()
+            # white space other than a space inside a chunk changes nothing: the
+            # chunk still has one leading space; at its ends it may join others
+            odd = [c for c in part if c[:1].isspace() or c[-1:].isspace() or " " in c]
+            own = dict(zip(odd, self.whole([" " + c for c in odd]), strict=True))
+            if plain := [c for c in part if c not in own]:
+                ids = np.array(self.model.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
+                cut = np.flatnonzero(self.spaced[ids])
+                raw, at = ids.tobytes(), (cut * 4).tolist() + [len(ids) * 4]
+                own.update((c, raw[a:b]) for c, a, b in zip(plain, at[:-1], at[1:], strict=True))
+            ids, at = _joined(list(map(own.__getitem__, part)))
+            flats.append(ids)
+            sizes.append(np.diff(at))
+        self.held = pa.concat_arrays([self.held, chunks])
+        self.ids, self.begin = np.concatenate(flats), _edges(np.concatenate(sizes))
+
+    def _places(self, chunks: pa.Array) -> np.ndarray:
+        """The place in ``held`` of each of the distinct chunks; those not held are learned."""
+        found = pc.index_in(chunks, value_set=self.held)
         if len(self.held) > self.HELD:
-            self.held = {}
-        new = [c for c in chunks if c not in self.held]
-        if new:
-            self._learn(new)
-        return list(map(self.held.__getitem__, chunks))
+            known = found.drop_null()
+            self.ids, self.begin = _taken(self.ids, self.begin, known.to_numpy())
+            self.held = self.held.take(known)
+            found = pc.index_in(chunks, value_set=self.held)
+        new = found.is_null().to_numpy(zero_copy_only=False)
+        places = found.fill_null(0).to_numpy().astype(np.int64)
+        places[new] = len(self.held) + np.arange(np.count_nonzero(new))
+        if new.any():
+            self._learn(chunks.filter(pa.array(new)))
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the n+1 offsets of the texts in
@@ -99,36 +111,52 @@ class Encoder:
         at = words.offsets.to_numpy().astype(np.int64)
         words, at = words.values[at[0] : at[-1]], at - at[0]
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        index = coded.indices.to_numpy()
         # texts with an empty chunk (a leading, trailing or double space) are cut with care
         empty = np.flatnonzero(pc.binary_length(words).to_numpy() == 0)
         odd = np.unique(np.searchsorted(at, empty, side="right") - 1)
         odd = odd[at[odd + 1] - at[odd] > 1] if len(odd) else odd
-        heads = self.whole(words.take(pa.array(at[:-1])).to_pylist())
-        ids = self._chunk_ids(distinct)
+        heads, head_at = _joined(self.whole(words.take(pa.array(at[:-1])).to_pylist()))
+        del words
+        places = self._places(coded.dictionary)
         # per word: the ids of " " + word, but for a text's first word those without the space
-        pool = [*ids, *heads]
-        index = index.astype(np.int64)
-        index[at[:-1]] = len(ids) + np.arange(n)
-        flat, begin = _joined(pool)
-        size = np.diff(begin)[index]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        out = flat[np.repeat(begin[index] - ends[:-1], size) + np.arange(ends[-1])]
+        index = places[coded.indices.to_numpy()]
+        index[at[:-1]] = len(self.held) + np.arange(n)
+        del coded, places
+        begin = np.concatenate([self.begin, self.begin[-1] + head_at[1:]])
+        out, ends = _taken(np.concatenate([self.ids, heads]), begin, index)
         at = ends[at]
         if len(odd):
             parts = [out[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-            for i in odd.tolist():
-                head, *rest = _CUT.split(texts[i].as_py())
-                known = dict(zip(few := list(set(rest)), self._chunk_ids(few), strict=True))
-                parts[i] = self.whole([head])[0] + b"".join(map(known.__getitem__, rest))
+            some = pa.RecordBatch.from_arrays([pa.array(odd), texts.take(pa.array(odd))], ["i", "text"])
+            for few in slices(some, "text", len(odd), 1 << 20):
+                cuts = [_CUT.split(text) for text in few.column("text").to_pylist()]
+                first = self.whole([c[0] for c in cuts])
+                coded = pa.array([chunk for c in cuts for chunk in c[1:]], pa.large_string()).dictionary_encode()
+                index = self._places(coded.dictionary)[coded.indices.to_numpy()]
+                rest, ends = _taken(self.ids, self.begin, index)
+                ends = ends[_edges(np.array([len(c) - 1 for c in cuts]))]
+                for i, head, a, b in zip(few.column("i").to_pylist(), first, ends[:-1], ends[1:], strict=True):
+                    parts[i] = head + rest[a:b].tobytes()
             return _joined(parts)
         return out, at
 
 
+def _edges(size: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+
+
 def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-    return np.frombuffer(b"".join(parts), dtype="<u4"), np.concatenate([[0], np.cumsum(size)])
+    return np.frombuffer(b"".join(parts), dtype="<u4"), _edges(size)
+
+
+def _taken(flat: np.ndarray, begin: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` (n of them, n+1 offsets ``begin``) at ``index``, one after the other, and their offsets."""
+    size = np.diff(begin)[index]
+    edges = _edges(size)
+    where = np.repeat(begin[index] - edges[:-1], size)
+    where += np.arange(edges[-1])
+    return flat[where], edges
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -137,7 +165,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str, held: int = Encoder.HELD) -> Encoder:
     """The worker process's encoder for a tokenizer file (loaded once per process).
 
-    ``held`` bounds the chunks it remembers: about 200 bytes each.
+    ``held`` bounds the chunks it remembers: about 40 bytes each.
     """
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)

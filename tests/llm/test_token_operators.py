@@ -1,6 +1,7 @@
 """Operators 1 and 7 against the tokenizers library itself."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from statlake.llm.packing import difference, fill_windows, fitting, pack_documents, pack_run
 from statlake.llm.queries import byte_bpe, op1_token_files, op7_packing
 from statlake.llm.token_files import decode_values, encode_values, read_token_files, write_token_files
-from statlake.llm.tokens import encoder
+from statlake.llm.tokens import Encoder, encoder
 from statlake.session import scratch_dir
 
 from ..conftest import SF_SMALL
@@ -45,6 +46,32 @@ def test_held_chunks_are_bounded(library):
         enc.HELD = full
 
 
+def test_held_chunks_are_small():
+    """A worker that holds a million chunks has tens of megabytes of them, not hundreds."""
+    enc, n = Encoder(byte_bpe()), 40_000
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(100)) for i in range(n // 100)])
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        enc.encode(texts)
+        most = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert len(enc.held) > 0.98 * n and most < 80 * n
+
+
+def test_texts_at_hand_stay_held(library):
+    """A full table keeps the chunks of the texts at hand, and ids stay right when it starts anew within a call."""
+    enc = Encoder(byte_bpe())
+    enc.HELD = 30
+    for i in range(6):
+        texts = [f"common words stay  w{i}x{j} common " for j in range(40)] + [None, "", " ", "a  b c"]
+        ids, at = enc.encode(pa.array(texts))
+        for text, a, b in zip(texts, at[:-1], at[1:], strict=True):
+            assert ids[a:b].tolist() == library(text, 0)[:-1].tolist()
+        assert "words" in enc.held.to_pylist() and len(enc.held) == len(set(enc.held.to_pylist())) <= 100
+
+
 @pytest.mark.parametrize("top", [1, 255, 256, 65536, 2**24, 2**32 - 1])
 def test_value_coding_round_trip(top):
     rng = np.random.default_rng(top)
