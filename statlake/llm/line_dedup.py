@@ -10,7 +10,8 @@ have, until there are so many; two lines alike have one of them in common (:func
 
 Inside a block the SimHash decides which pairs are compared. Of its 64 bits those whose majority the
 allowed edits cannot overturn are firm; two lines that differ in a firm bit of either
-cannot be alike. Nor can they if more words differ, by a sketch of 128 parities (in the last comparison also one of 512, of word pairs), than edits can change.
+cannot be alike. Nor can they if more words differ, by a sketch of 128 parities (in the last comparison also one of 512, in which a
+word's second and later places in the line count as words of their own), than edits can change, where lines of different length need some edits that change less.
 (With ``max_bits``, lines must also differ in at most so many bits of their SimHashes to count as alike.) What is left is verified by edit similarity over
 words and connected through pivots (:mod:`statlake.llm.linking`). Of each group
 the first occurrence (by document id, text hash, line number) stays.
@@ -43,8 +44,9 @@ _P_INV = np.uint64(pow(int(_P), -1, 2**64))
 TEXT_BYTES = 1 << 19
 #: what a line class shows of its words in a block
 LINE_ATTRS = ["sim", "firm", "odd1", "odd2", "words"]
-#: parities of word pairs over 512 bits, of classes in blocks only
-WIDE_ATTRS = [f"wide{i}" for i in range(8)]
+#: parities of numbered words over 512 bits, of classes in blocks only (more would make the join's
+#: condition too long a method for the JVM to compile)
+BAG_ATTRS = [f"bag{i}" for i in range(8)]
 
 
 class Lines:
@@ -99,20 +101,24 @@ class Lines:
         return out, firm
 
 
-    def odd_words(self, chosen: np.ndarray, columns: int = 2, pairs: bool = False) -> np.ndarray:
+    def odd_words(self, chosen: np.ndarray, columns: int = 2, numbered: bool = False) -> np.ndarray:
         """64 bits in each of so many columns (a power of two) for each chosen line: whether an odd number
-        of its words falls on the bit. An edit takes a word and puts another, so it turns two bits at most.
+        of its words falls on the bit. An edit takes a word and puts another, so it turns two bits at most,
+        and a word left out or put in one.
 
-        ``pairs``: of its words with the word before each (the first with none), where an edit turns four bits at most,
-        and a word left out or put in three (of two with single words: there half of the bound, here three quarters).
+        ``numbered``: of its words with how many like it stand before them, so a bit turns for each place by which two lines'
+        counts of a word differ, however often both have it; an edit still takes one and puts one.
         """
         n = self.words[chosen]
         edge = np.concatenate([[0], np.cumsum(n)])
         h = self.h[np.repeat(self.at[chosen] - edge[:-1], n) + np.arange(edge[-1])]
-        if pairs:
-            before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])[: len(h)]
-            before[edge[:-1][n > 0]] = 0
-            h = mix(h + mix(before) * _P)
+        if numbered and len(h):
+            order = np.lexsort((h, np.repeat(np.arange(len(n)), n)))
+            run = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+            run[edge[:-1][n > 0]] = True
+            number = np.empty(len(h), np.uint64)
+            number[order] = np.arange(len(h)) - np.flatnonzero(run)[np.cumsum(run) - 1]
+            h = mix(h + number * _P)
         bit = np.uint64(1) << (h & np.uint64(63))
         column = h >> np.uint64(6) & np.uint64(columns - 1)
         out = np.zeros((len(chosen), columns), np.uint64)
@@ -176,7 +182,7 @@ def _occurrences(docs: DataFrame, similarity: float, min_words: int) -> DataFram
 
 
 def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame:
-    """``line, seq`` and ``WIDE_ATTRS``: word hashes (32 bits each) and parities of lines whose digest may be wanted."""
+    """``line, seq`` and ``BAG_ATTRS``: word hashes (32 bits each) and parities of lines whose digest may be wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,10 +193,10 @@ def _word_rows(docs: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame
                 some = some[np.unique(digest[some], return_index=True)[1]]
                 h = (lines.h >> np.uint64(32)).astype("<u4")
                 seq = [h[a:b].tobytes() for a, b in zip(lines.at[some], lines.at[some + 1], strict=True)]
-                wide = [pa.array(np.ascontiguousarray(c)) for c in lines.odd_words(some, len(WIDE_ATTRS), pairs=True).view(np.int64).T]
-                yield pa.RecordBatch.from_arrays([pa.array(digest[some]), pa.array(seq, pa.binary()), *wide], ["line", "seq", *WIDE_ATTRS])
+                bag = [pa.array(np.ascontiguousarray(c)) for c in lines.odd_words(some, len(BAG_ATTRS), numbered=True).view(np.int64).T]
+                yield pa.RecordBatch.from_arrays([pa.array(digest[some]), pa.array(seq, pa.binary()), *bag], ["line", "seq", *BAG_ATTRS])
 
-    return docs.select("text").mapInArrow(run, "line bigint, seq binary, " + ", ".join(f"{c} bigint" for c in WIDE_ATTRS))
+    return docs.select("text").mapInArrow(run, "line bigint, seq binary, " + ", ".join(f"{c} bigint" for c in BAG_ATTRS))
 
 
 def max_edits(words: np.ndarray | int, similarity: float) -> np.ndarray:
@@ -254,7 +260,8 @@ def line_keys(lines: Lines, some: np.ndarray, similarity: float, q: int) -> tupl
 
 
 def line_blocks(docs: DataFrame, similarity: float, min_words: int) -> DataFrame:
-    """``key, node, words``: line classes by their :func:`line_keys`, of keys that two or more share."""
+    """``key, node``: line classes by their :func:`line_keys`, of keys that another line shares whose number
+    of words allows the similarity."""
     q = gram_size(similarity, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +289,9 @@ def line_blocks(docs: DataFrame, similarity: float, min_words: int) -> DataFrame
             again = (key[1:] == key[:-1]) & (node[1:] == node[:-1])
             new = np.concatenate([[True], ~again])
             key, node = key[new], node[new]
-            with_next = np.concatenate([key[1:] >> 16 == key[:-1] >> 16, [False]])
+            # by number of words within a key: if any line's allows the similarity, the next or the last one's does
+            words = key & 0xFFFF
+            with_next = np.concatenate([(key[1:] >> 16 == key[:-1] >> 16) & (words[:-1] >= similarity * words[1:] - 1e-6), [False]])
             keep = with_next | np.concatenate([[met], with_next[:-1]])
             yield rows(key[:-1], node[:-1], keep[:-1])
             met, key, node = bool(keep[-1]), key[-1:], node[-1:]
@@ -303,7 +312,9 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
     sized = f"least(x.words, y.words) >= {similarity} * greatest(x.words, y.words)"
     # the SimHashes agree where edits cannot change them, and no more words differ than edits can change
     edits = f"floor({1 - similarity + 1e-9} * greatest(x.words, y.words))"
-    differ = f"bit_count(x.odd1 ^ y.odd1) + bit_count(x.odd2 ^ y.odd2) <= 2 * {edits}"
+    # (so many edits put in or take out a word, which turns one bit)
+    longer = "abs(x.words - y.words)"
+    differ = f"bit_count(x.odd1 ^ y.odd1) + bit_count(x.odd2 ^ y.odd2) <= 2 * {edits} - {longer}"
     near = f"x.node <> y.node AND (x.sim ^ y.sim) & (x.firm | y.firm) = 0 AND {differ} AND bit_count(x.sim ^ y.sim) <= {bits} AND {sized}"
     # classes with a near one in their block: a semi join stops at the first
     sides = keyed.select("key", F.struct("node", *LINE_ATTRS).alias("x"))
@@ -313,9 +324,7 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
     nodes = blocks.select("node").distinct()
     wanted = bitmap_of(F.col("node"), nodes)  # a digest is a hash already
     seqs = _word_rows(docs, wanted, min_words).join(nodes.withColumnRenamed("node", "line"), "line", "left_semi")
-    seqs = stored(seqs.groupBy("line").agg(*[F.first(c).alias(c) for c in ("seq", *WIDE_ATTRS)]), "line-words")
-    wide = seqs.select(F.col("line").alias("l"), *WIDE_ATTRS)
-    blocks = stored(blocks.join(wide, F.col("node") == F.col("l")).drop("l"), "line-blocks")
+    seqs = stored(seqs.groupBy("line").agg(*[F.first(c).alias(c) for c in ("seq", *BAG_ATTRS)]), "line-words")
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,8 +340,9 @@ def line_groups(occurrences: DataFrame, docs: DataFrame, similarity: float, max_
 
     # families of a block differ in their SimHashes: pigeonhole parts of 16 bits, one pivot each
     cuts = [f"shiftright(x.sim, {at}) & 65535" for at in (0, 16, 32, 48)]
-    differ = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in WIDE_ATTRS) + f" <= 4 * {edits}"
-    return linked_groups(blocks, LINE_ATTRS, near, verify, rounds=3, cuts=cuts, late=WIDE_ATTRS, late_link=differ).withColumnRenamed("node", "line")
+    differ = " + ".join(f"bit_count(xl.{c} ^ yl.{c})" for c in BAG_ATTRS) + f" <= 2 * {edits} - {longer}"
+    late = seqs.select(F.col("line").alias("node"), *BAG_ATTRS)
+    return linked_groups(blocks, LINE_ATTRS, near, verify, rounds=3, cuts=cuts, late=late, late_link=differ).withColumnRenamed("node", "line")
 
 
 def duplicate_lines(docs: DataFrame, similarity: float = 0.9, max_bits: int = 3, min_words: int = 5, complete: bool = False) -> DataFrame:

@@ -56,7 +56,7 @@ def linked_groups(
     verify: Callable[[DataFrame], DataFrame],
     rounds: int = 2,
     cuts: Sequence[str] = (),
-    late: Sequence[str] = (),
+    late: DataFrame | None = None,
     late_link: str = "true",
 ) -> DataFrame:
     """``node, label`` of all linked nodes (labels themselves left out).
@@ -68,8 +68,9 @@ def linked_groups(
     ones, ``a, b``. ``cuts``: SQL over ``x``, bigint; in the first round a block's items
     meet once per cut, with a pivot among those of the same value, so that a block
     of several families has a pivot in each.
-    ``late``, ``late_link``: further columns of ``blocks``, and a further necessary condition on
-    them, which only the last round carries and applies.
+    ``late``, ``late_link``: a table of ``node`` (each once) and further columns, and a further necessary condition
+    on them, SQL over ``x``, ``y`` and structs ``xl`` and ``yl`` of those columns. Only the last round has them, for
+    the rows it compares.
     """
 
     def pairs(found: DataFrame) -> DataFrame:
@@ -79,9 +80,9 @@ def linked_groups(
         out = ordered.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         return stored(out.agg(F.min("key").alias("key"), F.first("x").alias("x"), F.first("y").alias("y")), "pairs")
 
-    edges, labels = None, None
+    labels = None
     for r in range(rounds + 1):
-        rows = blocks.withColumn("x", F.struct("node", *attrs, *(late if r == rounds else ()))).select("key", "x", F.col("node").alias("own"))
+        rows = blocks.withColumn("x", F.struct("node", *attrs)).select("key", "x", F.col("node").alias("own"))
         if labels is None:
             rows = rows.withColumn("label", F.col("own"))
         else:
@@ -100,10 +101,25 @@ def linked_groups(
         if r < rounds:
             met = rows.filter("pivot.label <> label").select("key", "x", F.col("pivot.x").alias("y"))
         else:
-            rows = stored(rows.select("key", "x", "label"), "blocks")
-            other = rows.select(F.col("key").alias("k2"), F.col("x").alias("y"), F.col("label").alias("label2"))
-            met = rows.join(other, (F.col("key") == F.col("k2")) & (F.col("label") < F.col("label2")) & F.expr(may_link) & F.expr(late_link)).select("key", "x", "y")
+            rows, link = rows.select("key", "x", "label"), may_link
+            if late is not None:
+                more = late.select(F.col("node").alias("ln"), F.struct(*[c for c in late.columns if c != "node"]).alias("xl"))
+                rows, link = rows.join(more, F.col("x.node") == F.col("ln")).drop("ln"), f"{may_link} AND {late_link}"
+            rows = stored(rows, "blocks")
+            other = rows.toDF(*[{"key": "k2", "x": "y", "label": "label2", "xl": "yl"}[c] for c in rows.columns])
+            met = rows.join(other, (F.col("key") == F.col("k2")) & (F.col("label") < F.col("label2")) & F.expr(link)).select("key", "x", "y")
         new = stored(verify(pairs(met)).select("a", "b"), "links")
-        edges = new if edges is None else edges.unionByName(new)
-        labels = components(edges)
+        labels = components(new) if labels is None else merged(labels, new)
     return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` of :func:`components`, further links between nodes taken in: only the groups that
+    these join are connected anew, each by its label."""
+    of = [labels.select(F.col("node").alias(f"n{c}"), F.col("label").alias(f"l{c}")) for c in ("a", "b")]
+    ends = links.join(of[0], F.col("a") == F.col("na"), "left").join(of[1], F.col("b") == F.col("nb"), "left")
+    joined = components(ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    # a node of ``joined`` was a label or in no group, so it is not in ``labels``
+    new = joined.select(F.col("node").alias("k"), F.col("label").alias("l"))
+    moved = labels.join(new, F.col("label") == F.col("k"), "left").select("node", F.coalesce("l", "label").alias("label"))
+    return stored(moved.unionByName(joined), "labels")

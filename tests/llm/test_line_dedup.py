@@ -6,7 +6,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from statlake.llm.line_dedup import Lines, _most_edits, edit_distance, gram_size, line_keys, without_duplicate_lines
+from statlake.llm.line_dedup import Lines, _most_edits, edit_distance, gram_size, line_blocks, line_keys, without_duplicate_lines
+from statlake.llm.linking import components, merged
 from statlake.llm.queries import op10_line_dedup
 
 from ..conftest import SF_SMALL
@@ -184,3 +185,51 @@ def test_lines_alike_share_a_key_and_their_firm_bits():
             assert not (sim[i] ^ sim[i + 1]) & (firm[i] | firm[i + 1])
             assert np.bitwise_count(odd[i] ^ odd[i + 1]).sum() <= 2 * distance(*pairs[i // 2])
         assert len(pairs) > 300 and (firm != 0).mean() > 0.5
+
+
+def test_numbered_words_tell_counts_apart():
+    """Lines of few different words: an edit turns two bits at most, and what counts differ by is seen."""
+    rng, names = random.Random(8), [f"w{i}" for i in range(12)]
+    base = rng.choices(names, k=400)
+    texts, edits = [" ".join(base)], [0]
+    for n in range(1, 40):
+        words = list(base)
+        for _ in range(n):
+            words[rng.randrange(len(words)) : rng.randrange(len(words))] = []
+            words = words if len(words) > 330 else list(base)
+            words[rng.randrange(len(words))] = rng.choice(names)
+        texts.append(" ".join(words))
+    lines = Lines(pa.array(texts))
+    odd = lines.odd_words(np.arange(len(texts)), 8, numbered=True)
+    bits = np.bitwise_count(odd ^ odd[0]).sum(axis=1)
+    for i in range(1, len(texts)):
+        a, b = lines.h[lines.at[0] : lines.at[1]], lines.h[lines.at[i] : lines.at[i + 1]]
+        assert bits[i] <= 2 * edit_distance(a, b) - abs(len(a) - len(b))
+    # 60 places of one word are another's instead: without numbers no bit turns
+    lines = Lines(pa.array(["x " * 100 + "y " * 100, "x " * 160 + "y " * 40]))
+    both = np.arange(2)
+    assert not (lines.odd_words(both)[0] ^ lines.odd_words(both)[1]).any()
+    numbered = lines.odd_words(both, 8, numbered=True)
+    assert np.bitwise_count(numbered[0] ^ numbered[1]).sum() > 80
+
+
+def test_later_links_join_groups(spark):
+    """Groups joined by their labels are those of all links at once."""
+    rng = random.Random(4)
+    links = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(330)]
+    first, second = (spark.createDataFrame(x, "a bigint, b bigint") for x in (links[:150], links[150:]))
+    got = merged(components(first), second).collect()
+    want = components(first.unionByName(second)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    none = first.limit(0)
+    assert sorted(map(tuple, merged(components(none), first).collect())) == sorted(map(tuple, components(first).collect()))
+    assert sorted(map(tuple, merged(components(first), none).collect())) == sorted(map(tuple, components(first).collect()))
+
+
+def test_a_key_needs_lines_of_like_length(spark):
+    """A block has only lines with another there whose number of words allows the similarity."""
+    shared = "alpha beta gamma delta epsilon zeta eta theta iota"
+    texts = [shared, shared + " kappa", shared + " " + " ".join(f"u{i}" for i in range(11)), shared + " " + " ".join(f"v{i}" for i in range(40))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    digest = Lines(pa.array(texts)).digests().tolist()
+    assert {r.node for r in line_blocks(docs, 0.9, 5).collect()} == set(digest[:2])
